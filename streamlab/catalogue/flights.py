@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, time, timedelta
+
 from pyspark.sql import functions as F
 
 from streamlab.catalogue import tables as t
@@ -72,23 +74,16 @@ _CUT_SQL = "(SELECT date_trunc('day', max(ts) - INTERVAL '10 days') FROM events)
       AND janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'"""
 )
 def flight_late_data(spark, sf_dir):
-    """Events arriving in three deliveries: the newest ten days twice over, then the rest.
+    """Two deliveries: the newest ten days, then, with the watermark past them, the rest.
 
-    By the third delivery the watermark stands at the end of the data, so every older row
-    is late beyond the delay and changes nothing.
+    Every row of the second delivery is late beyond the delay and changes nothing.
     """
     ev = t.events(spark, sf_dir)
     newest = ev.agg(F.max("ts").alias("m")).first()["m"]
-    cut = F.date_trunc("day", F.lit(newest).cast("timestamp_ntz") - F.expr("INTERVAL 10 DAYS"))
-    late = F.col("ts") < cut.cast("timestamp_ntz")
-    arrived = work_dir(spark, "flight_arrivals")
-    # the newest rows go in two deliveries: the late filter lags one batch behind
-    first = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
-    for n, part in enumerate((~late & first, ~late & ~first, late)):
-        # one file per delivery, paced by the stream below; delivery order is file time
-        ev.where(part).repartition(4, "event_id").write.parquet(f"{arrived}/{n}.parquet")
-    out = work_dir(spark, "flight_late")
-    for n in range(3):
+    cut = datetime.combine((newest - timedelta(days=10)).date(), time.min)
+    arrived, out = work_dir(spark, "flight_arrivals"), work_dir(spark, "flight_late")
+    for n, part in enumerate((F.col("ts") >= F.lit(cut), F.col("ts") < F.lit(cut))):
+        ev.where(part).write.parquet(f"{arrived}/{n}.parquet")
         stream = read_table_stream(spark, arrived, f"[0-{n}]", t.EVENTS)
         windows = flight_windows(t.flights(stream))
         run_stream(start_table(windows, f"{out}/data", f"{out}/checkpoint"))

@@ -8,7 +8,7 @@ from streamlab.catalogue import tables as t
 from streamlab.config import work_dir
 from streamlab.functions import drop_zero_missing, round_decimal
 from streamlab.operators import linear
-from streamlab.operators.sampling import assign_minibatch, stratified_split
+from streamlab.operators.sampling import assign_minibatch
 from streamlab.plans import patients as plan
 from streamlab.schemas import PATIENT
 from streamlab.sinks import ModelStore
@@ -26,9 +26,7 @@ def _clean(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    return stratified_split(
-        _clean(spark, sf_dir), "outcome", t.SPLIT_KEY, plan.CLASSES, plan.TEST_SHARE, plan.SPLIT_SEED
-    )
+    return plan.split_base(t.patients(spark, sf_dir), t.SPLIT_KEY, work_dir(spark, "patients"))
 
 
 def _written_split(spark, sf_dir):
@@ -101,7 +99,9 @@ def patient_class_share(spark, sf_dir):
     FROM ({t.PATIENTS_SQL}) WHERE glucose > 0 AND bmi > 0"""
 )
 def patient_minibatches(spark, sf_dir):
-    return assign_minibatch(_clean(spark, sf_dir), t.SPLIT_KEY).select("doc_id", "lote")
+    path = work_dir(spark, "patients")
+    _clean(spark, sf_dir).select(t.SPLIT_KEY).write.parquet(path)
+    return assign_minibatch(spark.read.parquet(path), t.SPLIT_KEY)
 
 
 @query(
@@ -181,15 +181,16 @@ def patient_grid(spark, sf_dir):
     )
 
 
-def _streamed_training(spark, sf_dir, batches=4, files_per_batch=2):
-    """Training rows delivered as JSON files, one gradient update per micro-batch."""
+def _streamed_training(spark, sf_dir, batches=4):
+    """Training rows delivered as JSON files, one model update per micro-batch."""
     base = work_dir(spark, "patient_training")
     train, test = _written_split(spark, sf_dir)
-    arrivals = train.repartition(batches * files_per_batch, t.SPLIT_KEY)
+    files = max(2, spark.sparkContext.defaultParallelism // 2)
+    arrivals = train.repartition(batches * files, t.SPLIT_KEY)
     arrivals.select(*PATIENT.names).write.json(f"{base}/in")
     store = ModelStore(spark, f"{base}/artifacts")
     trainer = plan.Trainer(store, linear.fit_scaler(train), test, steps=2, rate=_RATE)
-    stream = read_json_stream(spark, f"{base}/in", PATIENT, max_files=files_per_batch)
+    stream = read_json_stream(spark, f"{base}/in", PATIENT, max_files=files)
     run_stream(plan.start_training(stream, trainer, f"{base}/checkpoint"))
     return store, test
 

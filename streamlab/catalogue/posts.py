@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from streamlab.catalogue import tables as t
-from streamlab.config import work_dir
+from streamlab.config import ship_package, work_dir
 from streamlab.functions import head_chars
 from streamlab.operators import sentiment as s
 from streamlab.plans.posts import sentiment
@@ -78,6 +78,7 @@ def post_sentiment_bounded(spark, sf_dir):
 @query(f"SELECT {_SHORT} FROM ({_scored_sql()})")
 def post_score_udf(spark, sf_dir):
     """The same rule hosted as a user model in Arrow batches."""
+    ship_package(spark)
     return _short(sentiment(t.posts(spark, sf_dir), load_model=s.lexicon_model))
 
 

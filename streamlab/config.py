@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 @dataclass(frozen=True)
@@ -69,6 +73,23 @@ def build_session(app_name: str, settings: JobSettings | None = None) -> SparkSe
     return spark
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows (reports, not data) as a local relation, without Python workers."""
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema.fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=schema.names), schema)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, for jobs that host a user model.
+
+    Not needed where the package is installed or was passed with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="streamlab-"), "streamlab")
+    spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "streamlab"))
+
+
 def isolated_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session with UTC time and a shuffle width suited to the cluster.
 

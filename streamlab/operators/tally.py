@@ -36,8 +36,9 @@ def fill_domain(
     Values outside the domain (NULL included) stay unless ``keep_unknown`` is off.
     """
     spark = df.sparkSession
-    zeros = spark.createDataFrame([(v,) for v in domain], f"{key} string").select(
-        key, *[F.lit(0).cast(df.schema[m].dataType).alias(m) for m in measures]
+    values = F.explode(F.array(*[F.lit(v) for v in domain]))
+    zeros = spark.range(0, 1, 1, 1).select(
+        values.alias(key), *[F.lit(0).cast(df.schema[m].dataType).alias(m) for m in measures]
     )
     rows = df.select(key, *measures)
     if not keep_unknown:

@@ -27,15 +27,25 @@ SPLIT_SEED = 42
 MAX_FILES = 1
 
 
+def split_base(patients: DataFrame, key: str, path: str) -> DataFrame:
+    """Clean the base, write it to ``path`` and mark the test rows.
+
+    The split reads its input three times, so it starts from the few written columns
+    instead of repeating whatever plan ``patients`` stands for.
+    """
+    drop_zero_missing(patients, FEATURES).write.mode("overwrite").parquet(path)
+    clean = patients.sparkSession.read.parquet(path)
+    return stratified_split(clean, "outcome", key, CLASSES, TEST_SHARE, SPLIT_SEED)
+
+
 def write_split(patients: DataFrame, key: str, path: str) -> tuple[DataFrame, DataFrame]:
     """Clean, split and write the base once; (training rows, test rows) as read back.
 
     Every later batch scores the test rows, so they are a table, not a plan to repeat.
     """
-    clean = drop_zero_missing(patients, FEATURES)
-    split = stratified_split(clean, "outcome", key, CLASSES, TEST_SHARE, SPLIT_SEED)
-    split.write.mode("overwrite").partitionBy("em_teste").parquet(path)
-    written = patients.sparkSession.read.parquet(path)
+    split = split_base(patients, key, f"{path}/limpos")
+    split.write.mode("overwrite").partitionBy("em_teste").parquet(f"{path}/divididos")
+    written = patients.sparkSession.read.parquet(f"{path}/divididos")
     return tuple(written.where(F.col("em_teste") == t).drop("em_teste") for t in (False, True))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from streamlab.config import small_frame
 from streamlab.sinks.paths import make_dir, numbered
 
 _VERSION = "_versao"
@@ -79,7 +80,7 @@ class KeyedTable:
             folders.insert(0, f"{root}/snapshot={base}")
         newest = deltas[-1] if deltas else base
         if not folders:
-            return self.spark.createDataFrame([], self._stored), None
+            return small_frame(self.spark, [], self._stored), None
         rows = self.spark.read.schema(self._stored).parquet(*folders)
         if len(folders) > 1:
             newest_of = [F.max_by(c, _VERSION).alias(c) for c in self.values]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from streamlab.config import small_frame
 from streamlab.operators.linear import Model, Scaler
 from streamlab.sinks.paths import numbered
 
@@ -12,7 +14,10 @@ _MODEL = (
     "versao long, atributos array<string>, media array<double>, desvio array<double>, "
     "pesos array<double>, vies double, lotes long, vistos long"
 )
-_METRICS = "lote long, pacientes_vistos long, acuracia double"
+_METRICS = (
+    T.StructType().add("lote", "long").add("pacientes_vistos", "long").add("acuracia", "double")
+)
+_COUNTS = T.StructType().add("tipo", "string").add("total", "long")
 
 
 class ModelStore:
@@ -28,18 +33,30 @@ class ModelStore:
         return numbered(self.spark, f"{self.path}/{kind}", "version")
 
     def save(self, model: Model, accuracy: float | None) -> None:
-        row = (
-            model.version, list(model.scaler.features), list(model.scaler.mean),
-            list(model.scaler.std), list(model.weights), model.bias, model.batches, model.seen,
-        )
-        metrics = (model.version, model.seen, accuracy)
-        self._one_row("metrics", metrics, _METRICS, model.version)
-        self._one_row("models", row, _MODEL, model.version)
+        def doubles(values):
+            return F.array(*[F.lit(float(v)) for v in values])
+
+        metrics = {
+            "lote": F.lit(model.version).cast("long"),
+            "pacientes_vistos": F.lit(model.seen).cast("long"),
+            "acuracia": F.lit(accuracy).cast("double"),
+            "ts": F.current_timestamp(),
+        }
+        self._one_row("metrics", metrics, model.version)
+        row = {
+            "versao": F.lit(model.version).cast("long"),
+            "atributos": F.array(*[F.lit(f) for f in model.scaler.features]),
+            "media": doubles(model.scaler.mean),
+            "desvio": doubles(model.scaler.std),
+            "pesos": doubles(model.weights),
+            "vies": F.lit(model.bias),
+            "lotes": F.lit(model.batches).cast("long"),
+            "vistos": F.lit(model.seen).cast("long"),
+        }
+        self._one_row("models", row, model.version)
 
-    def _one_row(self, kind: str, row: tuple, schema: str, version: int) -> None:
-        df = self.spark.createDataFrame([row], schema).coalesce(1)
-        if kind == "metrics":
-            df = df.withColumn("ts", F.current_timestamp())
+    def _one_row(self, kind: str, row: dict, version: int) -> None:
+        df = self.spark.range(0, 1, 1, 1).select(*[c.alias(n) for n, c in row.items()])
         df.write.mode("overwrite").parquet(f"{self.path}/{kind}/version={version}")
 
     def latest(self, before: int | None = None) -> Model | None:
@@ -55,11 +72,11 @@ class ModelStore:
         """(batch, rows seen, accuracy) of every version, oldest first."""
         versions = self.versions("metrics")
         if not versions:
-            return self.spark.createDataFrame([], _METRICS)
+            return small_frame(self.spark, [], _METRICS)
         folders = [f"{self.path}/metrics/version={v}" for v in versions]
         return self.spark.read.schema(_METRICS).parquet(*folders).orderBy("lote")
 
     def artifact_counts(self) -> DataFrame:
         """Number of stored versions per kind of artifact."""
         rows = [(kind, len(self.versions(kind))) for kind in ("models", "metrics")]
-        return self.spark.createDataFrame(rows, "tipo string, total long")
+        return small_frame(self.spark, rows, _COUNTS)

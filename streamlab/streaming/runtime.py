@@ -6,12 +6,20 @@ from collections import deque
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from streamlab.config import small_frame
+
 Handler = Callable[[DataFrame, int], None]
 
 _PROGRESS = (
-    "lote long, linhas_entrada long, linhas_estado long, linhas_atrasadas long, watermark string"
+    T.StructType()
+    .add("lote", "long")
+    .add("linhas_entrada", "long")
+    .add("linhas_estado", "long")
+    .add("linhas_atrasadas", "long")
+    .add("watermark", "string")
 )
 
 
@@ -74,7 +82,7 @@ def _progress_row(p) -> tuple:
 
 
 def _frame(spark: SparkSession, progress: Iterable) -> DataFrame:
-    return spark.createDataFrame([_progress_row(p) for p in progress], _PROGRESS)
+    return small_frame(spark, [_progress_row(p) for p in progress], _PROGRESS)
 
 
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
