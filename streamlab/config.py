@@ -15,6 +15,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
+# Streaming state lives on local disk with incremental checkpoints instead of on the heap,
+# so the number of open windows or keys is not bounded by executor memory.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 @dataclass(frozen=True)
 class JobSettings:
     """Parameters of a stand-alone job; every field can come from an environment variable.
@@ -66,7 +75,7 @@ class JobSettings:
 def build_session(app_name: str, settings: JobSettings | None = None) -> SparkSession:
     """Session of a stand-alone job; cluster-level options stay with ``spark-submit``."""
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in (settings.object_store_conf() if settings else {}).items():
+    for key, value in (STATE_STORE | (settings.object_store_conf() if settings else {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
@@ -98,7 +107,7 @@ def isolated_session(spark: SparkSession, state_partitions: int | None = None) -
     unless ``spark.sql.shuffle.partitions`` was set explicitly at launch.
     """
     child = spark.newSession()
-    for key, value in spark.conf.getAll.items():
+    for key, value in (STATE_STORE | spark.conf.getAll).items():
         if child.conf.isModifiable(key):
             child.conf.set(key, value)
     child.conf.set("spark.sql.session.timeZone", "UTC")
