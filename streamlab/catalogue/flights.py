@@ -90,11 +90,16 @@ def flight_late_data(spark, sf_dir):
     return _output(spark.read.parquet(f"{out}/data"))
 
 
-@query("SELECT count(*)::BIGINT AS linhas_entrada, 0::BIGINT AS linhas_atrasadas FROM events")
+@query(
+    f"""SELECT (SELECT count(*) FROM events)::BIGINT AS linhas_entrada, count(*)::BIGINT AS linhas_saida,
+    0::BIGINT AS linhas_atrasadas FROM ({_WINDOWS_SQL})
+    WHERE janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'"""
+)
 def flight_progress(spark, sf_dir):
-    """Rows read and rows dropped as late, from the progress reports of the stream."""
+    """Rows read, windows written and rows dropped as late, from the stream's progress reports."""
     _, done = _run(spark, t.flights(t.events_stream(spark, sf_dir)), "flight_progress")
     return progress_frame(spark, done).agg(
         F.sum("linhas_entrada").alias("linhas_entrada"),
+        F.sum("linhas_saida").alias("linhas_saida"),
         F.sum("linhas_atrasadas").alias("linhas_atrasadas"),
     )

@@ -8,7 +8,8 @@ from streamlab.catalogue import tables as t
 from streamlab.config import work_dir
 from streamlab.functions import drop_zero_missing, round_decimal
 from streamlab.operators import linear
-from streamlab.operators.sampling import assign_minibatch
+from streamlab.operators.ordering import preview
+from streamlab.operators.sampling import assign_minibatch, hash_minibatch
 from streamlab.plans import patients as plan
 from streamlab.schemas import PATIENT
 from streamlab.sinks import ModelStore
@@ -104,6 +105,30 @@ def patient_minibatches(spark, sf_dir):
     return assign_minibatch(spark.read.parquet(path), t.SPLIT_KEY)
 
 
+@query(
+    f"""SELECT doc_id, ('0x' || substr(md5(doc_id || '|7'), 1, 8))::BIGINT % 20 + 1 AS lote
+    FROM ({t.PATIENTS_SQL}) WHERE glucose > 0 AND bmi > 0"""
+)
+def patient_hash_batches(spark, sf_dir):
+    """Twenty chunks of about equal size, assigned row by row."""
+    return hash_minibatch(_clean(spark, sf_dir), t.SPLIT_KEY, 20).select("doc_id", "lote")
+
+
+@query(
+    f"""(SELECT 'primeiros' AS parte, doc_id, glucose, bmi, outcome FROM ({t.PATIENTS_SQL}) ORDER BY doc_id LIMIT 5)
+    UNION ALL
+    (SELECT 'ultimos', doc_id, glucose, bmi, outcome FROM ({t.PATIENTS_SQL}) ORDER BY doc_id DESC LIMIT 5)"""
+)
+def patient_preview(spark, sf_dir):
+    """First and last five patients by id."""
+    rows = t.patients(spark, sf_dir)
+    parts = [
+        preview(rows, "doc_id", 5, last).select(F.lit(name).alias("parte"), "doc_id", *PATIENT.names)
+        for name, last in (("primeiros", False), ("ultimos", True))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     f"""WITH split AS ({t.SPLIT_SQL}), scaler AS (SELECT avg(glucose) AS m1, avg(bmi) AS m2,
       stddev_pop(glucose) AS s1, stddev_pop(bmi) AS s2 FROM split WHERE NOT em_teste)

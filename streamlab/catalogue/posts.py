@@ -96,8 +96,7 @@ def post_share(spark, sf_dir):
 
 
 def _stream(spark, sf_dir):
-    docs = t.table(spark, sf_dir, "documents")
-    stream = read_table_stream(spark, sf_dir, "documents", docs.schema)
+    stream = read_table_stream(spark, sf_dir, "documents", t.DOCUMENTS)
     return sentiment(stream.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("texto")))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from streamlab.catalogue import tables as t
 from streamlab.config import work_dir
 from streamlab.functions import round_decimal
-from streamlab.operators.quotes import clean_quotes, latest, ohlcv, price_drop_alerts, with_pct_change
+from streamlab.operators.ordering import latest
+from streamlab.operators.quotes import clean_quotes, ohlcv, price_drop_alerts, with_pct_change
 from streamlab.operators.validation import conform, split_valid
 from streamlab.operators.windows import moving_average
 from streamlab.plans.quotes import typed_quotes

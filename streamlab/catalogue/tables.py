@@ -20,6 +20,16 @@ EVENTS = T.StructType(
         T.StructField("props", T.StringType()),
     ]
 )
+DOCUMENTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+_SCHEMAS = {"events": EVENTS, "documents": DOCUMENTS}
 # the two listed candidates; the other event types play unknown ones
 CANDIDATES = ("click", "view")
 SPLIT_KEY = "doc_id"
@@ -45,7 +55,9 @@ def registry():
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; a declared schema saves the job that would infer it."""
+    reader = spark.read.schema(_SCHEMAS[name]) if name in _SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

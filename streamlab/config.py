@@ -99,24 +99,33 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "streamlab"))
 
 
+_SPARK_DEFAULT_PARTITIONS = "200"
+# settings of the caller that a query has to share
+_CARRIED = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.enabled",
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.files.maxPartitionBytes",
+)
+
+
 def isolated_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
-    """A sibling session with UTC time and a shuffle width suited to the cluster.
+    """A sibling session with UTC time, on-disk state and a shuffle width to suit the cluster.
 
     The caller's session keeps its own settings. A stateful stream freezes the number of
-    shuffle partitions in its checkpoint, so it is taken from the cluster's parallelism
-    unless ``spark.sql.shuffle.partitions`` was set explicitly at launch.
+    shuffle partitions in its checkpoint, so where the caller left Spark's default it is
+    taken from the cluster's parallelism.
     """
     child = spark.newSession()
-    for key, value in (STATE_STORE | spark.conf.getAll).items():
-        if child.conf.isModifiable(key):
-            child.conf.set(key, value)
-    child.conf.set("spark.sql.session.timeZone", "UTC")
+    wanted = {k: spark.conf.get(k) for k in _CARRIED}
+    if wanted["spark.sql.shuffle.partitions"] == _SPARK_DEFAULT_PARTITIONS:
+        wanted["spark.sql.shuffle.partitions"] = str(max(8, spark.sparkContext.defaultParallelism))
     if state_partitions:
-        child.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    elif spark.sparkContext.getConf().get("spark.sql.shuffle.partitions") is None:
-        child.conf.set(
-            "spark.sql.shuffle.partitions", str(max(8, spark.sparkContext.defaultParallelism))
-        )
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    for key, default in STATE_STORE.items():
+        wanted[key] = spark.sparkContext.getConf().get(key, default)
+    for key, value in (wanted | {"spark.sql.session.timeZone": "UTC"}).items():
+        child.conf.set(key, value)
     return child
 
 

@@ -1,4 +1,4 @@
-"""Quote cleaning, bar roll-up, alerts and the latest-quotes report."""
+"""Quote cleaning, bar roll-up and price-drop alerts."""
 
 from __future__ import annotations
 
@@ -78,8 +78,3 @@ def price_drop_alerts(df: DataFrame, threshold: float = 2.0) -> DataFrame:
     price, opening = (F.rint(F.col(c) * 1_000_000).cast("long") for c in ("preco", "abertura"))
     fell = price * F.lit(100_000_000) < opening * F.lit(kept)
     return with_pct_change(df.where(fell & (F.col("abertura") > 0)))
-
-
-def latest(df: DataFrame, time: str = "coletado_em", n: int = 10, tie: str = "ticker") -> DataFrame:
-    """The newest ``n`` rows: per-task top-n, then one merge of at most tasks x n rows."""
-    return df.orderBy(F.desc(time), F.asc(tie)).limit(n)

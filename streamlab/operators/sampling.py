@@ -100,5 +100,5 @@ def assign_minibatch(df: DataFrame, key: str, size: int = 30, seed: int = 7) ->
 
 def hash_minibatch(df: DataFrame, key: str, batches: int, seed: int = 7) -> DataFrame:
     """Shuffle-free variant: ``batches`` chunks of about equal size, numbered from 1."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(batches))
-    return df.withColumn("lote", bucket.cast("long") + 1)
+    number = F.conv(F.substring(seeded_hash(key, seed), 1, 8), 16, 10).cast("long")
+    return df.withColumn("lote", number % batches + 1)

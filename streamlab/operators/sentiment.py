@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlab.functions import head_chars, round_decimal, star_count, star_label
@@ -154,10 +154,8 @@ def label_distribution(df: DataFrame, label: str = "sentimento") -> DataFrame:
 
 def label_share(distribution: DataFrame, label: str = "sentimento") -> DataFrame:
     """Labels that occur, with their whole-percent share of all labelled rows."""
-    present = distribution.where(F.col("total") > 0)
-    total = present.agg(F.sum("total").alias("_all"))  # one row
-    return present.crossJoin(F.broadcast(total)).select(
-        label,
-        "total",
-        F.round((F.col("total") * 100).cast("decimal(28,6)") / F.col("_all"), 0).cast("bigint").alias("percentual"),
+    everything = F.sum("total").over(Window.partitionBy())  # over one row per label
+    share = (F.col("total") * 100).cast("decimal(28,6)") / everything
+    return distribution.where(F.col("total") > 0).select(
+        label, "total", F.round(share, 0).cast("bigint").alias("percentual")
     )

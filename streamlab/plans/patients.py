@@ -33,8 +33,9 @@ def split_base(patients: DataFrame, key: str, path: str) -> DataFrame:
     The split reads its input three times, so it starts from the few written columns
     instead of repeating whatever plan ``patients`` stands for.
     """
-    drop_zero_missing(patients, FEATURES).write.mode("overwrite").parquet(path)
-    clean = patients.sparkSession.read.parquet(path)
+    clean = drop_zero_missing(patients, FEATURES)
+    clean.write.mode("overwrite").parquet(path)
+    clean = patients.sparkSession.read.schema(clean.schema).parquet(path)
     return stratified_split(clean, "outcome", key, CLASSES, TEST_SHARE, SPLIT_SEED)
 
 
@@ -45,7 +46,7 @@ def write_split(patients: DataFrame, key: str, path: str) -> tuple[DataFrame, Da
     """
     split = split_base(patients, key, f"{path}/limpos")
     split.write.mode("overwrite").partitionBy("em_teste").parquet(f"{path}/divididos")
-    written = patients.sparkSession.read.parquet(f"{path}/divididos")
+    written = patients.sparkSession.read.schema(split.schema).parquet(f"{path}/divididos")
     return tuple(written.where(F.col("em_teste") == t).drop("em_teste") for t in (False, True))
 
 

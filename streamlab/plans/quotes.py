@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from streamlab.config import JobSettings, build_session
 from streamlab.functions import parse_event_time
-from streamlab.operators.quotes import latest
+from streamlab.operators.ordering import latest
 from streamlab.schemas import QUOTE, QUOTE_TABLE
 from streamlab.sinks import JdbcAppender
 from streamlab.sources import read_json_stream

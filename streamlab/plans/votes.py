@@ -15,7 +15,9 @@ from streamlab.streaming import run_stream, start_batches
 
 
 def tally_table(spark: SparkSession, path: str, **options) -> KeyedTable:
-    return KeyedTable(spark, path, ["_id"], TALLY_TABLE, **options)
+    # state and candidate follow from _id; as keys they leave only fixed-width values, so
+    # merging versions is a hash aggregation
+    return KeyedTable(spark, path, ["_id", "estado", "candidato"], TALLY_TABLE, **options)
 
 
 def stamped(counts: DataFrame) -> DataFrame:

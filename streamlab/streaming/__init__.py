@@ -1,3 +1,3 @@
-from streamlab.streaming.runtime import ProgressLog, progress_frame, run_stream, start_batches, start_table
+from streamlab.streaming.runtime import ProgressLog, progress_frame, run_stream, show_batch, start_batches, start_table
 
-__all__ = ["ProgressLog", "progress_frame", "run_stream", "start_batches", "start_table"]
+__all__ = ["ProgressLog", "progress_frame", "run_stream", "show_batch", "start_batches", "start_table"]

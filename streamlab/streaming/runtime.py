@@ -6,6 +6,7 @@ from collections import deque
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -17,12 +18,26 @@ _PROGRESS = (
     T.StructType()
     .add("lote", "long")
     .add("linhas_entrada", "long")
+    .add("linhas_saida", "long")
     .add("linhas_estado", "long")
     .add("linhas_atrasadas", "long")
     .add("watermark", "string")
 )
 
 
+_OUTPUT = "saida"
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    """Count the output rows of every batch while they are written, without another job."""
+    return df.observe(_OUTPUT, F.count(F.lit(1)).alias("linhas"))
+
+
+def show_batch(batch: DataFrame, *order: str, n: int = 20) -> None:
+    """Print the first rows of a batch, or of a table it was written to, in order."""
+    batch.orderBy(*order).show(n, truncate=False)
+
+
 def _trigger(writer, seconds: int | None):
     """A fixed interval for a running job, or "everything available, then stop"."""
     if seconds is None:
@@ -43,7 +58,7 @@ def start_batches(
     A handler should run one action on the batch: each further action computes the batch
     again, state store included. Write it once and go on from the written rows.
     """
-    writer = df.writeStream.outputMode(mode).foreachBatch(handler)
+    writer = _counted(df).writeStream.outputMode(mode).foreachBatch(handler)
     writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -54,7 +69,7 @@ def start_table(
     df: DataFrame, path: str, checkpoint: str, seconds: int | None = None
 ) -> StreamingQuery:
     """Append rows to a Parquet table; Spark's file sink makes each batch exactly once."""
-    writer = df.writeStream.outputMode("append").format("parquet").option("path", path)
+    writer = _counted(df).writeStream.outputMode("append").format("parquet").option("path", path)
     return _trigger(writer.option("checkpointLocation", checkpoint), seconds).start()
 
 
@@ -71,10 +86,11 @@ def run_stream(query: StreamingQuery, timeout: int | None = None) -> StreamingQu
 
 
 def _progress_row(p) -> tuple:
-    state = p.stateOperators
+    state, output = p.stateOperators, p.observedMetrics.get(_OUTPUT)
     return (
         p.batchId,
         p.numInputRows,
+        output["linhas"] if output else None,
         sum(s.numRowsTotal for s in state),
         sum(s.numRowsDroppedByWatermark for s in state),
         dict(p.eventTime).get("watermark"),

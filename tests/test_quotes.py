@@ -3,7 +3,8 @@ from datetime import datetime, timedelta
 
 from conftest import rows
 
-from streamlab.operators.quotes import clean_quotes, latest, ohlcv, price_drop_alerts
+from streamlab.operators.ordering import latest, preview
+from streamlab.operators.quotes import clean_quotes, ohlcv, price_drop_alerts
 from streamlab.operators.windows import moving_average
 from streamlab.schemas import QUOTE
 
@@ -79,3 +80,9 @@ def test_moving_average_windows(spark):
         (datetime(2024, 1, 1, 0, 0, 30), 2.0),
         (datetime(2024, 1, 1, 0, 1), 3.0),
     ]
+
+
+def test_preview_both_ends(spark):
+    df = spark.range(20).repartition(4)
+    assert rows(preview(df, "id", 3)) == [(0,), (1,), (2,)]
+    assert rows(preview(df, "id", 2, last=True)) == [(19,), (18,)]

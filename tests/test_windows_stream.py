@@ -10,7 +10,7 @@ from streamlab.operators.windows import flight_windows
 from streamlab.plans import flights as plan
 from streamlab.schemas import FLIGHT, QUOTE
 from streamlab.sources import read_json, read_json_stream
-from streamlab.streaming import ProgressLog, progress_frame, run_stream, start_batches, start_table
+from streamlab.streaming import ProgressLog, progress_frame, run_stream, show_batch, start_batches, start_table
 
 T0 = datetime(2024, 1, 1)
 
@@ -66,6 +66,8 @@ def test_late_rows_are_dropped_and_reported(spark, deliver, tmp_path):
     assert len(emitted) == len(set((a, s) for a, s, _ in emitted))
     dropped = {r.lote: r.linhas_atrasadas for r in progress_frame(spark, query).collect()}
     assert dropped[3] == 1 and dropped[4] == 1
+    written = {r.lote: r.linhas_saida for r in progress_frame(spark, query).collect()}
+    assert {n: len(b) for n, b in seen.batches.items()} == written
 
 
 def test_lateness_within_the_delay_is_counted(spark, deliver, tmp_path):
@@ -142,3 +144,9 @@ def test_report_is_ordered_and_rounded(spark, deliver):
     report = plan.report(windows_of(read_json(spark, folder, FLIGHT)))
     assert [(r.companhia, r.atraso_medio_min) for r in report.collect()] == [("GOL", 1.0), ("GOL", 1.0), ("TAP", 0.3)]
     assert rows(report.selectExpr("count(*)")) == [(3,)]
+
+
+def test_show_batch_is_sorted(spark, capsys):
+    show_batch(spark.createDataFrame([(2, "b"), (1, "a")], "n int, s string"), "n")
+    shown = capsys.readouterr().out
+    assert 0 < shown.index("|1") < shown.index("|2")
