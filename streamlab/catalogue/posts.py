@@ -23,11 +23,11 @@ def _words(words) -> str:
     return ", ".join(f"'{w}'" for w in sorted(set(words)))
 
 
-def _scored_sql(text: str = "text") -> str:
+def _scored_sql() -> str:
     counted = f"""SELECT doc_id, text,
         len(list_filter(w, lambda x: x IN ({_words(s.POSITIVE_WORDS)}))) AS p,
         len(list_filter(w, lambda x: x IN ({_words(s.NEGATIVE_WORDS)}))) AS n
-      FROM (SELECT doc_id, text, regexp_split_to_array(lower({text}), '[^\\p{{L}}]+') AS w FROM documents)"""
+      FROM (SELECT doc_id, text, regexp_split_to_array(lower(text), '[^\\p{{L}}]+') AS w FROM documents)"""
     starred = f"""SELECT *, CASE WHEN p + n = 0 THEN 3 WHEN 5 * (p - n) <= -3 * (p + n) THEN 1
         WHEN 5 * (p - n) < -(p + n) THEN 2 WHEN 5 * (p - n) <= p + n THEN 3
         WHEN 5 * (p - n) < 3 * (p + n) THEN 4 ELSE 5 END AS e FROM ({counted})"""
@@ -69,12 +69,6 @@ def post_sentiment(spark, sf_dir):
     return _short(sentiment(t.posts(spark, sf_dir)))
 
 
-@query(f"SELECT {_SHORT} FROM ({_scored_sql(f'substr(text, 1, {_HEAD})')})")
-def post_sentiment_bounded(spark, sf_dir):
-    """The setting of a bounded-input model: scoring follows the truncation operator."""
-    return _short(sentiment(t.posts(spark, sf_dir), max_chars=_HEAD))
-
-
 @query(f"SELECT {_SHORT} FROM ({_scored_sql()})")
 def post_score_udf(spark, sf_dir):
     """The same rule hosted as a user model in Arrow batches."""

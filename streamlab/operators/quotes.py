@@ -72,9 +72,10 @@ def price_drop_alerts(df: DataFrame, threshold: float = 2.0) -> DataFrame:
     """Quotes that fell by more than ``threshold`` percent against the opening price.
 
     Prices are compared as whole millionths and multiplied out, so a fall of exactly the
-    threshold is not turned into an alert by division noise.
+    threshold is not turned into an alert by division noise. Lifting the price to at least
+    0 makes the comparison imply an opening price above 0.
     """
     kept = round((100 - threshold) * 1_000_000)
     price, opening = (F.rint(F.col(c) * 1_000_000).cast("long") for c in ("preco", "abertura"))
-    fell = price * F.lit(100_000_000) < opening * F.lit(kept)
-    return with_pct_change(df.where(fell & (F.col("abertura") > 0)))
+    fell = F.greatest(price, F.lit(0)) * F.lit(100_000_000) < opening * F.lit(kept)
+    return with_pct_change(df.where(fell))

@@ -25,7 +25,7 @@ def test_clean(spark):
 
 
 def test_drop_alert_is_strict(spark):
-    data = [(98.0, 100.0), (97.99, 100.0), (32.6634, 33.33), (32.66, 33.33), (99.0, 100.0), (1.0, 0.0), (1.0, None)]
+    data = [(98.0, 100.0), (97.99, 100.0), (32.6634, 33.33), (32.66, 33.33), (99.0, 100.0), (1.0, 0.0), (1.0, None), (-1.0, 0.0), (-3.0, -1.0)]
     df = spark.createDataFrame(data, "preco double, abertura double")
     assert sorted(r.preco for r in price_drop_alerts(df).collect()) == [32.66, 97.99]
     assert [r.preco for r in price_drop_alerts(df, threshold=0.5).where("abertura = 100").orderBy("preco").collect()] == [97.99, 98.0, 99.0]
