@@ -63,10 +63,11 @@ _DOCUMENTS_SQL = f"SELECT estado || '|' || candidato AS _id, estado, candidato,
 
 @query(_DOCUMENTS_SQL)
 def vote_running_count(spark, sf_dir):
-    """Running count in update mode, upserted by key, read back."""
+    """Stream of encoded messages: decoded, counted in update mode, upserted by key, read back."""
     base = work_dir(spark, "vote_count")
     table = tally_table(spark, f"{base}/apuracao")
-    run_stream(start_counts(t.votes(t.events_stream(spark, sf_dir)), table, f"{base}/checkpoint"))
+    messages = encode_kafka(t.votes(t.events_stream(spark, sf_dir)), "estado")
+    run_stream(start_counts(decode_json(messages, VOTE), table, f"{base}/checkpoint"))
     return table.read_current().drop("atualizado_em")
 
 

@@ -101,9 +101,8 @@ class JdbcAppender:
         ]
 
     def execute(self, spark, statements: list[str]) -> None:
-        jvm = spark._jvm
-        jvm.java.lang.Class.forName(self.options["driver"])
-        connection = jvm.java.sql.DriverManager.getConnection(
+        # the staging write has registered the JDBC driver in this JVM
+        connection = spark._jvm.java.sql.DriverManager.getConnection(
             self.options["url"], self.options.get("user"), self.options.get("password")
         )
         try:
