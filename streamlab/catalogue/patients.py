@@ -100,9 +100,8 @@ def patient_class_share(spark, sf_dir):
     FROM ({t.PATIENTS_SQL}) WHERE glucose > 0 AND bmi > 0"""
 )
 def patient_minibatches(spark, sf_dir):
-    path = work_dir(spark, "patients")
-    _clean(spark, sf_dir).select(t.SPLIT_KEY).write.parquet(path)
-    return assign_minibatch(spark.read.parquet(path), t.SPLIT_KEY)
+    ids = _clean(spark, sf_dir).select(t.SPLIT_KEY)
+    return assign_minibatch(ids, t.SPLIT_KEY, work_dir(spark, "patient_chunks"))
 
 
 @query(

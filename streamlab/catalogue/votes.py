@@ -100,6 +100,16 @@ def vote_national_total(spark, sf_dir):
     return tally.national_total(_tally(spark, sf_dir), (*t.CANDIDATES, "AUSENTE"))
 
 
+@query(
+    f"""SELECT a AS votos_a, b AS votos_b,
+    CASE WHEN a > b THEN '{_A}' WHEN b > a THEN '{_B}' ELSE 'EMPATE' END AS lider
+    FROM (SELECT count(*) FILTER (WHERE event_type = '{_A}')::BIGINT AS a,
+                 count(*) FILTER (WHERE event_type = '{_B}')::BIGINT AS b FROM events)"""
+)
+def vote_leader(spark, sf_dir):
+    return tally.leader(tally.national_total(_tally(spark, sf_dir), t.CANDIDATES), t.CANDIDATES)
+
+
 @query(f"SELECT candidato, sum(votos)::BIGINT AS votos FROM ({t.VOTES_SQL}) GROUP BY 1 ORDER BY votos DESC, candidato")
 def vote_ranked_total(spark, sf_dir):
     return tally.ranked_total(_tally(spark, sf_dir))

@@ -1,7 +1,7 @@
 """Seeded splits and chunks that need no global sort and no oversized window group.
 
 Order comes from an MD5 of key and seed: uniform, repeatable and the same in any engine.
-``key`` must identify a row.
+Rows that share a key stay on one side of a split; in a shuffle their order is arbitrary.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _PREFIX = 4  # hex digits of the first-level bucket: 65,536 of them
 
@@ -64,35 +65,58 @@ def stratified_split(
     ).drop("_h", "_label", "_cut")
 
 
-def shuffled_rank(df: DataFrame, key: str, seed: int = 7, name: str = "posicao") -> DataFrame:
+def shuffled_rank(
+    df: DataFrame, key: str, path: str, seed: int = 7, name: str = "posicao", hot_rows: int = 100_000
+) -> DataFrame:
     """1-based position of every row in the seeded shuffle.
 
-    Ranks are taken inside 65,536 hash prefixes and shifted by the rows of earlier
-    prefixes; the only window without partitions runs over those prefix counts.
+    Rows are ranked inside the 65,536 hash prefixes and shifted by the rows of earlier
+    prefixes. A prefix that a repeated key has filled far beyond the average (and beyond
+    ``hot_rows``) is cut into parts of about average size by a random number; the rows are
+    written under ``path`` with that number first, so every later pass sees the same one.
+    The prefix table has at most 65,536 rows and the offsets at most twice as many,
+    whatever the size of ``df``.
     """
-    hashed = df.withColumn("_h", seeded_hash(key, seed)).withColumn(
-        "_p", F.substring("_h", 1, _PREFIX)
-    )
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    # 65,536 rows at most, whatever the size of df
-    base = (
-        df.select(F.substring(seeded_hash(key, seed), 1, _PREFIX).alias("_p"))
-        .groupBy("_p")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    )
-    within = Window.partitionBy("_p").orderBy("_h", key)
-    return (
-        hashed.withColumn("_r", F.row_number().over(within))
-        .join(F.broadcast(base), "_p")
-        .withColumn(name, (F.col("_base") + F.col("_r")).cast("long"))
-        .drop("_h", "_p", "_r", "_base")
+    spark = df.sparkSession
+    schema = StructType(list(df.schema.fields)).add("_u", "double")
+    df.withColumn("_u", F.rand(seed)).write.mode("overwrite").parquet(f"{path}/linhas")
+    h = seeded_hash(key, seed)
+    rows = spark.read.schema(schema).parquet(f"{path}/linhas")
+    rows = rows.withColumns({"_h": h, "_p": F.substring(h, 1, _PREFIX)})
+
+    average = F.sum("_n").over(Window.partitionBy()) / F.lit(16**_PREFIX)
+    crowded = (F.col("_n") > 16 * average) & (F.col("_n") > hot_rows)
+    parts = F.when(crowded, F.ceil(F.col("_n") / average)).otherwise(F.lit(1))
+    counts = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    prefixes = counts.withColumn("_parts", parts.cast("long"))
+    prefixes.write.mode("overwrite").parquet(f"{path}/prefixos")
+    prefixes = spark.read.schema(prefixes.schema).parquet(f"{path}/prefixos")
+
+    hot = prefixes.where(F.col("_parts") > 1).select("_p", "_parts")
+    sizes = prefixes.where(F.col("_parts") == 1).select("_p", F.lit(0).cast("long").alias("_part"), "_n")
+    if hot.isEmpty():
+        placed = rows.withColumn("_part", F.lit(0).cast("long"))
+    else:
+        part = F.floor(F.col("_u") * F.coalesce("_parts", F.lit(1)))
+        placed = rows.join(F.broadcast(hot), "_p", "left").withColumn("_part", part)
+        hot_sizes = placed.where(F.col("_parts").isNotNull()).groupBy("_p", "_part")
+        sizes = sizes.unionByName(hot_sizes.agg(F.count(F.lit(1)).alias("_n")))
+
+    before = Window.orderBy("_p", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select("_p", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_p", "_part").orderBy("_h", key)
+    ranked = placed.withColumn("_r", F.row_number().over(within)).join(
+        F.broadcast(base), ["_p", "_part"]
     )
+    position = (F.col("_base") + F.col("_r")).cast("long").alias(name)
+    return ranked.select(*df.columns, position)
 
 
-def assign_minibatch(df: DataFrame, key: str, size: int = 30, seed: int = 7) -> DataFrame:
+def assign_minibatch(
+    df: DataFrame, key: str, path: str, size: int = 30, seed: int = 7, **options
+) -> DataFrame:
     """Seeded shuffle cut into chunks of exactly ``size`` rows (the last may be shorter)."""
-    ranked = shuffled_rank(df, key, seed)
+    ranked = shuffled_rank(df, key, path, seed, **options)
     return ranked.withColumn(
         "lote", F.floor((F.col("posicao") - 1) / F.lit(size)).cast("long") + 1
     ).drop("posicao")

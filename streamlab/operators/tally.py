@@ -55,6 +55,18 @@ def national_total(tally: DataFrame, candidates: Sequence[str] = CANDIDATES) ->
     return fill_domain(tally, "candidato", candidates, ["votos"])
 
 
+def leader(totals: DataFrame, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
+    """Who leads the partial national count; votes without a state count here too."""
+    a, b = candidates
+    sums = totals.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("candidato") == c, F.col("votos"))), F.lit(0)).alias(n)
+            for c, n in ((a, "votos_a"), (b, "votos_b"))
+        ]
+    )
+    return sums.withColumn("lider", versus("votos_a", "votos_b", a, b))
+
+
 def ranked_total(tally: DataFrame) -> DataFrame:
     totals = tally.groupBy("candidato").agg(F.sum("votos").alias("votos"))
     return totals.orderBy(F.desc("votos"), F.asc("candidato"))

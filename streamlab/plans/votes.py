@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlab.config import JobSettings, build_session
-from streamlab.operators.tally import running_count, tally_documents
+from streamlab.operators.tally import (
+    champion, leader, national_total, running_count, states_won, tally_documents, winners_by_state,
+)
 from streamlab.schemas import TALLY_TABLE, VOTE
 from streamlab.sinks import KeyedTable, mongo_upsert
 from streamlab.sources import decode_json, read_kafka_stream
@@ -53,6 +55,17 @@ def start(spark: SparkSession, settings: JobSettings, to_mongo: bool = False) ->
     )
 
 
+def partial_result(table: KeyedTable) -> DataFrame:
+    """National count so far and its leader."""
+    return leader(national_total(table.read_current()))
+
+
+def final_result(table: KeyedTable) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(votes and winner per state, states won, popular vote and champion)."""
+    board = winners_by_state(table.read_current())
+    return board.orderBy("estado"), states_won(board), champion(board)
+
+
 def main() -> None:
     settings = JobSettings.from_env(trigger_seconds=8)
     run_stream(start(build_session("votos", settings), settings))

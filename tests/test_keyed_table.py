@@ -3,7 +3,7 @@ import random
 from conftest import rows
 from pyspark.sql import types as T
 
-from streamlab.plans.votes import start_counts, tally_table
+from streamlab.plans.votes import final_result, partial_result, start_counts, tally_table
 from streamlab.schemas import VOTE
 from streamlab.sinks import KeyedTable
 from streamlab.sources import read_json_stream
@@ -86,3 +86,14 @@ def test_votes_update_mode_restart_and_changed_groups_only(spark, deliver, tmp_p
     changed = spark.read.parquet(str(tmp_path / "tally" / "run=0" / "delta=1"))
     assert rows(changed.select("_id", "votos"), "_id") == [("CE|H", 3), ("None|None", 1)]
     assert table.read_current().where("atualizado_em is null").count() == 0
+
+
+def test_vote_reports(spark, tmp_path):
+    table = tally_table(spark, str(tmp_path / "tally"))
+    votes = [("SP", "HOMER SIMPSON", 3), ("SP", "SPOCK", 3), ("RJ", "SPOCK", 1), ("RJ", "OUTRO", 8)]
+    data = [(f"{e}|{c}", e, c, n, None) for e, c, n in votes]
+    table.upsert(spark.createDataFrame(data, table.schema.simpleString()), 0)
+    assert rows(partial_result(table)) == [(3, 4, "SPOCK")]
+    board, states, winner = final_result(table)
+    assert rows(board) == [("RJ", 0, 1, "SPOCK"), ("SP", 3, 3, "EMPATE")]
+    assert rows(states) == [(0, 1, 1)] and rows(winner) == [(3, 4, "SPOCK")]

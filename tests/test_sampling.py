@@ -49,16 +49,30 @@ def test_split_keeps_copies_of_a_hot_key_together(spark):
     assert split.where("em_teste").count() <= 34 + 67  # the two class shares, rounded
 
 
-def test_rank_and_chunks_match_brute_force(spark):
+def test_rank_and_chunks_match_brute_force(spark, tmp_path):
     df = spark.range(1000)
     order = sorted(range(1000), key=lambda i: md5(i, 7))
-    assert {r.id: r.posicao for r in shuffled_rank(df, "id").collect()} == {k: n + 1 for n, k in enumerate(order)}
-    chunks = {r.id: r.lote for r in assign_minibatch(df, "id", size=30).collect()}
+    assert {r.id: r.posicao for r in shuffled_rank(df, "id", str(tmp_path / "a")).collect()} == {k: n + 1 for n, k in enumerate(order)}
+    chunks = {r.id: r.lote for r in assign_minibatch(df, "id", str(tmp_path / "b"), size=30).collect()}
     assert chunks == {k: n // 30 + 1 for n, k in enumerate(order)}
     sizes = Counter(chunks.values())
     assert len(sizes) == 34 and sizes[34] == 10 and set(sizes[c] for c in range(1, 34)) == {30}
 
 
+def test_hot_key_is_cut_into_parts(spark, tmp_path):
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, 5).otherwise(F.col("id")).alias("id"), F.lit("x").alias("s"))
+    ranked = shuffled_rank(df, "id", str(tmp_path / "a"), hot_rows=100)
+    got = ranked.select("posicao", "id", "s").collect()
+    assert sorted(r.posicao for r in got) == list(range(1, 3001))
+    assert Counter(r.id for r in got) == Counter(r.id for r in df.collect())
+    hot = sorted(r.posicao for r in got if r.id == 5)
+    assert hot == list(range(hot[0], hot[0] + 1000))  # its place in the shuffle stays its own
+    cold = [r.id for r in sorted(got, key=lambda r: r.posicao) if r.id != 5]
+    assert cold == sorted(range(1000, 3000), key=lambda i: md5(i, 7))
+    chunks = assign_minibatch(df, "id", str(tmp_path / "b"), size=70, hot_rows=100).groupBy("lote").count()
+    assert sorted(n for _, n in rows(chunks)) == [60] + [70] * 42
+
+
 def test_hash_chunks_cover_all_rows(spark):
     got = hash_minibatch(spark.range(2000), "id", 8).groupBy("lote").count()
     sizes = [n for _, n in rows(got, "lote")]

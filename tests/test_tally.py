@@ -48,6 +48,12 @@ def test_winner_tie_states_and_champion(spark):
     assert rows(tally.champion(winners)) == [(6, 5, H)]
 
 
+def test_leader_counts_votes_without_a_state(spark):
+    df = board(spark, [("SP", H, 3), ("SP", S, 2), (None, S, 2), ("SP", "OUTRO", 9)])
+    assert rows(tally.leader(tally.national_total(df))) == [(3, 4, S)]
+    assert rows(tally.champion(tally.winners_by_state(df))) == [(3, 2, H)]
+
+
 def test_empty_tally(spark):
     df = board(spark, [])
     assert rows(tally.champion(tally.winners_by_state(df))) == [(0, 0, "EMPATE")]
