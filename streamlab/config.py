@@ -49,6 +49,7 @@ class JobSettings:
     max_files: int = 0
     max_chars: int = 0
     trigger_seconds: int = 15
+    state_partitions: int = 0  # shuffle width of stateful queries; 0 leaves Spark's setting
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None, **defaults) -> "JobSettings":
@@ -75,7 +76,12 @@ class JobSettings:
 def build_session(app_name: str, settings: JobSettings | None = None) -> SparkSession:
     """Session of a stand-alone job; cluster-level options stay with ``spark-submit``."""
     builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in (STATE_STORE | (settings.object_store_conf() if settings else {})).items():
+    conf = dict(STATE_STORE)
+    if settings:
+        conf |= settings.object_store_conf()
+        if settings.state_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(settings.state_partitions)
+    for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")

@@ -69,8 +69,8 @@ class KeyedTable:
             self.compact()
 
     def _write(self, df: DataFrame, folder: str) -> None:
-        if self.files:
-            df = df.repartition(self.files)
+        # without a fixed count, adaptive execution sizes the files of a snapshot
+        df = df.repartition(self.files) if self.files else df.hint("rebalance")
         df.write.mode("overwrite").parquet(folder)
 
     def _merged(self) -> tuple[DataFrame, int | None]:
