@@ -20,6 +20,7 @@ QUERIES, ORACLES, query = t.registry()
 
 _RATE = 0.5
 _GRID = 200
+_DELIVERIES, _STEPS = 3, 2
 
 
 def _clean(spark, sf_dir):
@@ -41,11 +42,12 @@ def _trained(spark, sf_dir):
     return train, test, linear.train_step(train, model, rate=_RATE, steps=2)
 
 
-def _gradient_sql(name: str, model: str) -> str:
+def _gradient_sql(name: str, model: str, rows: str = "true") -> str:
     z = "b + w1 * (glucose - m1) / s1 + w2 * (bmi - m2) / s2"
     return f"""{name} AS (SELECT sum(e * (glucose - m1) / s1) AS g1, sum(e * (bmi - m2) / s2) AS g2,
       sum(e) AS g0, count(*) AS n
-      FROM (SELECT *, 1 / (1 + exp(-({z}))) - outcome AS e FROM train, scaler, {model}))"""
+      FROM (SELECT *, 1 / (1 + exp(-({z}))) - outcome AS e FROM train, scaler, {model}
+            WHERE {rows}))"""
 
 
 def _step_sql(name: str, model: str, gradient: str) -> str:
@@ -56,11 +58,12 @@ def _step_sql(name: str, model: str, gradient: str) -> str:
       FROM {model}, {gradient})"""
 
 
+_START_SQL = """scaler AS (SELECT avg(glucose) AS m1, avg(bmi) AS m2, stddev_pop(glucose) AS s1,
+                    stddev_pop(bmi) AS s2 FROM train),
+  model0 AS (SELECT 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS b)"""
 _MODEL_SQL = f"""WITH split AS ({t.SPLIT_SQL}),
   train AS (SELECT * FROM split WHERE NOT em_teste), test AS (SELECT * FROM split WHERE em_teste),
-  scaler AS (SELECT avg(glucose) AS m1, avg(bmi) AS m2, stddev_pop(glucose) AS s1,
-                    stddev_pop(bmi) AS s2 FROM train),
-  model0 AS (SELECT 0::DOUBLE AS w1, 0::DOUBLE AS w2, 0::DOUBLE AS b),
+  {_START_SQL},
   {_gradient_sql('grad0', 'model0')}, {_step_sql('model1', 'model0', 'grad0')},
   {_gradient_sql('grad1', 'model1')}, {_step_sql('model2', 'model1', 'grad1')}"""
 
@@ -205,37 +208,64 @@ def patient_grid(spark, sf_dir):
     )
 
 
-def _streamed_training(spark, sf_dir, batches=4):
-    """Training rows delivered as JSON files, one model update per micro-batch."""
+def _streamed_training(spark, sf_dir):
+    """Training rows in three deliveries of JSON files, the query restarted for each.
+
+    A delivery is one micro-batch: one model version, two gradient steps.
+    """
     base = work_dir(spark, "patient_training")
     train, test = _written_split(spark, sf_dir)
-    files = max(2, spark.sparkContext.defaultParallelism // 2)
-    arrivals = train.repartition(batches * files, t.SPLIT_KEY)
-    arrivals.select(*PATIENT.names).write.json(f"{base}/in")
+    arrivals = hash_minibatch(train, t.SPLIT_KEY, _DELIVERIES)
+    arrivals.select("lote", *PATIENT.names).write.partitionBy("lote").json(f"{base}/in")
     store = ModelStore(spark, f"{base}/artifacts")
-    trainer = plan.Trainer(store, linear.fit_scaler(train), test, steps=2, rate=_RATE)
-    stream = read_json_stream(spark, f"{base}/in", PATIENT, max_files=files)
-    run_stream(plan.start_training(stream, trainer, f"{base}/checkpoint"))
+    trainer = plan.Trainer(store, linear.fit_scaler(train), test, steps=_STEPS, rate=_RATE)
+    for n in range(1, _DELIVERIES + 1):
+        stream = read_json_stream(spark, f"{base}/in/lote=[1-{n}]", PATIENT)
+        run_stream(plan.start_training(stream, trainer, f"{base}/checkpoint"))
     return store, test
 
 
-@query()
+def _training_sql() -> str:
+    parts, model = [], "model0"
+    for n in range(1, _DELIVERIES + 1):
+        for k in range(_STEPS):
+            grad, moved = f"grad_{n}_{k}", f"model_{n}_{k}"
+            parts += [_gradient_sql(grad, model, f"lote = {n}"), _step_sql(moved, model, grad)]
+            model = moved
+    versions = " UNION ALL ".join(
+        f"SELECT {n - 1} AS lote, * FROM model_{n}_{_STEPS - 1}" for n in range(1, _DELIVERIES + 1)
+    )
+    chunk = f"('0x' || substr(md5(doc_id || '|7'), 1, 8))::BIGINT % {_DELIVERIES} + 1"
+    return f"""WITH split AS ({t.SPLIT_SQL}), test AS (SELECT * FROM split WHERE em_teste),
+  train AS (SELECT *, {chunk} AS lote FROM split WHERE NOT em_teste),
+  {_START_SQL}, {", ".join(parts)}, versions AS ({versions}),
+  history AS (SELECT v.lote::BIGINT AS lote,
+      (SELECT count(*) FROM train r WHERE r.lote <= v.lote + 1)::BIGINT AS pacientes_vistos,
+      {_r("avg((outcome = (b + w1 * (glucose - m1) / s1 + w2 * (bmi - m2) / s2 > 0)::INTEGER)::INTEGER)")}
+      AS acuracia
+    FROM versions v, test, scaler GROUP BY v.lote)"""
+
+
+@query(f"{_training_sql()} SELECT * FROM history")
 def patient_train_stream(spark, sf_dir):
-    """Accuracy on the fixed test rows after every batch of the stream."""
-    return _streamed_training(spark, sf_dir)[0].history()
+    """Rows seen and accuracy on the fixed test rows after every batch of the stream."""
+    history = _streamed_training(spark, sf_dir)[0].history()
+    return history.withColumn("acuracia", round_decimal("acuracia", 4))
 
 
-@query()
+@query(f"{_training_sql()} SELECT lote AS versao, pacientes_vistos, acuracia FROM history ORDER BY lote DESC LIMIT 1")
 def patient_model_latest(spark, sf_dir):
-    """Test accuracy of the newest stored model, loaded back from its table."""
+    """The newest stored model, loaded back from its table and scored again."""
     store, test = _streamed_training(spark, sf_dir)
     model = store.latest()
     scored = linear.accuracy(linear.predict(test, model))
     return scored.select(
-        F.lit(model.version).alias("versao"), F.lit(model.seen).alias("pacientes_vistos"), "acuracia"
+        F.lit(model.version).cast("long").alias("versao"),
+        F.lit(model.seen).cast("long").alias("pacientes_vistos"),
+        round_decimal("acuracia", 4).alias("acuracia"),
     )
 
 
-@query()
+@query(f"{_training_sql()} SELECT tipo, count(*)::BIGINT AS total FROM history, (VALUES ('models'), ('metrics')) k(tipo) GROUP BY 1")
 def artifact_counts(spark, sf_dir):
     return _streamed_training(spark, sf_dir)[0].artifact_counts()

@@ -56,15 +56,19 @@ class KeyedTable:
         return root, base, deltas
 
     def upsert(self, rows: DataFrame, batch_id: int, order_by: str | None = None) -> None:
-        """Write one batch. Keys must be unique in it unless ``order_by`` picks the last."""
+        """Write one batch. Keys must be unique in it unless ``order_by`` picks the last.
+
+        A batch that a snapshot already holds is written all the same, where no reader
+        looks: skipping it would leave the state of a stateful stream uncommitted.
+        """
         root, base, deltas = self._folders()
-        if base is not None and batch_id <= base:
-            return
         if order_by:
             last = [F.max_by(c, F.col(order_by)).alias(c) for c in self.values]
             rows = rows.groupBy(*self.keys).agg(*last)
         out = rows.select(*self.schema.names).withColumn(_VERSION, F.lit(batch_id).cast("long"))
         self._write(out, f"{root}/delta={batch_id}")
+        if base is not None and batch_id <= base:
+            return
         if len([v for v in deltas if v != batch_id]) + 1 >= self.compact_every:
             self.compact()
 

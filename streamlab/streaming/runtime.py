@@ -55,8 +55,9 @@ def start_batches(
 ) -> StreamingQuery:
     """Hand every micro-batch to ``handler(batch, batch_id)``.
 
-    A handler should run one action on the batch: each further action computes the batch
-    again, state store included. Write it once and go on from the written rows.
+    A handler should run exactly one action over the whole batch: each further action
+    computes the batch again, state store included, and none at all leaves the state
+    uncommitted. Write it once and go on from the written rows.
     """
     writer = _counted(df).writeStream.outputMode(mode).foreachBatch(handler)
     writer = writer.option("checkpointLocation", checkpoint)

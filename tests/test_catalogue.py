@@ -21,13 +21,8 @@ def test_query_equals_sql(spark, con, name):
     assert oracle.differences(all_queries()[name](spark, SF), con, all_oracles()[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(all_queries()) - set(all_oracles())))
-def test_query_without_sql_returns_rows(spark, name):
-    assert all_queries()[name](spark, SF).count() > 0
-
-
-def test_every_oracle_has_a_query():
-    assert set(all_oracles()) <= set(all_queries())
+def test_every_query_has_sql():
+    assert set(all_oracles()) == set(all_queries())
 
 
 def test_caller_session_is_left_alone(spark):
