@@ -104,7 +104,7 @@ def quotes(ev: DataFrame) -> DataFrame:
         F.greatest(F.col("value"), k.cast("double")).alias("maxima"),
         F.least(F.col("value"), k.cast("double")).alias("minima"),
         k.alias("volume"),
-        F.when(F.col("user_id") % 3 == 0, F.lit("USD")).alias("moeda"),
+        F.when(F.col("event_type") == "purchase", F.lit("USD")).alias("moeda"),
         F.lit(None).cast("string").alias("bolsa"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("coletado_em"),
     )
@@ -116,7 +116,7 @@ QUOTES_SQL = """
          nullif(greatest(value, (props->>'$.k')::DOUBLE), 0) AS maxima,
          nullif(least(value, (props->>'$.k')::DOUBLE), 0) AS minima,
          nullif((props->>'$.k')::BIGINT, 0) AS volume,
-         CASE WHEN user_id % 3 = 0 THEN 'USD' ELSE 'BRL' END AS moeda,
+         CASE WHEN event_type = 'purchase' THEN 'USD' ELSE 'BRL' END AS moeda,
          'B3' AS bolsa, ts AS coletado_em
   FROM events"""
 

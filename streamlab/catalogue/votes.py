@@ -44,16 +44,16 @@ def vote_decode(spark, sf_dir):
 
 
 @query(
-    """SELECT CASE WHEN event_id % 10 <> 0 THEN 'S' || (user_id % 27) END AS estado,
-    CASE WHEN event_id % 10 <> 0 THEN event_type END AS candidato, count(*)::BIGINT AS votos
+    """SELECT CASE WHEN event_type <> 'error' THEN 'S' || (user_id % 27) END AS estado,
+    CASE WHEN event_type <> 'error' THEN event_type END AS candidato, count(*)::BIGINT AS votos
     FROM events GROUP BY 1, 2"""
 )
 def vote_malformed(spark, sf_dir):
-    """Every tenth message is cut off: it counts under (NULL, NULL) instead of vanishing."""
+    """Messages of error events are not JSON: they count under (NULL, NULL), none vanishes."""
     votes = t.votes(t.events(spark, sf_dir))
     text = F.to_json(F.struct(*votes.columns))
-    broken = F.col("id_urna") % 10 == 0
-    value = F.when(broken, F.substring(text, 1, 12)).otherwise(text).cast("binary")
+    broken = F.concat(F.lit("#"), text)
+    value = F.when(F.col("candidato") == "error", broken).otherwise(text).cast("binary")
     messages = votes.select(value.alias("value"))
     return tally.running_count(decode_json(messages, VOTE), ["estado", "candidato"])
 
