@@ -29,6 +29,7 @@ def start(spark: SparkSession, settings: JobSettings, handler=None) -> Streaming
         handler = JdbcAppender(
             options, "evolucao_voos", FLIGHT_WINDOW_TABLE, f"{settings.output_dir}/evolucao_voos"
         )
+        handler.create_target(spark, "postgresql", ("companhia", "janela_inicio"))
     stream = read_json_stream(spark, settings.stream_dir, FLIGHT, settings.max_files or MAX_FILES)
     windows = flight_windows(parse_event_time(stream, "event_time"))
     checkpoint = settings.checkpoint_dir or f"{settings.output_dir}/checkpoint"

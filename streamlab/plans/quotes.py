@@ -31,6 +31,7 @@ def start(spark: SparkSession, settings: JobSettings, handler=None) -> Streaming
             "driver": "com.mysql.cj.jdbc.Driver",
         }
         handler = JdbcAppender(options, "cotacoes", QUOTE_TABLE, f"{settings.output_dir}/cotacoes")
+        handler.create_target(spark, "mysql", ("ticker", "coletado_em"))
     stream = read_json_stream(spark, settings.stream_dir, QUOTE, settings.max_files or MAX_FILES)
     checkpoint = settings.checkpoint_dir or f"{settings.output_dir}/checkpoint"
     return start_batches(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,19 +20,29 @@ _TYPES = {
 _IDENTITY = {"mysql": "BIGINT AUTO_INCREMENT PRIMARY KEY", "postgresql": "BIGSERIAL PRIMARY KEY"}
 
 
-def table_ddl(contract: T.StructType, table: str, dialect: str, index: tuple[str, ...] = ()) -> list[str]:
-    """Statements that create the target: generated id, contract, batch number, write time."""
+def table_ddl(
+    contract: T.StructType, table: str, dialect: str, index: tuple[str, ...] = ()
+) -> list[str]:
+    """Statements that create the target if it is missing.
+
+    The table holds a generated id, the contract's columns, the batch number and the time
+    of writing, with indexes on the batch number and on the ``index`` columns.
+    """
     columns = [f"id {_IDENTITY[dialect]}"]
     for f in contract.fields:
         kind = f.dataType.simpleString()
         sql_type = kind.upper() if kind.startswith("decimal") else _TYPES[dialect][kind]
         columns.append(f"{f.name} {sql_type}" + ("" if f.nullable else " NOT NULL"))
     columns += [f"{_BATCH} BIGINT NOT NULL", "processado_em TIMESTAMP DEFAULT CURRENT_TIMESTAMP"]
-    statements = [f"CREATE TABLE {table} ({', '.join(columns)})"]
-    statements.append(f"CREATE INDEX idx_{table}_lote ON {table} ({_BATCH})")
+    indexes = {f"idx_{table}_lote": _BATCH}
     if index:
-        statements.append(f"CREATE INDEX idx_{table} ON {table} ({', '.join(index)})")
-    return statements
+        indexes[f"idx_{table}"] = ", ".join(index)
+    if dialect == "mysql":  # no CREATE INDEX IF NOT EXISTS there
+        columns += [f"INDEX {name} ({cols})" for name, cols in indexes.items()]
+        indexes = {}
+    return [f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"] + [
+        f"CREATE INDEX IF NOT EXISTS {name} ON {table} ({cols})" for name, cols in indexes.items()
+    ]
 
 
 class JdbcAppender:
@@ -65,6 +75,9 @@ class JdbcAppender:
         self.insert(staged)
         self.execute(batch.sparkSession, self.publish_statements(batch_id))
 
+    def create_target(self, spark: SparkSession, dialect: str, index: tuple[str, ...] = ()) -> None:
+        self.execute(spark, table_ddl(self.contract, self.table, dialect, index))
+
     def stage(self, batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
         folder = f"{self.staging_dir}/lote={batch_id}"
@@ -100,9 +113,14 @@ class JdbcAppender:
             f"SELECT {names}, {int(batch_id)} FROM ({distinct}) s",
         ]
 
-    def execute(self, spark, statements: list[str]) -> None:
-        # the staging write has registered the JDBC driver in this JVM
-        connection = spark._jvm.java.sql.DriverManager.getConnection(
+    def execute(self, spark: SparkSession, statements: list[str]) -> None:
+        """Run statements in one transaction on a connection of the driver process."""
+        jvm = spark._jvm
+        # Spark's own registration also finds drivers that came with --jars or --packages
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(
+            self.options["driver"]
+        )
+        connection = jvm.java.sql.DriverManager.getConnection(
             self.options["url"], self.options.get("user"), self.options.get("password")
         )
         try:

@@ -16,7 +16,9 @@ Handler = Callable[[DataFrame, int], None]
 
 _PROGRESS = (
     T.StructType()
+    .add("consulta", "string")
     .add("lote", "long")
+    .add("duracao_ms", "long")
     .add("linhas_entrada", "long")
     .add("linhas_saida", "long")
     .add("linhas_estado", "long")
@@ -89,7 +91,9 @@ def run_stream(query: StreamingQuery, timeout: int | None = None) -> StreamingQu
 def _progress_row(p) -> tuple:
     state, output = p.stateOperators, p.observedMetrics.get(_OUTPUT)
     return (
+        str(p.id),
         p.batchId,
+        p.batchDuration,
         p.numInputRows,
         output["linhas"] if output else None,
         sum(s.numRowsTotal for s in state),

@@ -21,7 +21,7 @@ TEXTS = {
 
 
 def posts(spark, texts):
-    return spark.createDataFrame([(k, t, None) for k, t in texts.items()], POST.names and "id string, texto string, criado_em string")
+    return spark.createDataFrame([(k, t, None) for k, t in texts.items()], "id string, texto string, criado_em string")
 
 
 def test_every_star_null_and_empty(spark):

@@ -100,11 +100,15 @@ def test_jdbc_publish_is_exactly_once(spark, con, tmp_path):
 
 
 def test_target_ddl():
-    create, by_batch, index = table_ddl(QUOTE_TABLE, "cotacoes", "mysql", ("ticker", "coletado_em"))
+    (create,) = table_ddl(QUOTE_TABLE, "cotacoes", "mysql", ("ticker", "coletado_em"))
     assert "ticker VARCHAR(255) NOT NULL" in create and "preco DECIMAL(18,4) NOT NULL" in create
     assert "abertura DECIMAL(18,4)," in create and "processado_em TIMESTAMP DEFAULT" in create
-    assert by_batch.endswith("(lote_id)") and index.endswith("(ticker, coletado_em)")
-    assert "BIGSERIAL" in table_ddl(FLIGHT_WINDOW_TABLE, "evolucao_voos", "postgresql")[0]
+    assert "INDEX idx_cotacoes_lote (lote_id)" in create and "(ticker, coletado_em)" in create
+    create, by_batch, index = table_ddl(
+        FLIGHT_WINDOW_TABLE, "evolucao_voos", "postgresql", ("companhia", "janela_inicio")
+    )
+    assert "id BIGSERIAL PRIMARY KEY" in create and "atraso_medio_min DOUBLE PRECISION," in create
+    assert by_batch.endswith("ON evolucao_voos (lote_id)") and index.endswith("(companhia, janela_inicio)")
 
 
 def test_quote_flow_end_to_end(spark, deliver, tmp_path):
