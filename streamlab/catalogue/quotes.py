@@ -38,8 +38,8 @@ def quote_json_stream(spark, sf_dir):
     """Events delivered as JSON lines, streamed in several micro-batches into a table."""
     base = work_dir(spark, "quote_stream")
     files = max(4, spark.sparkContext.defaultParallelism)
-    raw = t.quotes(t.events(spark, sf_dir)).repartition(files, "event_id").drop("event_id")
-    raw.write.json(f"{base}/in")
+    raw = t.quotes(t.events(spark, sf_dir)).drop("event_id")
+    raw.repartition(files).write.json(f"{base}/in")
     stream = typed_quotes(read_json_stream(spark, f"{base}/in", QUOTE, max_files=files // 2))
     out = f"{base}/cotacoes"
     run_stream(
