@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import decontaminate, jaccard_join, secrets, toxicity
+from streamlab.llm import decontaminate, html_text, jaccard_join, packing, quality, secrets, sharding, toxicity
 from streamlab.llm.bpe import BpeCodec, round_trip
 from streamlab.llm.session import documents
 
@@ -68,6 +68,23 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return packing.pack(docs.select("doc_id", codec(spark).encode("text").alias("ids")))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(documents(spark, sf_dir))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(documents(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
@@ -78,9 +95,75 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", *counts, "base_sha256", "spans")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    judged = quality.judge(docs, documents(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+OP9_SQL = r"""
+  WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS s, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+    FROM documents),
+  windows AS (SELECT doc_id, i, w[i : i + 4] AS g FROM texts, unnest(range(1, len(w) - 3)) AS u(i)),
+  repeats AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+  steps AS (SELECT doc_id, least(5, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i), 5)) AS d FROM repeats),
+  repeated AS (SELECT doc_id, sum(d)::BIGINT AS n FROM steps GROUP BY 1),
+  m AS (
+    SELECT doc_id, s, len(w)::BIGINT AS n_words, len(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+           (len(t) - len(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+           (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+    FROM texts LEFT JOIN repeated USING (doc_id)),
+  judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, @LEVEL AS lev FROM m),
+  holdout AS (
+    SELECT s, t, count(*) AS n, count_if(lev <= t)::BIGINT AS k
+    FROM judged SEMI JOIN (SELECT * FROM labels WHERE quality = 1) USING (doc_id), unnest(range(@LEVELS)) AS u(t)
+    WHERE NOT base_failed GROUP BY 1, 2),
+  terms AS (
+    SELECT s, t, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(@ALPHA) + (n - i) * ln(1 - @ALPHA))) AS p
+    FROM holdout, unnest(range(k + 1)) AS u(i) WHERE k <= n * @ALPHA GROUP BY 1, 2),
+  strict AS (
+    SELECT s, max(t) AS t FROM terms
+    WHERE p <= @DELTA / ((SELECT greatest(1, count(DISTINCT s)) FROM holdout) * @LEVELS) GROUP BY 1)
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+         NOT (base_failed OR coalesce(lev <= strict.t, false)) AS kept
+  FROM judged LEFT JOIN strict USING (s)"""
+_SQL_VALUES = {
+    "symbols": "n_symbols / nullif(n_words, 0)",
+    "dup_lines": "n_dup_lines / nullif(n_words, 0)",
+    "repeats": "n_repeat_words / nullif(n_words, 0)",
+    "long_words": "word_chars / nullif(n_words, 0)",
+    "short_words": "1 / (word_chars / nullif(n_words, 0))",
+}
+
+
+def _op9_sql() -> str:
+    """The cut-offs and bounds of the operator put into the SQL."""
+    rules = [
+        "CASE " + " ".join(f"WHEN {v} > {c} THEN {t}" for t, c in enumerate(quality.RULES[r])) + f" ELSE {quality.LEVELS} END"
+        for r, v in _SQL_VALUES.items()
+    ]
+    values = {"@LEVELS": quality.LEVELS, "@LEVEL": f"least({', '.join(rules)})", "@ALPHA": quality.ALPHA, "@DELTA": quality.DELTA}
+    sql = OP9_SQL
+    for name, value in values.items():
+        sql = sql.replace(name, str(value))
+    return sql
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_jaccard_join, op3_toxicity, op8_secrets, op10_decontaminate)}
-ORACLES = {"op2_jaccard_join": OP2_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_byte_bpe, op2_jaccard_join, op3_toxicity, op4_packing, op5_sharding, op6_main_text, op8_secrets, op9_quality,
+        op10_decontaminate,
+    )
+}
+ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql()}
