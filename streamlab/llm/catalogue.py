@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import decontaminate, html_text, jaccard_join, packing, quality, secrets, sharding, toxicity
+from streamlab.llm import decontaminate, html_text, jaccard_join, packing, quality, secrets, sharding, suffix_dedup, toxicity
 from streamlab.llm.bpe import BpeCodec, round_trip
 from streamlab.llm.session import documents
 
@@ -85,6 +85,15 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts, ends = F.col("span_starts"), F.col("span_ends")
+    removed = F.aggregate(F.zip_with(starts, ends, lambda a, b: b - a), F.lit(0).cast("long"), lambda total, n: total + n)
+    return suffix_dedup.dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size(starts).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
@@ -162,8 +171,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_byte_bpe, op2_jaccard_join, op3_toxicity, op4_packing, op5_sharding, op6_main_text, op8_secrets, op9_quality,
-        op10_decontaminate,
+        op1_byte_bpe, op2_jaccard_join, op3_toxicity, op4_packing, op5_sharding, op6_main_text,
+        op7_suffix_dedup, op8_secrets, op9_quality, op10_decontaminate,
     )
 }
 ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql()}
