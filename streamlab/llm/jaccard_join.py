@@ -16,7 +16,9 @@ table of counts per hash range and any table keeps the join exact.
 Only one text of each equal set takes part. Candidates of a list are first compared with their
 neighbours in it; what is similar becomes one group. Then lists that still hold two groups are
 compared in full across groups. So no list is expanded within a group, and no link between groups
-is lost. Equal sets are found by a 128-bit digest; similarities count 64-bit hashes.
+is lost. Candidates that meet in too few lists, or whose parity sketches differ in too many bits,
+can't be similar; the others are compared. Equal sets are found by a 128-bit digest; similarities
+count 48-bit hashes.
 
 Handling of odd input: NULL or empty texts, or texts without words, have an empty set and are
 linked with nothing; rows with the same id count as one document with several texts; rows with a
@@ -60,6 +62,16 @@ def prefix_length(a: int) -> int:
     return a - (-(-NUMERATOR * a // DENOMINATOR)) + 1
 
 
+def fewest_met(a, b):
+    """Lists in which similar heavy sets of sizes a and b meet at least (columns or numbers).
+
+    What they share is met in lists, but for what follows the first shingles of the set whose
+    first shingles end sooner: at most the longer of both rests.
+    """
+    share = F.ceil((a + b) * NUMERATOR / (NUMERATOR + DENOMINATOR))
+    return share - F.greatest(*(F.ceil(n * NUMERATOR / DENOMINATOR) - 1 for n in (a, b)))
+
+
 def digest(shingles: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     one = int(np.add.reduce(shingles, dtype=np.uint64))
@@ -67,6 +79,23 @@ def digest(shingles: np.ndarray) -> tuple[int, int]:
     return tuple((x + len(shingles)) % 2**64 - 2**63 for x in (one, two))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """One bit per shingle and more: the parity of the shingles that fall on each bit.
+
+    Two sketches differ in no more bits than the sets do in shingles.
+    """
+    bits = max(64, 1 << len(shingles).bit_length())
+    at = (mix(shingles ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def sketches_differ(one: bytes, two: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the length of the other."""
+    x, y = sorted((np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)), key=len)
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def light_keys(shingles: np.ndarray, light: int) -> list[int]:
     """Keys of the subsets of a light set, for partners that are light too."""
     n = len(shingles)
@@ -95,33 +124,42 @@ def keys_of(shingles: np.ndarray, light: int, levels: np.ndarray) -> np.ndarray:
     return np.concatenate(parts) if parts else shingles[:0]
 
 
+_ROWS_AT_ONCE = 4_096
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for k in range(0, batch.num_rows, _ROWS_AT_ONCE):
+        yield batch.slice(k, _ROWS_AT_ONCE)
+
+
 def _signed(h) -> pa.Array:
     return pa.array(np.ascontiguousarray(h, np.uint64).view(np.int64))
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and digest of each set, and counts of the shingles that are frequent in the batch."""
-    names = ["kind", "doc_id", "n", "d1", "d2"]
-    for batch in batches:
-        sizes, digests, first, seen = [], [], [], set()
+    names = ["kind", "doc_id", "n", "d1", "d2", "sketch"]
+    for batch in (part for whole in batches for part in slices(whole)):
+        sizes, digests, sketches, first, seen = [], [], [], [], set()
         for s in shingle_sets(batch["text"]):
             d = digest(s)
             sizes.append(len(s))
             digests.append(d)
+            sketches.append(sketch(s))
             if d not in seen:
                 seen.add(d)
                 first.append(s)
         d1, d2 = zip(*digests) if digests else ((), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(len(sizes), np.int32)), batch["doc_id"].cast(pa.int64()), pa.array(sizes, pa.int64()),
-             pa.array(d1, pa.int64()), pa.array(d2, pa.int64())], names)
+             pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sketches, pa.binary())], names)
         if first:
             h, count = np.unique(np.concatenate(first), return_counts=True)
             h, count = h[count >= _OFTEN_IN_BATCH], count[count >= _OFTEN_IN_BATCH]
             nothing = np.zeros(len(h), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(len(h), np.int32)), pa.array(nothing), pa.array(count, pa.int64()), _signed(h),
-                 pa.array(nothing)], names)
+                 pa.array(nothing), pa.nulls(len(h), pa.binary())], names)
 
 
 def boundary(sizes: dict[int, int], list_length: float) -> int:
@@ -179,26 +217,70 @@ def _bucket(doc_id: np.ndarray) -> np.ndarray:
     return (mix(doc_id.astype(np.uint64)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
+def _packed(shingles: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash; enough to count what two sets share."""
+    return np.ascontiguousarray(shingles, "<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _unpacked(raw: pa.Scalar) -> np.ndarray:
+    out = np.zeros((len(raw.as_buffer()) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _shared(one: pa.Array, two: pa.Array) -> pa.Array:
     out = []
     for a, b in zip(one, two):
-        a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-        both = np.concatenate([a, b])
+        both = np.concatenate([_unpacked(a), _unpacked(b)])
         both.sort(kind="stable")
         out.append(int((both[1:] == both[:-1]).sum()))
     return pa.array(out, pa.int64())
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are similar."""
-    shared = F.arrow_udf(_shared, "long")
-    one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("one"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("two"))
-    size = (F.octet_length("one") + F.octet_length("two")) / 8
-    return (
-        pairs.join(one, "a").join(two, "b").withColumn("both", shared("one", "two"))
-        .where(F.col("both") * DENOMINATOR >= (size - F.col("both")) * NUMERATOR).select("a", "b")
-    )
+def _differ(one: pa.Array, two: pa.Array) -> pa.Array:
+    return pa.array([sketches_differ(a.as_py(), b.as_py()) for a, b in zip(one, two)], pa.int64())
+
+
+def _places(ids: DataFrame) -> np.ndarray:
+    """Table of which hash ranges of ids occur: 2 ** TABLE_BITS bits, whatever the number of ids."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bucket(batch["doc_id"].to_numpy())))], ["at"])
+
+    wanted = np.zeros(1 << TABLE_BITS, bool)
+    wanted[ids.mapInArrow(places, "at long").distinct().toPandas()["at"].to_numpy(np.int64)] = True
+    return np.packbits(wanted)
+
+
+def similar(pairs: DataFrame, sketches: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar.
+
+    Sketches rule out most of the others; then the sets of the remaining documents are made once
+    more from their texts, and compared.
+    """
+    spark = docs.sparkSession
+    one, two = (sketches.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab")
+    apart = F.arrow_udf(_differ, "long")("s_a", "s_b") * (DENOMINATOR + NUMERATOR)
+    likely = pairs.join(one, "a").join(two, "b").where(apart <= (F.col("n_a") + F.col("n_b")) * (DENOMINATOR - NUMERATOR))
+    likely = written(likely.select("a", "b", "n_a", "n_b"), "likely")
+    ids = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id")))
+    chosen = spark.sparkContext.broadcast(_places(ids))
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(chosen.value).astype(bool)
+        for batch in batches:
+            batch = batch.filter(pa.array(bits[_bucket(batch["doc_id"].to_numpy())]))
+            for part in slices(batch):
+                sets = pa.array([_packed(s) for s in shingle_sets(part["text"])], pa.binary())
+                yield pa.RecordBatch.from_arrays([part["doc_id"], sets], ["doc_id", "shingles"])
+
+    sets = written(docs.where("doc_id is not null").mapInArrow(fetch, "doc_id long, shingles binary"), "shingles")
+    one, two = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+    both = F.arrow_udf(_shared, "long")("set_a", "set_b").alias("both")
+    size = (F.octet_length("set_a") + F.octet_length("set_b")) / 6
+    counted = likely.join(one, "a").join(two, "b").select("a", "b", size.alias("size"), both)
+    return counted.where(F.col("both") * DENOMINATOR >= (F.col("size") - F.col("both")) * NUMERATOR).select("a", "b")
 
 
 def link(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -206,7 +288,7 @@ def link(docs: DataFrame, text: str = "text") -> DataFrame:
     component_id (smallest id that links lead to)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
-    described = written(docs.mapInArrow(_describe, "kind int, doc_id long, n long, d1 long, d2 long"), "sets")
+    described = written(docs.mapInArrow(_describe, "kind int, doc_id long, n long, d1 long, d2 long, sketch binary"), "sets")
     rows = described.where("kind = 0").drop("kind")
     classes = rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class_id")).where("class_id is not null")
     copies = written(
@@ -261,31 +343,11 @@ def link(docs: DataFrame, text: str = "text") -> DataFrame:
     near = near.groupBy("a").agg(F.max_by("b", F.struct("k", -F.col("b"))).alias("b"))
     near = written(near, "near")
 
-    members = written(of_class(lists.select("doc_id").distinct(), "doc_id").distinct(), "members")
-    wanted = np.zeros(1 << TABLE_BITS, bool)
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bucket(batch["doc_id"].to_numpy())))], ["at"])
-
-    # at most 2 ** TABLE_BITS numbers
-    wanted[members.mapInArrow(places, "at long").distinct().toPandas()["at"].to_numpy(np.int64)] = True
-    chosen = spark.sparkContext.broadcast(np.packbits(wanted))
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(chosen.value).astype(bool)
-        for batch in batches:
-            batch = batch.filter(pa.array(bits[_bucket(batch["doc_id"].to_numpy())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([s.tobytes() for s in shingle_sets(batch["text"])], pa.binary())], ["doc_id", "shingles"]
-            )
-
-    sets = docs.where("doc_id is not null").mapInArrow(fetch, "doc_id long, shingles binary")
-    sets = written(sets.join(members, "doc_id", "left_semi").where(F.octet_length("shingles") > 0), "shingles")
-    first = written(similar(near, sets), "links")
+    sketches = rows.where("n > 0").select("doc_id", "n", "sketch")
+    first = written(similar(near, sketches, docs), "links")
     group = components(first)
 
-    grouped = of_class(lists.select("h", "doc_id", "n"), "doc_id").distinct()
+    grouped = of_class(lists.select("h", "doc_id", "n"), "doc_id")
     grouped = (
         grouped.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("h", "doc_id", "n", F.coalesce("component", "doc_id").alias("g")).repartition("h")
@@ -293,16 +355,16 @@ def link(docs: DataFrame, text: str = "text") -> DataFrame:
     mixed = grouped.groupBy("h").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("h")
     mixed = written(grouped.join(mixed, "h"), "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
-    across = (
-        x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.g") < F.col("y.g"))
-               & (F.col("x.n") * DENOMINATOR >= F.col("y.n") * NUMERATOR) & (F.col("y.n") * DENOMINATOR >= F.col("x.n") * NUMERATOR))
-        .select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct()
-        .join(near.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    more = written(similar(written(across, "across"), sets), "links")
+    sizes_fit = (F.col("x.n") * DENOMINATOR >= F.col("y.n") * NUMERATOR) & (F.col("y.n") * DENOMINATOR >= F.col("x.n") * NUMERATOR)
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.g") < F.col("y.g")) & sizes_fit)
+    counted = met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
+    counted = counted.agg(F.count("*").alias("k")).where((F.least("n_a", "n_b") <= light) | (F.col("k") >= fewest_met(F.col("n_a"), F.col("n_b"))))
+    across = counted.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    across = written(across.join(near.select("a", "b"), ["a", "b"], "left_anti"), "across")
+    more = written(similar(across, sketches, docs), "links")
     whole = components(first.unionByName(more))
 
-    rows = rows.join(classes, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
+    rows = rows.drop("sketch").join(classes, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("class_id", "doc_id").alias("class_id"))
     return (
         rows.join(whole.withColumnRenamed("node", "class_id"), "class_id", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"),
