@@ -85,13 +85,12 @@ def base_failed() -> Column:
 def rule_values() -> dict[str, Column]:
     """Measure of each rule; none for a text without words, which the base rules reject."""
     words = F.col("n_words").cast("double")
-    mean = F.col("word_chars") / words
     return {
-        "symbols": F.col("n_symbols") / words,
-        "dup_lines": F.col("n_dup_lines") / words,
-        "repeats": F.col("n_repeat_words") / words,
-        "long_words": mean,
-        "short_words": 1 / mean,
+        "symbols": F.try_divide("n_symbols", words),
+        "dup_lines": F.try_divide("n_dup_lines", words),
+        "repeats": F.try_divide("n_repeat_words", words),
+        "long_words": F.try_divide("word_chars", words),
+        "short_words": F.lit(1) / F.try_divide("word_chars", words),
     }
 
 
