@@ -2,7 +2,9 @@
 
 Documents with equal texts form a group that stays in one shard, unless it is heavier than a
 shard's fair share. Groups are placed, heaviest first, where the dot product of the group's
-vector (bytes, tokens, rows as shares of the total) with the shard's residual capacity is highest.
+vector (bytes, tokens, rows as shares of the total) with the shard's residual capacity is highest,
+among the shards that have the room in bytes (the one with most, where none has): bytes come out
+near equal, tokens and rows as even as that allows.
 
 What is placed one by one is bounded by parameters, whatever the input's size: groups that weigh
 more than ``1 / UNITS`` of the total in some dimension (so at most ``3 * UNITS``), and ``2 *
@@ -27,15 +29,17 @@ from streamlab.llm.session import written
 
 SHARDS = 16
 UNITS = 4096
+_CUTS = 4  # parts a shard's fair share of a group that must be cut is made of
 _FINE = 16  # a narrow hash range is one sixteenth of a wide one
 
 
 def place(weights: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of each unit; ``weights`` has one row per unit and sums to 1 in each column."""
+    """Shard of each unit; ``weights`` has one row per unit (bytes first) and sums to 1 in each column."""
     room = np.full((shards, weights.shape[1]), 1.0 / shards)
     out = np.empty(len(weights), np.int32)
     for i in np.argsort(-weights.max(axis=1), kind="stable"):
-        out[i] = k = int(np.argmax(room @ weights[i]))
+        fits = room[:, 0] >= weights[i, 0]
+        out[i] = k = int(np.argmax(np.where(fits, room @ weights[i], -np.inf) if fits.any() else room[:, 0]))
         room[k] -= weights[i]
     return out
 
@@ -64,7 +68,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, units: int = UNITS, text: str =
     share = F.greatest(*(F.col(c) / float(w) for c, w in zip(("size", "tokens", "rows"), whole)))
     heavy = (
         rows.groupBy("text_key").agg(*sums).withColumn("share", share).where(F.col("share") > 1.0 / units)
-        .select("text_key", F.ceil(F.col("share") * shards).cast("int").alias("cuts"), F.ceil(F.col("share") * units).cast("int").alias("parts"))
+        .select("text_key", F.when(F.col("share") > 1.0 / shards, F.ceil(F.col("share") * shards * _CUTS)).otherwise(1).cast("int").alias("cuts"), F.ceil(F.col("share") * units).cast("int").alias("parts"))
     )
     # a hash range is wide or narrow by its first draw; both kinds have `units` ranges
     draw = F.pmod(F.xxhash64("text_key"), F.lit(units * (_FINE + 1)))
