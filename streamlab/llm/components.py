@@ -9,8 +9,9 @@ from streamlab.llm.session import written
 
 
 def _print(edges: DataFrame) -> tuple:
-    """Row count and an order-free digest: one row to the driver."""
-    return tuple(edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
+    """Order-free digest of the distinct edges' smallest ends per node: one row to the driver."""
+    low = edges.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("c"))
+    return tuple(low.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b", "c")), F.lit(0))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,13 +26,14 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(start, "edges")
     seen = _print(now)
     while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # dealt out by node once per star: what follows needs no further exchange
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))).repartition("a").distinct()
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).repartition("a").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+            .unionByName(low.select("a", F.col("m").alias("b")))
         )
         now = written(small, "edges")
         after = _print(now)
@@ -39,4 +41,4 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = after
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).distinct().unionByName(roots)

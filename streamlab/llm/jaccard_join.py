@@ -13,12 +13,12 @@ entries, read as often as lists are long, for heavy ones. In the global order sh
 documents have come last, so passages that documents share fill no lists; the order is a fixed
 table of counts per hash range and any table keeps the join exact.
 
-Only one text of each equal set takes part. Candidates of a list are first compared with their
-neighbours in it; what is similar becomes one group. Then lists that still hold two groups are
-compared in full across groups. So no list is expanded within a group, and no link between groups
-is lost. Candidates that meet in too few lists, or whose parity sketches differ in too many bits,
-can't be similar; the others are compared. Equal sets are found by a 128-bit digest; similarities
-count 48-bit hashes.
+Only one text of each equal set takes part. Sets are first compared with the hub they share most
+lists with; what is similar becomes one group. Then lists that still hold two groups are compared
+in full across groups. So no list is expanded within a group, and no link between groups is lost.
+Two sets must be left enough shingles where they first meet; candidates whose parity sketches
+differ in too many bits can't be similar; the others are compared. Equal sets are found by a
+128-bit digest; similarities count 48-bit hashes.
 
 Handling of odd input: NULL or empty texts, or texts without words, have an empty set and are
 linked with nothing; rows with the same id count as one document with several texts; rows with a
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlab.llm.components import components
@@ -43,7 +43,7 @@ from streamlab.llm.session import written
 NUMERATOR, DENOMINATOR = 75, 100
 LARGEST_LIGHT = 14
 TABLE_BITS = 20  # of the table of counts and of the table of documents that have candidates
-_OFTEN_IN_BATCH, _OFTEN = 4, 16
+_OFTEN_IN_BATCH, _OFTEN = 2, 6
 _SUBSET = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -62,14 +62,16 @@ def prefix_length(a: int) -> int:
     return a - (-(-NUMERATOR * a // DENOMINATOR)) + 1
 
 
-def fewest_met(a, b):
-    """Lists in which similar heavy sets of sizes a and b meet at least (columns or numbers).
+def sizes_fit(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be similar."""
+    return (F.col(a) * DENOMINATOR >= F.col(b) * NUMERATOR) & (F.col(b) * DENOMINATOR >= F.col(a) * NUMERATOR)
 
-    What they share is met in lists, but for what follows the first shingles of the set whose
-    first shingles end sooner: at most the longer of both rests.
-    """
+
+def first_met(x: str, y: str) -> Column:
+    """Whether enough of both sets follows for this to be the first shingle that they share."""
+    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
     share = F.ceil((a + b) * NUMERATOR / (NUMERATOR + DENOMINATOR))
-    return share - F.greatest(*(F.ceil(n * NUMERATOR / DENOMINATOR) - 1 for n in (a, b)))
+    return (a - F.col(f"{x}.place") >= share) & (b - F.col(f"{y}.place") >= share)
 
 
 def digest(shingles: np.ndarray) -> tuple[int, int]:
@@ -115,13 +117,15 @@ def list_keys(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return shingles[order[: prefix_length(len(shingles))]]
 
 
-def keys_of(shingles: np.ndarray, light: int, levels: np.ndarray) -> np.ndarray:
+def keys_of(shingles: np.ndarray, light: int, levels: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, places) of a set's entries; a place is that in the global order, 0 for subsets."""
     n, parts = len(shingles), []
     if n <= light:
-        parts += light_keys(shingles, light)
+        parts += [(k, np.zeros(len(k), np.int64)) for k in light_keys(shingles, light)]
     if n > light or sizes_like(n)[-1] > light:
-        parts.append(list_keys(shingles, levels))
-    return np.concatenate(parts) if parts else shingles[:0]
+        keys = list_keys(shingles, levels)
+        parts.append((keys, np.arange(len(keys))))
+    return parts
 
 
 _ROWS_AT_ONCE = 4_096
@@ -137,25 +141,32 @@ def _signed(h) -> pa.Array:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and digest of each set, and counts of the shingles that are frequent in the batch."""
+    """Size, digest and sketch of each set, and counts of the shingles that are frequent in the batch."""
     names = ["kind", "doc_id", "n", "d1", "d2", "sketch"]
-    for batch in (part for whole in batches for part in slices(whole)):
-        sizes, digests, sketches, first, seen = [], [], [], [], set()
-        for s in shingle_sets(batch["text"]):
-            d = digest(s)
-            sizes.append(len(s))
-            digests.append(d)
-            sketches.append(sketch(s))
-            if d not in seen:
-                seen.add(d)
-                first.append(s)
-        d1, d2 = zip(*digests) if digests else ((), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(len(sizes), np.int32)), batch["doc_id"].cast(pa.int64()), pa.array(sizes, pa.int64()),
-             pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sketches, pa.binary())], names)
+    for batch in batches:
+        first, seen = [], set()
+        for part in slices(batch):
+            sizes, digests, sketches = [], [], []
+            for s in shingle_sets(part["text"]):
+                d = digest(s)
+                sizes.append(len(s))
+                digests.append(d)
+                sketches.append(sketch(s))
+                if d not in seen:
+                    seen.add(d)
+                    first.append(s)
+            d1, d2 = zip(*digests)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(len(sizes), np.int32)), part["doc_id"].cast(pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sketches, pa.binary())], names)
         if first:
-            h, count = np.unique(np.concatenate(first), return_counts=True)
-            h, count = h[count >= _OFTEN_IN_BATCH], count[count >= _OFTEN_IN_BATCH]
+            every = np.concatenate(first)
+            del first
+            every.sort()
+            start = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+            count = np.diff(np.append(start, len(every)))
+            often = count >= _OFTEN_IN_BATCH
+            h, count = every[start[often]], count[often]
             nothing = np.zeros(len(h), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(len(h), np.int32)), pa.array(nothing), pa.array(count, pa.int64()), _signed(h),
@@ -182,35 +193,26 @@ def _alike(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return n * DENOMINATOR >= m * NUMERATOR
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of lists sorted by (h, n): entries with a neighbour of like size, and that neighbour before.
+_ENTRY = "h long, doc_id long, n int, place int"
 
-    One pass that keeps one entry of the list at hand, however long the list is.
-    """
-    last = np.zeros((0, 3), np.int64)
-    linked = False  # whether the kept entry has a like neighbour before it
 
-    def out(rows: np.ndarray, before: np.ndarray, has: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)), pa.array(before, mask=~has)],
-            ["h", "doc_id", "n", "before"])
+def _with_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of lists sorted by (h, n): the entries with a neighbour of like size.
 
-    previous, has_previous = np.zeros(0, np.int64), np.zeros(0, bool)
+    One pass that keeps one entry of the list at hand, however long the list is.
+    """
+    last, linked = None, False  # the entry at hand, and whether the one before it is like it
     for batch in batches:
-        new = np.stack([batch[c].to_numpy() for c in ("h", "doc_id", "n")], axis=1)
-        if not len(new):
+        if not batch.num_rows:
             continue
-        rows = np.concatenate([last, new])
-        like = (rows[1:, 0] == rows[:-1, 0]) & _alike(rows[:-1, 2], rows[1:, 2])
-        has = np.concatenate([[linked] if len(last) else [False], like])
-        before = np.concatenate([previous if len(last) else rows[:1, 1], rows[:-1, 1]])
-        keep = has[:-1] | like
-        if keep.any():
-            yield out(rows[:-1][keep], before[:-1][keep], has[:-1][keep])
-        last, linked, previous = rows[-1:], bool(has[-1]), before[-1:]
-        has_previous = has[-1:]
-    if len(last) and linked:
-        yield out(last, previous, has_previous)
+        whole = batch if last is None else pa.concat_batches([last, batch])
+        h, n = whole["h"].to_numpy(), whole["n"].to_numpy().astype(np.int64)
+        like = (h[1:] == h[:-1]) & _alike(n[:-1], n[1:])
+        has = np.concatenate([[linked], like])
+        yield whole.slice(0, len(h) - 1).filter(pa.array(has[:-1] | like))
+        last, linked = whole.slice(len(h) - 1), bool(has[-1])
+    if last is not None and linked:
+        yield last
 
 
 def _bucket(doc_id: np.ndarray) -> np.ndarray:
@@ -311,56 +313,61 @@ def link(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, at, seen = [], [], [], set()
+            keys, places, sizes, at, seen = [], [], [], [], set()
             for i, s in enumerate(shingle_sets(batch["text"])):
                 d = digest(s)
                 if len(s) and d not in seen:
                     seen.add(d)
-                    keys.append(keys_of(s, light, table.value))
-                    sizes.append(len(s))
-                    at.append(i)
+                    for k, place in keys_of(s, light, table.value):
+                        keys.append(k)
+                        places.append(place)
+                        sizes.append(len(s))
+                        at.append(i)
             counts = np.array([len(k) for k in keys], np.int64)
             doc = batch["doc_id"].take(pa.array(np.repeat(np.array(at, np.int64), counts)))
             yield pa.RecordBatch.from_arrays(
-                [_signed(np.concatenate([*keys, np.zeros(0, np.uint64)])), doc, pa.array(np.repeat(np.array(sizes, np.int64), counts))],
-                ["h", "doc_id", "n"],
-            )
-
-    entries = docs.where("doc_id is not null").mapInArrow(enter, "h long, doc_id long, n long")
-    lists = written(
-        entries.repartition("h").sortWithinPartitions("h", "n", "doc_id").mapInArrow(_neighbours, "h long, doc_id long, n long, before long"),
-        "lists",
-    )
+                [
+                    _signed(np.concatenate([*keys, np.zeros(0, np.uint64)])), doc,
+                    pa.array(np.repeat(np.array(sizes, np.int64), counts), pa.int32()),
+                    pa.array(np.concatenate([*places, np.zeros(0, np.int64)]), pa.int32()),
+                ],
+                ["h", "doc_id", "n", "place"],
+            )
+
+    entries = docs.where("doc_id is not null").mapInArrow(enter, _ENTRY)
+    lists = written(entries.repartition("h").sortWithinPartitions("h", "n", "doc_id").mapInArrow(_with_neighbours, _ENTRY), "lists")
     once = F.broadcast if copies.count() <= 100_000 else (lambda df: df)  # checked size, 16 bytes each
 
     def of_class(df: DataFrame, column: str) -> DataFrame:
         to = copies.select(F.col("doc_id").alias(column), F.col("class_id").alias("to"))
         return df.join(once(to), column, "left").withColumn(column, F.coalesce("to", column)).drop("to")
 
-    near = lists.where("before is not null").groupBy("doc_id", "before").agg(F.count("*").alias("k"))
-    near = of_class(of_class(near, "doc_id"), "before").where("doc_id <> before")
-    near = near.groupBy(F.greatest("doc_id", "before").alias("a"), F.least("doc_id", "before").alias("b")).agg(F.sum("k").alias("k"))
-    near = near.groupBy("a").agg(F.max_by("b", F.struct("k", -F.col("b"))).alias("b"))
+    lists = of_class(lists, "doc_id")
+    # the entry of a list whose document is in most lists: of near copies the one that most are like
+    degree = lists.groupBy("doc_id").agg(F.count("*").alias("degree"))
+    ranked = lists.join(degree, "doc_id").repartition("h")
+    hubs = ranked.groupBy("h").agg(F.max_by(F.struct(F.col("doc_id").alias("hub"), F.col("n").alias("hub_n")), F.struct("degree", "doc_id")).alias("x"))
+    near = ranked.join(hubs.select("h", "x.*"), "h").where("doc_id <> hub").where(sizes_fit("n", "hub_n"))
+    near = near.groupBy("doc_id", "hub").agg(F.count("*").alias("k"))
+    near = near.groupBy("doc_id").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
+    near = near.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct()
     near = written(near, "near")
 
     sketches = rows.where("n > 0").select("doc_id", "n", "sketch")
     first = written(similar(near, sketches, docs), "links")
     group = components(first)
 
-    grouped = of_class(lists.select("h", "doc_id", "n"), "doc_id")
-    grouped = (
-        grouped.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("h", "doc_id", "n", F.coalesce("component", "doc_id").alias("g")).repartition("h")
-    )
-    mixed = grouped.groupBy("h").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("h")
-    mixed = written(grouped.join(mixed, "h"), "mixed")
+    grouped = lists.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    grouped = grouped.withColumn("g", F.coalesce("component", "doc_id")).drop("component").repartition("h")
+    # lists of the same documents are one list; a document's place in it is its first one
+    kept = grouped.groupBy("h").agg(F.bit_xor(F.xxhash64("doc_id")).alias("of"), F.min("g").alias("low"), F.max("g").alias("high"))
+    mixed = grouped.join(kept.where("low < high").select("h", "of"), "h").groupBy(F.col("of").alias("h"), "doc_id", "n", "g")
+    mixed = written(mixed.agg(F.min("place").alias("place")), "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
-    sizes_fit = (F.col("x.n") * DENOMINATOR >= F.col("y.n") * NUMERATOR) & (F.col("y.n") * DENOMINATOR >= F.col("x.n") * NUMERATOR)
-    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.g") < F.col("y.g")) & sizes_fit)
-    counted = met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
-    counted = counted.agg(F.count("*").alias("k")).where((F.least("n_a", "n_b") <= light) | (F.col("k") >= fewest_met(F.col("n_a"), F.col("n_b"))))
-    across = counted.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    across = written(across.join(near.select("a", "b"), ["a", "b"], "left_anti"), "across")
+    apart = (F.col("x.h") == F.col("y.h")) & (F.col("x.g") < F.col("y.g"))
+    met = x.join(y, apart & sizes_fit("x.n", "y.n") & first_met("x", "y"))
+    across = met.select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct()
+    across = written(across.join(near, ["a", "b"], "left_anti"), "across")
     more = written(similar(across, sketches, docs), "links")
     whole = components(first.unionByName(more))
 
