@@ -22,11 +22,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from streamlab.llm.kernels import runs
+from streamlab.llm.session import with_python
 
 WIDE = 64
-CACHED_PIECES = 400_000  # distinct pieces a Python worker remembers before it starts afresh
+CACHED_PIECES = 250_000  # distinct pieces of a generation; a Python worker remembers two
 _NONE = np.iinfo(np.int64).max
 
 
@@ -51,7 +54,8 @@ class Vocabulary:
         self.pair_rank = found
         self._pair_keys = np.array(sorted(found), np.int64)
         self._pair_ranks = np.array([found[k] for k in self._pair_keys.tolist()], np.int64)
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # piece -> its ids as little-endian int32
+        self.older: dict[str, bytes] = {}  # the generation before
 
     def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where the two don't merge."""
@@ -107,8 +111,11 @@ class Vocabulary:
             i = right[i]
         return out
 
-    def _merge_many(self, pieces: list[bytes], width: int) -> list[np.ndarray]:
-        """Pieces of at most ``width`` bytes (a power of two), one tree per row."""
+    def _merge_many(self, pieces: list[bytes], width: int) -> tuple[bytes, list[int]]:
+        """Pieces of at most ``width`` bytes (a power of two), one tree per row.
+
+        (ids of all pieces as int32 bytes, where each piece's bytes end).
+        """
         m, lengths = len(pieces), np.array([len(p) for p in pieces])
         flat = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(m, width)
         live = np.arange(width) < lengths[:, None]
@@ -154,7 +161,7 @@ class Vocabulary:
                 refresh(rows[has], before[has])
             rows = rows[tree[rows, 1] != _NONE]
         out = ids[:, :width][live].astype(np.int32)
-        return np.split(out, np.cumsum(live.sum(1))[:-1])
+        return out.tobytes(), (np.cumsum(live.sum(1)) * 4).tolist()
 
     def _learn(self, new: list[str]) -> None:
         """Put the ids of pieces not seen before into the cache."""
@@ -172,18 +179,22 @@ class Vocabulary:
             step = max(1, (1 << 19) // width)
             for k in range(0, len(pieces), step):
                 part = pieces[k : k + step]
-                for piece, ids in zip(part, self._merge_many([p.encode() for p in part], width)):
-                    self.cache[piece] = ids.tobytes()
+                ids, ends = self._merge_many([p.encode() for p in part], width)
+                first = 0
+                for piece, end in zip(part, ends):
+                    self.cache[piece] = ids[first:end]
+                    first = end
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         if len(self.cache) > CACHED_PIECES:
-            self.cache = {}
-        cache, split, new = self.cache, self.pieces.findall, {}
+            self.cache, self.older = {}, self.cache
+        cache, older, split = self.cache, self.older, self.pieces.findall
         cut = [split(t) if t else [] for t in texts]
-        for pieces in cut:
-            new.update(dict.fromkeys(p for p in pieces if p not in cache))
-        self._learn(list(new))
-        return [b"".join([cache[p] for p in pieces]) for pieces in cut]
+        new = set().union(*(set(pieces).difference(cache) for pieces in cut))
+        for piece in new.intersection(older):
+            cache[piece] = older[piece]
+        self._learn(list(new.difference(older)))
+        return [b"".join(map(cache.__getitem__, pieces)) for pieces in cut]
 
     # -- decoding ---------------------------------------------------------------------------
 
@@ -195,7 +206,9 @@ class Vocabulary:
         """Bytes of each run ``ids[offsets[i]:offsets[i + 1]]``."""
         if len(ids) and (ids.min() < 0 or ids.max() >= self.size):
             raise ValueError("id outside the vocabulary")
-        data = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        step = 1 << 16
+        parts = (ids[k : k + step].tolist() for k in range(0, len(ids), step))
+        data = b"".join([b"".join(map(self.bytes_of.__getitem__, part)) for part in parts])
         ends = np.concatenate([[0], np.cumsum(self._lengths[ids])])[offsets].astype(np.int64)
         return pa.Array.from_buffers(
             pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)]
@@ -207,20 +220,29 @@ def _vocabulary(raw: bytes, pattern: str) -> Vocabulary:
     return Vocabulary(raw, pattern)
 
 
-TEXTS_AT_ONCE = 256
+BYTES_AT_ONCE = 2_000_000
 
 
 def encode_array(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:
     """A list<int32> array with the ids of each text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     parts = []
-    for k in range(0, len(texts), TEXTS_AT_ONCE):
-        parts += vocabulary.encode_batch(texts.slice(k, TEXTS_AT_ONCE).to_pylist())
+    for a, b in runs(offsets, BYTES_AT_ONCE):
+        parts += vocabulary.encode_batch(texts.slice(a, b - a).to_pylist())
     ends = np.cumsum([0, *map(len, parts)]) // 4
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
+def decode_array(vocabulary: Vocabulary, ids: pa.Array) -> pa.Array:
+    """The bytes of each id list; NULL counts as empty."""
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    flat = pc.list_flatten(ids).to_numpy(zero_copy_only=False)
+    return vocabulary.decode_batch(flat, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64))
+
+
 class BpeCodec:
-    """Column expressions that encode and decode with the vocabulary in a tiktoken rank file.
+    """Encodes and decodes columns with the vocabulary in a tiktoken rank file.
 
     The file (about 1 MB, its size doesn't depend on the data) is read on the driver and sent to
     the workers as a broadcast variable.
@@ -228,28 +250,29 @@ class BpeCodec:
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         with open(path, "rb") as f:
-            raw = spark.sparkContext.broadcast(f.read())
+            self._raw = spark.sparkContext.broadcast(f.read())
+        self._pattern = pattern
+
+    def _step(self, make):
+        raw, pattern = self._raw, self._pattern
+        return lambda column: make(_vocabulary(raw.value, pattern), column)
 
-        @F.arrow_udf("array<int>")
-        def encode(texts: pa.Array) -> pa.Array:
-            return encode_array(_vocabulary(raw.value, pattern), texts)
+    def encode(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """``docs`` with ``ids``, an array of int."""
+        return with_python(docs, [text], {"ids": _IDS}, self._step(lambda v, texts: [encode_array(v, texts)]))
 
-        @F.arrow_udf("binary")
-        def decode(ids: pa.Array) -> pa.Array:
-            v = _vocabulary(raw.value, pattern)
-            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-            flat = pc.list_flatten(ids).to_numpy(zero_copy_only=False)
-            return v.decode_batch(flat, np.concatenate([[0], np.cumsum(counts)]).astype(np.int64))
+    def decode(self, docs: DataFrame, ids: str = "ids") -> DataFrame:
+        """``docs`` with ``decoded``, the bytes the ids stand for."""
+        return with_python(docs, [ids], {"decoded": T.BinaryType()}, self._step(lambda v, column: [decode_array(v, column)]))
 
-        self._encode, self._decode = encode, decode
+    def round_trip(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """Both in one pass."""
 
-    def encode(self, text: Column | str) -> Column:
-        return self._encode(text)
+        def both(vocabulary: Vocabulary, texts: pa.Array) -> list[pa.Array]:
+            ids = encode_array(vocabulary, texts)
+            return [ids, decode_array(vocabulary, ids)]
 
-    def decode(self, ids: Column | str) -> Column:
-        return self._decode(ids)
+        return with_python(docs, [text], {"ids": _IDS, "decoded": T.BinaryType()}, self._step(both))
 
 
-def round_trip(docs: DataFrame, codec: BpeCodec, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array of int) and ``decoded`` (the bytes the ids stand for)."""
-    return docs.withColumn("ids", codec.encode(F.col(text))).withColumn("decoded", codec.decode(F.col("ids")))
+_IDS = T.ArrayType(T.IntegerType())

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlab.llm import decontaminate, html_text, jaccard_join, packing, quality, secrets, sharding, suffix_dedup, toxicity
-from streamlab.llm.bpe import BpeCodec, round_trip
+from streamlab.llm.bpe import BpeCodec
 from streamlab.llm.session import documents
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -30,7 +30,7 @@ def digests(encoded: DataFrame) -> DataFrame:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return digests(round_trip(docs, codec(spark))).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return digests(codec(spark).round_trip(docs)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return packing.pack(docs.select("doc_id", codec(spark).encode("text").alias("ids")))
+    return packing.pack(packing.tokenized(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

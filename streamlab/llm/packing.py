@@ -1,5 +1,7 @@
 """Packing of token ids into fixed-length rows for training, as binary columns.
 
+``tokenized`` makes the ids with the tiktoken library; ids from elsewhere do as well.
+
 Documents are packed best-fit-decreasing: longest first, each into the fullest row it still fits.
 A segment tree over the free room 0..length finds that row in logarithmic time. A document longer
 than a row is split without loss: full rows, and a rest that is packed like a document. Packing
@@ -16,17 +18,24 @@ columns are ignored.
 
 from __future__ import annotations
 
+import base64
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from streamlab.llm.session import with_python
 
 LENGTH = 2048
 TOKENS_AT_ONCE = 1 << 21
 PAD = 50_256
+_NO_IDS = np.zeros(0, np.uint32)
 
 SCHEMA = (
     "row_id long, input_ids binary, positions binary, cu_seqlens array<int>, doc_ids array<long>, "
@@ -97,6 +106,26 @@ def _packed(docs: list, ids: list[np.ndarray], length: int, kind: str, pad: int)
         yield row.tobytes(), at.tobytes(), [0, *np.cumsum(sizes).tolist()], [p[0] for p in own], [p[1] for p in own], used
 
 
+@functools.lru_cache(maxsize=2)
+def _encoding(raw: bytes, pattern: str) -> tiktoken.Encoding:
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
+    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def tokenized(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` by the rank file at ``path`` (about 1 MB, read on the driver)."""
+    with open(path, "rb") as f:
+        raw = docs.sparkSession.sparkContext.broadcast(f.read())
+
+    def encode(texts: pa.Array) -> list[pa.Array]:
+        encoding = _encoding(raw.value, pattern)
+        ids = [encoding.encode_to_numpy(t) if t else _NO_IDS for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, ids)])
+        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, _NO_IDS]).astype(np.int32)))]
+
+    return with_python(docs, [text], {"ids": T.ArrayType(T.IntegerType())}, encode)
+
+
 def pack(encoded: DataFrame, length: int = LENGTH, pad: int = PAD, vocabulary: int = 50_257, tokens_at_once: int = TOKENS_AT_ONCE) -> DataFrame:
     """Packed rows of ``encoded`` (doc_id, ids)."""
     kind = "<u2" if max(vocabulary, length, pad + 1) <= 1 << 16 else "<u4"

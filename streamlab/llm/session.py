@@ -1,8 +1,12 @@
-"""Session and shared folders of the text operators."""
+"""Shared folders of the text operators, and columns computed by Python in small batches."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from streamlab.config import work_dir
 
@@ -17,3 +21,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+ROWS_AT_ONCE = 1_024
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that what is made of one of them stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def with_python(df: DataFrame, inputs: list[str], outputs: dict[str, T.DataType], make: Callable) -> DataFrame:
+    """``df`` with the columns that ``make`` returns for slices of the input columns.
+
+    Columns named like an output are replaced. Unlike a UDF's, the batches that go back may be
+    smaller than those that came.
+    """
+    kept = [c for c in df.columns if c not in outputs]
+    schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(c, t) for c, t in outputs.items()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            made = make(*(part[c] for c in inputs))
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), *made], [*kept, *outputs])
+
+    return df.mapInArrow(run, schema)
