@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streamlab.llm import decontaminate, jaccard_join, secrets, toxicity
-from streamlab.llm.bpe import round_trip
 from streamlab.llm.catalogue import codec, digests
 from streamlab.llm.session import documents, written
 
@@ -53,7 +52,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the decoded bytes."""
     kept = [c for c in docs.columns if c != "text"]
-    return digests(round_trip(docs, codec(spark))).select(*kept, "ids", "n_tokens", "ids_sha256", "decoded_sha256")
+    return digests(codec(spark).round_trip(docs)).select(*kept, "ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
