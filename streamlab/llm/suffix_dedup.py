@@ -18,7 +18,8 @@ matter, so one round of names is enough and the recursion on names ends there:
 Before the sampling, text that can't repeat is left out: the smallest of the hashes of the
 ``GRAM``-byte strings within a string (a function of its bytes) must occur at two places.
 
-Names are 64-bit polynomial hashes. Records travel as arrays, dealt out by name or by document
+Names are 64-bit polynomial hashes; that of the surroundings, which only tells places of one core
+apart, keeps 40 of them. Records travel as arrays, dealt out by name or by document
 id, so a task holds its share of the names; equal surroundings are one name, however often they
 occur.
 
@@ -31,6 +32,7 @@ and make nothing else go. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from streamlab.llm import kernels
 from streamlab.llm.jaccard_join import _bucket, _places
 from streamlab.llm.kernels import mix, runs, utf8
-from streamlab.llm.session import written
+from streamlab.llm.session import slices, written
 
 LENGTH = 100
 PERIOD = 57
@@ -48,10 +50,9 @@ COVER = (0, 1, 3, 13, 32, 36, 43, 52)  # a perfect difference set: all differenc
 CORE = LENGTH - PERIOD + 1
 BEFORE = PERIOD - 1  # bytes before a sampled place that a string through it can hold
 GRAM = 40
-PART_BITS = 8  # records are dealt out in 256 parts
+LEAST_PART_BITS = 8  # records are dealt out in 256 parts at least, more for a wider shuffle
 TABLE_BITS = 27  # of the table of hashes that occur twice: 16 MB
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
-_RANGE = np.uint64(64 - PART_BITS)
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -81,16 +82,33 @@ def smallest_in(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
+def _bytes(column: np.ndarray) -> bytes:
+    """All first bytes of the values, then all second ones: small values and ids in order then
+    compress well on their way."""
+    return np.ascontiguousarray(column).view(np.uint8).reshape(len(column), -1).T.tobytes()
+
+
+def _values(blob: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def deal(part: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
     """One row per part: its records, each column as bytes."""
     order = np.argsort(part, kind="stable")
     parts, first = np.unique(part[order], return_index=True)
     cuts = [*first[1:], len(part)]
-    blobs = [[np.ascontiguousarray(c[order[a:b]]).tobytes() for a, b in zip(first, cuts)] for c in columns]
+    # a column of byte strings (the surroundings) stays as it is
+    code = [_bytes if c.ndim == 1 else np.ndarray.tobytes for c in columns]
+    blobs = [[f(c[order[a:b]]) for a, b in zip(first, cuts)] for f, c in zip(code, columns)]
     names = ["part", *(f"c{k}" for k in range(len(columns)))]
     return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)], names)
 
 
+def _part(name: np.ndarray, bits: int) -> np.ndarray:
+    return (name >> np.uint64(64 - bits)).astype(np.int32)
+
+
 def _schema(columns: int) -> str:
     return ", ".join(["part int", *(f"c{k} binary" for k in range(columns))])
 
@@ -102,12 +120,12 @@ def gather(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[tuple[int
         for k, part in enumerate(batch["part"].to_pylist()):
             if part != now:
                 if now is not None:
-                    yield now, [np.frombuffer(b"".join(h), t) for h, t in zip(held, kinds)]
+                    yield now, [np.concatenate(h) for h in held]
                 held, now = [[] for _ in kinds], part
-            for c, h in enumerate(held):
-                h.append(batch[c + 1][k].as_py())
+            for c, (h, kind) in enumerate(zip(held, kinds)):
+                h.append(_values(batch[c + 1][k].as_py(), kind))
     if now is not None:
-        yield now, [np.frombuffer(b"".join(h), t) for h, t in zip(held, kinds)]
+        yield now, [np.concatenate(h) for h in held]
 
 
 def _dealt(df: DataFrame, step: Callable, schema: str) -> DataFrame:
@@ -131,9 +149,9 @@ def _string_names(hashes: Hashes, n: int, offsets: np.ndarray) -> tuple[np.ndarr
     return start, low[start]
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _grams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes that stand for strings, once per place, cut to 32 bits below their part."""
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = utf8(batch["text"])
         found = []
         for a, b in runs(offsets):
@@ -146,16 +164,20 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if found:
             h, count = np.unique(np.concatenate(found), return_counts=True)
             h = np.repeat(h, np.minimum(count, 2))
-            yield deal((h >> _RANGE).astype(np.int32), [((h << np.uint64(PART_BITS)) >> np.uint64(32)).astype(np.uint32)])
+            yield deal(_part(h, bits), [(h << np.uint64(8) >> np.uint64(32)).astype(np.uint32)])
 
 
-def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part the bit table of hashes that occur at two places."""
+def _twice(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per part its share of the bit table of hashes that occur at two places."""
     for part, (h,) in gather(batches, [np.uint32]):
         h = np.sort(h)
-        bits = np.zeros(1 << (TABLE_BITS - PART_BITS), bool)
-        bits[h[1:][h[1:] == h[:-1]] >> np.uint32(32 - TABLE_BITS + PART_BITS)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["part", "c0"])
+        h = np.unique(h[1:][h[1:] == h[:-1]]).astype(np.uint64)
+        # the hash lacks its first 8 bits, which the part's number begins with
+        h |= np.uint64(part >> (bits - 8) << 32)
+        at = (h >> np.uint64(40 - TABLE_BITS)).astype(np.int64) - (part << (TABLE_BITS - bits))
+        table = np.zeros(1 << (TABLE_BITS - bits), bool)
+        table[at] = True
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(table, bitorder="little").tobytes()])], ["part", "c0"])
 
 
 def _suspects(table: np.ndarray, hashes: Hashes, n: int, offsets: np.ndarray) -> np.ndarray:
@@ -178,8 +200,8 @@ def _bounds(place: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc, np.maximum(place - BEFORE, offsets[doc]), np.minimum(place + LENGTH, offsets[doc + 1])
 
 
-def _samples(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _samples(bits: int, table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
         data, offsets = utf8(batch["text"])
         ids = batch["doc_id"].to_numpy()
         parts = []
@@ -193,18 +215,18 @@ def _samples(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[p
             use = (hi - lo >= LENGTH) & (place + CORE <= own[doc + 1])
             place, doc, lo, hi = place[use], doc[use], lo[use], hi[use]
             core = hashes.of(place, place + CORE)
-            around = mix(hashes.of(lo, hi) + (place - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            around = mix(hashes.of(lo, hi) + (place - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)
             parts.append((core, around, ids[a + doc], (place - own[doc]).astype(np.int32)))
         if parts:
             core, around, doc, place = (np.concatenate(c) for c in zip(*parts))
-            yield deal((core >> _RANGE).astype(np.int32), [(core >> np.uint64(16)).astype(np.uint32), around, doc, place])
+            yield deal(_part(core, bits), [(core >> np.uint64(16)).astype(np.uint32), around, doc, place])
 
 
-def _by_document(doc: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-    return deal((mix(doc.astype(np.uint64)) >> _RANGE).astype(np.int32), [doc, *columns])
+def _by_document(bits: int, doc: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    return deal(_part(mix(doc.astype(np.uint64)), bits), [doc, *columns])
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classes(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places repeated as a whole (kind 0), and first places that need a closer look (kind 1)."""
     for _, (core, around, doc, place) in gather(batches, [np.uint32, np.uint64, np.int64, np.int32]):
         order = np.lexsort((place, doc, around, core))
@@ -219,7 +241,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = ~later & (kinds_of_core > 1)
         out = later | look
         if out.any():
-            yield _by_document(doc[out], [place[out], look[out].astype(np.uint8)])
+            yield _by_document(bits, doc[out], [place[out], look[out].astype(np.uint8)])
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,10 +257,10 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids), *columns], ["doc_id", "whole", "look"])
 
 
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _surroundings(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes around the places to look at, dealt out by their core."""
     width = BEFORE + LENGTH
-    for batch in batches:
+    for batch in slices(batches):
         parts = []
         for k in range(batch.num_rows):
             text = batch["text"][k].as_py()
@@ -257,18 +279,18 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             parts.append((name, around, doc, place.astype(np.int32), left, right))
         if parts:
             name, *columns = (np.concatenate(c) for c in zip(*parts))
-            yield deal((name >> _RANGE).astype(np.int32), columns)
+            yield deal(_part(name, bits), columns)
 
 
 _ROWS_AT_ONCE = 8_192
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _strings(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Strings at each distance before the places, sorted by name: all but the first repeat."""
     width = BEFORE + LENGTH
     power, back = kernels._power(kernels._BASE, width), kernels._power(kernels._BASE_INVERSE, width)
     for _, (around, doc, place, left, right) in gather(batches, [np.uint8, np.int64, np.int32, np.uint8, np.uint8]):
-        around = around.reshape(-1, width)
+        around = around.reshape(-1, width)  # rows of bytes
         found = []
         for k in range(0, len(doc), _ROWS_AT_ONCE):
             part = slice(k, k + _ROWS_AT_ONCE)
@@ -295,7 +317,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = np.ones(len(doc), bool)  # starts in a row are one stretch
         cut[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
         last = np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(doc) - 1]])
-        yield _by_document(doc[cut], [start[cut], start[last] + np.int32(LENGTH)])
+        yield _by_document(bits, doc[cut], [start[cut], start[last] + np.int32(LENGTH)])
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +347,7 @@ _RESULT = "doc_id long, n_bytes long, span_starts array<long>, span_ends array<l
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of _RESULT; the columns whole, first and end may be missing."""
     none = np.zeros(0, np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         marked = "whole" in batch.schema.names
         rows = []
         for k in range(batch.num_rows):
@@ -343,6 +365,8 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_bytes, the removed spans (bytes) and the kept bytes of each row."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(TABLE_BITS - 3, max(LEAST_PART_BITS, (2 * width - 1).bit_length()))
     own, aside = docs.where("doc_id is not null"), docs.where("doc_id is null")
     by_text = F.xxhash64("text")
     torn = own.groupBy("doc_id").agg(F.min(by_text).alias("_low"), F.max(by_text).alias("_high")).where("_low < _high")
@@ -350,17 +374,17 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     if torn.count():
         split = own.join(torn, "doc_id", "left").withColumn("_main", F.coalesce(by_text == F.col("_low"), F.lit(True)))
         own, aside = split.where("_main").select(*docs.columns), aside.unionAll(split.where("not _main").select(*docs.columns))
-    rows = _dealt(own.mapInArrow(_grams, _schema(1)), _twice, _schema(1)).toArrow()
+    rows = _dealt(own.mapInArrow(partial(_grams, bits), _schema(1)), partial(_twice, bits), _schema(1)).toArrow()
     table = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
-    step = len(table) >> PART_BITS
-    for part, bits in zip(rows["part"].to_pylist(), rows["c0"].to_pylist()):
-        table[part * step : (part + 1) * step] = np.frombuffer(bits, np.uint8)
+    step = len(table) >> bits
+    for part, share in zip(rows["part"].to_pylist(), rows["c0"].to_pylist()):
+        table[part * step : (part + 1) * step] = np.frombuffer(share, np.uint8)
     twice = spark.sparkContext.broadcast(table)  # 2 ** TABLE_BITS bits
 
     def samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _samples(twice.value, batches)
+        return _samples(bits, twice.value, batches)
 
-    classes = _dealt(own.mapInArrow(samples, _schema(4)), _classes, _schema(3))
+    classes = _dealt(own.mapInArrow(samples, _schema(4)), partial(_classes, bits), _schema(3))
     marks = written(_dealt(classes, _marks, "doc_id long, whole array<int>, look array<int>"), "marks")
 
     def only(ids: DataFrame, wanted: bool = True) -> Callable:
@@ -368,15 +392,15 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
         chosen = spark.sparkContext.broadcast(_places(ids.select("doc_id")))
 
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = np.unpackbits(chosen.value).astype(bool)
+            known = np.unpackbits(chosen.value).astype(bool)
             for batch in batches:
-                yield batch.filter(pa.array(bits[_bucket(batch["doc_id"].to_numpy())] == wanted))
+                yield batch.filter(pa.array(known[_bucket(batch["doc_id"].to_numpy())] == wanted))
 
         return keep
 
     look = marks.where(F.size("look") > 0).select("doc_id", "look")
     near = own.mapInArrow(only(look), own.schema).join(look, "doc_id")
-    strings = _dealt(near.mapInArrow(_surroundings, _schema(5)), _strings, _schema(3))
+    strings = _dealt(near.mapInArrow(partial(_surroundings, bits), _schema(5)), partial(_strings, bits), _schema(3))
     more = written(_dealt(strings, _stretches, "doc_id long, first array<int>, end array<int>"), "stretches")
 
     some = marks.select("doc_id").unionByName(more.select("doc_id"))
