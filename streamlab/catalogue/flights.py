@@ -7,10 +7,11 @@ from datetime import datetime, time, timedelta
 from pyspark.sql import functions as F
 
 from streamlab.catalogue import tables as t
-from streamlab.config import work_dir
+from streamlab.config import JobSettings, work_dir
 from streamlab.functions import round_decimal
 from streamlab.operators.windows import flight_windows
 from streamlab.plans import flights as plan
+from streamlab.sinks import append_batch
 from streamlab.sources import read_table_stream
 from streamlab.streaming import progress_frame, run_stream, start_table
 
@@ -23,7 +24,7 @@ _WINDOWS_SQL = """
          avg(value) AS media
   FROM events GROUP BY 1, 2, 3"""
 _COLUMNS = """companhia, janela_inicio, janela_fim, total_voos, passageiros,
-  round(CAST(media AS DECIMAL(28,6)), {digits})::DOUBLE AS atraso_medio_min"""
+  round(CAST(media AS DECIMAL(38,10)), {digits})::DOUBLE AS atraso_medio_min"""
 
 
 def _output(df):
@@ -39,14 +40,43 @@ def _run(spark, stream, name):
 
 @query(
     f"""SELECT {_COLUMNS.format(digits=4)} FROM ({_WINDOWS_SQL})
-    WHERE janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'"""
-)
+    WHERE janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'""", stateful=True)
 def flight_windows_append(spark, sf_dir):
     """Watermarked stream: windows closed by the end of the data."""
     data, _ = _run(spark, t.flights(t.events_stream(spark, sf_dir)), "flight_windows")
     return _output(spark.read.parquet(data))
 
 
+@query(
+    f"""SELECT {_COLUMNS.format(digits=4)} FROM ({_WINDOWS_SQL})
+    WHERE janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'""",
+    stateful=True,
+)
+def flight_plan_backlog(spark, sf_dir):
+    """The flight plan itself on a backlog of JSON files in arbitrary order: no row is late."""
+    base = work_dir(spark, "flight_backlog")
+    time = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time")
+    rows = t.flights(t.events(spark, sf_dir)).select("companhia", "passageiros", "atraso_min", time)
+    rows.repartition(24, F.xxhash64("event_time", "passageiros")).write.json(f"{base}/in")
+    settings = JobSettings(stream_dir=f"{base}/in", output_dir=f"{base}/out", trigger_seconds=0)
+    run_stream(plan.start(spark, settings, handler=lambda batch, n: append_batch(batch, f"{base}/windows", n)))
+    return _output(spark.read.parquet(f"{base}/windows").drop("lote"))
+
+
+@query(
+    """SELECT event_id, round(CAST(floor(value) + 0.2499999996::DOUBLE AS DECIMAL(38,10)), 1)::DOUBLE AS uma,
+    round(CAST(floor(value) + 0.0499999996::DOUBLE AS DECIMAL(38,10)), 1)::DOUBLE AS outra FROM events"""
+)
+def flight_rounding(spark, sf_dir):
+    """Values just below a tie are rounded once, down."""
+    whole = F.floor("value").cast("double")
+    return t.events(spark, sf_dir).select(
+        "event_id",
+        round_decimal(whole + 0.2499999996, 1).alias("uma"),
+        round_decimal(whole + 0.0499999996, 1).alias("outra"),
+    )
+
+
 @query(f"SELECT {_COLUMNS.format(digits=4)} FROM ({_WINDOWS_SQL})")
 def flight_windows_batch(spark, sf_dir):
     """The same operator on the bounded table: all windows."""
@@ -71,8 +101,7 @@ _CUT_SQL = "(SELECT date_trunc('day', max(ts) - INTERVAL '10 days') FROM events)
 @query(
     f"""SELECT {_COLUMNS.format(digits=4)} FROM ({_WINDOWS_SQL})
     WHERE janela_inicio >= {_CUT_SQL}
-      AND janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'"""
-)
+      AND janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'""", stateful=True)
 def flight_late_data(spark, sf_dir):
     """Two deliveries: the newest ten days, then, with the watermark past them, the rest.
 
@@ -92,14 +121,13 @@ def flight_late_data(spark, sf_dir):
 
 @query(
     f"""SELECT (SELECT count(*) FROM events)::BIGINT AS linhas_entrada, count(*)::BIGINT AS linhas_saida,
-    0::BIGINT AS linhas_atrasadas FROM ({_WINDOWS_SQL})
-    WHERE janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'"""
-)
+    0::BIGINT AS grupos_atrasados FROM ({_WINDOWS_SQL})
+    WHERE janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'""", stateful=True)
 def flight_progress(spark, sf_dir):
     """Rows read, windows written and rows dropped as late, from the stream's progress reports."""
     _, done = _run(spark, t.flights(t.events_stream(spark, sf_dir)), "flight_progress")
     return progress_frame(spark, done).agg(
         F.sum("linhas_entrada").alias("linhas_entrada"),
         F.sum("linhas_saida").alias("linhas_saida"),
-        F.sum("linhas_atrasadas").alias("linhas_atrasadas"),
+        F.sum("grupos_atrasados").alias("grupos_atrasados"),
     )

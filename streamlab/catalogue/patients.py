@@ -69,7 +69,7 @@ _MODEL_SQL = f"""WITH split AS ({t.SPLIT_SQL}),
 
 
 def _r(expr: str, digits: int = 4) -> str:
-    return f"round(CAST({expr} AS DECIMAL(28,6)), {digits})::DOUBLE"
+    return f"round(CAST({expr} AS DECIMAL(38,10)), {digits})::DOUBLE"
 
 
 @query(f"SELECT * FROM ({t.PATIENTS_SQL}) WHERE glucose > 0 AND bmi > 0")
@@ -107,6 +107,28 @@ def patient_minibatches(spark, sf_dir):
     return assign_minibatch(ids, t.SPLIT_KEY, work_dir(spark, "patient_chunks"))
 
 
+@query(
+    f"""SELECT doc_id, (row_number() OVER (ORDER BY md5((doc_id % 7) || '|7'), lpad(doc_id::VARCHAR, 12, '0')) - 1) // 30 + 1 AS lote
+    FROM ({t.PATIENTS_SQL}) WHERE glucose > 0 AND bmi > 0"""
+)
+def patient_minibatches_repeated(spark, sf_dir):
+    """Chunks by a key that repeats: rows of one key follow in the order of their content."""
+    ids = _clean(spark, sf_dir).select((F.col("doc_id") % 7).alias("grupo"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("id"))
+    chunks = assign_minibatch(ids, "grupo", work_dir(spark, "patient_chunks"))
+    return chunks.select(F.col("id").cast("bigint").alias("doc_id"), "lote")
+
+
+@query(
+    f"""SELECT outcome, count(*)::BIGINT AS linhas, floor(count(*) * 0.25 + 0.5)::BIGINT AS em_teste
+    FROM ({t.PATIENTS_SQL}) WHERE glucose > 0 AND bmi > 0 GROUP BY 1"""
+)
+def patient_split_repeated(spark, sf_dir):
+    """Class sizes and test shares of a split by a key that repeats."""
+    rows = t.patients(spark, sf_dir).withColumn("grupo", F.col("doc_id") % 7)
+    split = plan.split_base(rows, "grupo", work_dir(spark, "patients"))
+    return split.groupBy("outcome").agg(F.count("*").alias("linhas"), F.count_if("em_teste").alias("em_teste"))
+
+
 @query(
     f"""SELECT doc_id, ('0x' || substr(md5(doc_id || '|7'), 1, 8))::BIGINT % 20 + 1 AS lote
     FROM ({t.PATIENTS_SQL}) WHERE glucose > 0 AND bmi > 0"""

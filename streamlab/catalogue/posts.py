@@ -34,7 +34,7 @@ def _scored_sql() -> str:
     return f"""SELECT doc_id::VARCHAR AS id, text AS texto,
       CASE WHEN e <= 2 THEN 'NEGATIVO' WHEN e = 3 THEN 'NEUTRO' ELSE 'POSITIVO' END AS sentimento,
       e::INTEGER AS estrelas,
-      round(CAST((greatest(p, n) + 1)::DOUBLE / (p + n + 2) AS DECIMAL(28,6)), 3)::DOUBLE AS confianca
+      round(CAST((greatest(p, n) + 1)::DOUBLE / (p + n + 2) AS DECIMAL(38,10)), 3)::DOUBLE AS confianca
       FROM ({starred})"""
 
 
@@ -82,7 +82,7 @@ def post_distribution(spark, sf_dir):
 
 
 @query(
-    f"""SELECT sentimento, total, round(CAST(total * 100 AS DECIMAL(28,6)) / sum(total) OVER (), 0)::BIGINT
+    f"""SELECT sentimento, total, round(CAST(total * 100 AS DECIMAL(38,10)) / sum(total) OVER (), 0)::BIGINT
     AS percentual FROM ({_DISTRIBUTION_SQL}) WHERE total > 0"""
 )
 def post_share(spark, sf_dir):

@@ -108,7 +108,7 @@ def quote_ohlcv(spark, sf_dir):
 @query(
     """SELECT event_type AS ticker, time_bucket(INTERVAL '1 minute', ts) AS janela_inicio,
     time_bucket(INTERVAL '1 minute', ts) + INTERVAL '1 minute' AS janela_fim,
-    round(CAST(avg(value) AS DECIMAL(28,6)), 4)::DOUBLE AS preco_medio, count(*)::BIGINT AS cotacoes
+    round(CAST(avg(value) AS DECIMAL(38,10)), 4)::DOUBLE AS preco_medio, count(*)::BIGINT AS cotacoes
     FROM events GROUP BY 1, 2, 3"""
 )
 def quote_minute_avg(spark, sf_dir):
@@ -120,7 +120,7 @@ def quote_minute_avg(spark, sf_dir):
 
 @query(
     """SELECT event_type AS ticker, i AS janela_inicio, i + INTERVAL '1 minute' AS janela_fim,
-    round(CAST(avg(value) AS DECIMAL(28,6)), 4)::DOUBLE AS preco_medio, count(*)::BIGINT AS cotacoes
+    round(CAST(avg(value) AS DECIMAL(38,10)), 4)::DOUBLE AS preco_medio, count(*)::BIGINT AS cotacoes
     FROM (SELECT event_type, value,
                  time_bucket(INTERVAL '20 seconds', ts) - n * INTERVAL '20 seconds' AS i
           FROM events, range(3) r(n))
@@ -134,7 +134,7 @@ def quote_moving_avg(spark, sf_dir):
     )
 
 
-_PCT = "round(CAST((preco - abertura) * 100.0::DOUBLE / abertura AS DECIMAL(28,6)), 4)::DOUBLE"
+_PCT = "round(CAST((preco - abertura) * 100.0::DOUBLE / abertura AS DECIMAL(38,10)), 4)::DOUBLE"
 
 
 @query(f"SELECT event_id, ticker, preco, abertura, {_PCT} AS variacao_pct FROM ({t.QUOTES_SQL})")
@@ -154,6 +154,19 @@ def quote_drop_alert(spark, sf_dir):
     return price_drop_alerts(raw).withColumn("variacao_pct", round_decimal("variacao_pct", 4))
 
 
+@query(
+    f"""SELECT event_id, ticker, preco, abertura, {_PCT} AS variacao_pct
+    FROM (SELECT event_id, ticker, preco * 100000 AS preco, abertura * 100000 AS abertura FROM ({t.QUOTES_SQL}))
+    WHERE CAST(preco AS DECIMAL(28,6)) * 100 < CAST(abertura AS DECIMAL(28,6)) * 98"""
+)
+def quote_drop_alert_large(spark, sf_dir):
+    """The same alerts on prices far beyond the range of ordinary quotes."""
+    raw = t.quotes(t.events(spark, sf_dir)).select(
+        "event_id", "ticker", (F.col("preco") * 100000).alias("preco"), (F.col("abertura") * 100000).alias("abertura")
+    )
+    return price_drop_alerts(raw).withColumn("variacao_pct", round_decimal("variacao_pct", 4))
+
+
 @query(
     """SELECT event_id, event_type AS ticker, value AS preco, ts AS coletado_em
     FROM events ORDER BY ts DESC, event_id LIMIT 10"""

@@ -33,16 +33,21 @@ _SCHEMAS = {"events": EVENTS, "documents": DOCUMENTS}
 # the two listed candidates; the other event types play unknown ones
 CANDIDATES = ("click", "view")
 SPLIT_KEY = "doc_id"
+BALLOT_BOXES = 500_000  # fixed value: ids run from 1 to it
 
 
 def registry():
-    """(queries, oracles, decorator that files a query and its SQL under the query's name)."""
+    """(queries, oracles, decorator that files a query and its SQL under the query's name).
+
+    A ``stateful`` query gets as many state partitions as the cluster has cores.
+    """
     queries, oracles = {}, {}
 
-    def query(sql: str | None = None):
+    def query(sql: str | None = None, stateful: bool = False):
         def add(fn):
             def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-                return fn(isolated_session(spark), sf_dir)
+                width = max(8, spark.sparkContext.defaultParallelism) if stateful else None
+                return fn(isolated_session(spark, width), sf_dir)
 
             queries[fn.__name__] = run
             if sql is not None:
@@ -81,7 +86,7 @@ def flights(ev: DataFrame) -> DataFrame:
 
 def votes(ev: DataFrame) -> DataFrame:
     return ev.select(
-        F.col("event_id").cast("int").alias("id_urna"),
+        (F.pmod(F.col("event_id") - 1, F.lit(BALLOT_BOXES)) + 1).cast("int").alias("id_urna"),
         F.concat(F.lit("S"), (F.col("user_id") % 27).cast("string")).alias("estado"),
         F.col("event_type").alias("candidato"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("event_time"),

@@ -35,7 +35,7 @@ def _board(spark, sf_dir):
 
 
 @query(
-    """SELECT event_id::INTEGER AS id_urna, 'S' || (user_id % 27) AS estado, event_type AS candidato,
+    """SELECT ((event_id - 1 + 500000) % 500000 + 1)::INTEGER AS id_urna, 'S' || (user_id % 27) AS estado, event_type AS candidato,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time FROM events"""
 )
 def vote_decode(spark, sf_dir):
@@ -61,7 +61,7 @@ def vote_malformed(spark, sf_dir):
 _DOCUMENTS_SQL = f"SELECT estado || '|' || candidato AS _id, estado, candidato, votos FROM ({t.VOTES_SQL})"
 
 
-@query(_DOCUMENTS_SQL)
+@query(_DOCUMENTS_SQL, stateful=True)
 def vote_running_count(spark, sf_dir):
     """Stream of encoded messages: decoded, counted in update mode, upserted by key, read back."""
     base = work_dir(spark, "vote_count")
@@ -71,7 +71,7 @@ def vote_running_count(spark, sf_dir):
     return table.read_current().drop("atualizado_em")
 
 
-@query(_DOCUMENTS_SQL)
+@query(_DOCUMENTS_SQL, stateful=True)
 def vote_restart_count(spark, sf_dir):
     """The same count over three deliveries, the query stopped and restarted in between."""
     base = work_dir(spark, "vote_restart")

@@ -46,7 +46,8 @@ class JobSettings:
     s3_key: str = ""
     s3_secret: str = ""
     base_csv: str = ""
-    max_files: int = 0
+    max_files: int = 0  # files per micro-batch of a running stream; 0 is no limit
+    max_bytes: str = ""  # volume per micro-batch, such as "1g"; the better brake when files vary in size
     max_chars: int = 0
     trigger_seconds: int = 15
     state_partitions: int = 0  # shuffle width of stateful queries; 0 leaves Spark's setting
@@ -61,6 +62,16 @@ class JobSettings:
                 found[f.name] = int(raw) if f.type == "int" else raw
         return replace(cls(**defaults), **found)
 
+    def pace(self) -> tuple[int | None, str | None]:
+        """(files, volume) per micro-batch. A drain takes all there is as one batch.
+
+        A backlog is not delivered in the order of its events; cut into batches, its older rows
+        would be late by the time they are read and be dropped by a watermark.
+        """
+        if not self.trigger_seconds:
+            return None, None
+        return self.max_files or None, self.max_bytes or None
+
     def object_store_conf(self) -> dict[str, str]:
         """Hadoop S3A options for an S3-compatible endpoint; empty when none is configured."""
         if not self.s3_endpoint:
@@ -98,14 +109,17 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, for jobs that host a user model.
 
-    Not needed where the package is installed or was passed with ``--py-files``.
+    Done once per application. Not needed where the package is installed or was passed with
+    ``--py-files``.
     """
+    if getattr(spark.sparkContext, "_streamlab_shipped", False):
+        return
+    spark.sparkContext._streamlab_shipped = True
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     target = os.path.join(tempfile.mkdtemp(prefix="streamlab-"), "streamlab")
     spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "streamlab"))
 
 
-_SPARK_DEFAULT_PARTITIONS = "200"
 # settings of the caller that a query has to share
 _CARRIED = (
     "spark.sql.shuffle.partitions",
@@ -116,16 +130,13 @@ _CARRIED = (
 
 
 def isolated_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
-    """A sibling session with UTC time, on-disk state and a shuffle width to suit the cluster.
+    """A sibling session with UTC time and on-disk state; the caller's keeps its own settings.
 
-    The caller's session keeps its own settings. A stateful stream freezes the number of
-    shuffle partitions in its checkpoint, so where the caller left Spark's default it is
-    taken from the cluster's parallelism.
+    A stateful stream freezes the number of shuffle partitions in its checkpoint;
+    ``state_partitions`` sets it. Everything else keeps the caller's shuffle width.
     """
     child = spark.newSession()
     wanted = {k: spark.conf.get(k) for k in _CARRIED}
-    if wanted["spark.sql.shuffle.partitions"] == _SPARK_DEFAULT_PARTITIONS:
-        wanted["spark.sql.shuffle.partitions"] = str(max(8, spark.sparkContext.defaultParallelism))
     if state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     for key, default in STATE_STORE.items():
@@ -138,8 +149,12 @@ def isolated_session(spark: SparkSession, state_partitions: int | None = None) -
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written table or a checkpoint.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``; only a
-    session without that setting (tests on one machine) falls back to a local folder.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only where all
+    work is done on this machine (tests) a local folder takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/streamlab/{name}-{uuid.uuid4().hex}"

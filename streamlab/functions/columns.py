@@ -40,13 +40,14 @@ def to_decimal(df: DataFrame, cols: Sequence[str], precision: int = 18, scale: i
 
 
 def round_decimal(col: Column | str, digits: int) -> Column:
-    """Round half up on the decimal value.
+    """Round half up on the decimal value of 15 significant digits and at most 10 decimals.
 
-    The detour over DECIMAL removes the binary noise that a different summation order
-    leaves in the last bits, so reruns and other engines agree.
+    That many digits hold no binary noise, which a different summation order leaves in the
+    last bits, so reruns and other engines agree. NaN and values of 10^28 and more become NULL.
     """
     col = F.col(col) if isinstance(col, str) else col
-    return F.round(col.cast("decimal(28,6)"), digits).cast("double")
+    exact = F.format_string("%.14e", col.cast("double")).try_cast("decimal(38,10)")
+    return F.when(col.isNotNull(), F.round(exact, digits).cast("double"))
 
 
 def head_chars(col: str, n: int) -> Column:
@@ -61,8 +62,18 @@ def count_words(col: str) -> Column:
 
 
 def composite_key(*cols: str, sep: str = "|") -> Column:
-    """Parts joined by ``sep``; a NULL part is spelled out so that keys cannot collide."""
-    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in cols])
+    """Parts joined by ``sep``; a NULL part is spelled out as None.
+
+    A backslash goes before a separator or backslash within a part, and before a text that
+    reads None, so that different parts never make the same key.
+    """
+
+    def part(c: str) -> Column:
+        text = F.col(c).cast("string")
+        plain = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep))
+        return F.coalesce(F.when(text == "None", F.lit("\\None")).otherwise(plain), F.lit("None"))
+
+    return F.concat_ws(sep, *[part(c) for c in cols])
 
 
 def star_count(label: Column | str) -> Column:

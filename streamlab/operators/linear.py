@@ -174,4 +174,6 @@ def risk_of(model: Model, *values: float) -> tuple[int, float, str]:
         w * (v - m) / s
         for w, v, m, s in zip(model.weights, values, model.scaler.mean, model.scaler.std)
     )
-    return int(z > 0), 1.0 / (1.0 + math.exp(-z)), POSITIVE_TEXT if z > 0 else NEGATIVE_TEXT
+    small = math.exp(-abs(z))  # never overflows
+    chance = 1.0 / (1.0 + small) if z >= 0 else small / (1.0 + small)
+    return int(z > 0), chance, POSITIVE_TEXT if z > 0 else NEGATIVE_TEXT

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamlab.functions import default_if_absent, parse_event_time, pct_change, zero_to_null
 
+_PRICE = "decimal(28,6)"
+
 
 def clean_quotes(df: DataFrame, currency: str = "BRL", exchange: str = "B3") -> DataFrame:
     """Zero -> NULL for optional measures, default currency, constant exchange, typed time."""
@@ -71,11 +75,20 @@ def with_pct_change(df: DataFrame) -> DataFrame:
 def price_drop_alerts(df: DataFrame, threshold: float = 2.0) -> DataFrame:
     """Quotes that fell by more than ``threshold`` percent against the opening price.
 
-    Prices are compared as whole millionths and multiplied out, so a fall of exactly the
-    threshold is not turned into an alert by division noise. Lifting the price to at least
-    0 makes the comparison imply an opening price above 0.
+    Prices are compared as decimals and multiplied out, so a fall of exactly the threshold is
+    not turned into an alert by division noise. Lifting the price to at least 0 makes the
+    comparison imply an opening price above 0. A price that is no decimal of this size gives
+    no alert; ``unrepresentable`` lists such rows.
     """
-    kept = round((100 - threshold) * 1_000_000)
-    price, opening = (F.rint(F.col(c) * 1_000_000).cast("long") for c in ("preco", "abertura"))
-    fell = F.greatest(price, F.lit(0)) * F.lit(100_000_000) < opening * F.lit(kept)
+    kept = F.lit(Decimal(str(round(100 - threshold, 6)))).cast("decimal(9,6)")
+    price, opening = (F.col(c).try_cast(_PRICE) for c in ("preco", "abertura"))
+    whole = F.lit(100).cast("decimal(3,0)")
+    fell = F.when(price > 0, price).otherwise(F.lit(0).cast(_PRICE)) * whole < opening * kept
+    fell = price.isNotNull() & fell
     return with_pct_change(df.where(fell))
+
+
+def unrepresentable(df: DataFrame) -> DataFrame:
+    """Quotes whose price or opening price is a number that ``price_drop_alerts`` can't compare."""
+    odd = [F.col(c).isNotNull() & F.col(c).try_cast(_PRICE).isNull() for c in ("preco", "abertura")]
+    return df.where(odd[0] | odd[1])

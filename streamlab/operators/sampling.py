@@ -1,7 +1,8 @@
-"""Seeded splits and chunks that need no global sort and no oversized window group.
+"""Seeded splits and chunks that are exact, also where a key repeats.
 
-Order comes from an MD5 of key and seed: uniform, repeatable and the same in any engine.
-Rows that share a key stay on one side of a split; in a shuffle their order is arbitrary.
+Order comes from an MD5 of key and seed: uniform, repeatable and the same in any engine. Rows that
+share a key are ordered by the rest of their content, so the result does not depend on how the
+rows are spread over partitions; only rows that are equal in every column are interchangeable.
 """
 
 from __future__ import annotations
@@ -12,13 +13,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_PREFIX = 4  # hex digits of the first-level bucket: 65,536 of them
+_DIGITS = 4  # hex digits by which a cut is refined in one pass: 65,536 ranges per class
 
 
 def seeded_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
 
+def _content(df: DataFrame) -> Column:
+    """All columns as one text; NULL differs from any text."""
+    return F.to_json(F.struct(*df.columns))
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -26,100 +32,92 @@ def stratified_split(
     classes: Sequence,
     test: float = 0.25,
     seed: int = 42,
+    row: Column | None = None,
+    copies_together: bool = False,
 ) -> DataFrame:
     """Add ``em_teste``: exactly round(test x class size) rows of each class are test rows.
 
-    The class's cut-off hash is found in two aggregations -- a histogram over hash
-    prefixes, then the hashes of the one prefix that holds the cut -- and every row is
-    compared with it. The full data is neither sorted nor shuffled, and the joined side
-    has one row per listed class. Rows of unlisted classes stay in the training part.
+    Every row has a hash: of key and seed, then of its content, then ``row``, a column that
+    tells equal rows apart (such as file and row number of a written table). The class's cut is
+    refined by four hex digits per pass over a histogram of at most 65,536 ranges, until one
+    range holds a single row or is taken whole; one or two passes do for any usual size. The
+    data is neither sorted nor shuffled, and each pass returns one row per listed class. Rows
+    of unlisted classes stay in the training part.
+
+    ``copies_together`` keeps rows that share a key on one side; the share then is the largest
+    one not above the exact one. Equal rows stay together where ``row`` is not given.
     """
     h = seeded_hash(key, seed)
-    known = df.where(F.col(label).isin(list(classes))).select(
-        F.col(label).alias("_label"), h.alias("_h"), F.substring(h, 1, _PREFIX).alias("_p")
-    )
+    if not copies_together:
+        h = F.concat(h, F.md5(_content(df)), *([row.cast("string")] if row is not None else []))
+    known = df.where(F.col(label).isin(list(classes))).select(F.col(label).alias("_label"), h.alias("_h"))
+    cuts: dict = {}  # class -> (prefix of the cut, rows still wanted in it, rows in it)
+    depth = 0
+    while True:
+        open_ = {c: p for c, (p, rest, n) in cuts.items() if 0 < rest < n} if depth else None
+        if open_ is not None and not open_:
+            break
+        rows = known
+        if open_ is not None:
+            wanted = F.create_map(*(F.lit(x) for c in open_ for x in (c, open_[c])))
+            rows = known.where(F.startswith("_h", F.try_element_at(wanted, F.col("_label"))))
+        part = F.substring("_h", 1, depth + _DIGITS).alias("_p")
+        found = _cuts(rows.groupBy("_label", part).agg(F.count(F.lit(1)).alias("_n")), test, cuts)
+        finer = {r["_label"]: (r["_p"], r["_rest"], r["_n"]) for r in found.collect()}
+        if depth and all(finer[c][0] == cuts[c][0] for c in finer):
+            break  # equal hashes: they stay together
+        cuts |= finer
+        depth += _DIGITS
+    taken = F.lit(False)
+    for c, (prefix, rest, n) in cuts.items():
+        head = F.substring("_h", 1, len(prefix))
+        taken = F.when(F.col(label) == c, head <= prefix if rest == n else head < prefix).otherwise(taken)
+    return df.withColumn("_h", h).withColumn("em_teste", F.coalesce(taken, F.lit(False))).drop("_h")
+
+
+def _cuts(histogram: DataFrame, test: float, cuts: dict) -> DataFrame:
+    """Per class the range in which the wanted number of rows is reached."""
     by_label = Window.partitionBy("_label")
     upto = by_label.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    histogram = known.groupBy("_label", "_p").agg(F.count(F.lit(1)).alias("_n"))
-    cut_prefix = (
-        histogram.withColumn("_want", F.round(F.sum("_n").over(by_label) * F.lit(test)).cast("long"))
-        .withColumn("_upto", F.sum("_n").over(upto))
-        .where((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
-        .select("_label", "_p", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_rest"))
-    )
-    running = by_label.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (
-        known.join(F.broadcast(cut_prefix), ["_label", "_p"])
-        .groupBy("_label", "_p", "_h", "_rest")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(running))
-        .groupBy("_label")
-        # the bare prefix sorts before its own hashes: the cut when none of them fits
-        .agg(F.greatest(F.max(F.when(F.col("_upto") <= F.col("_rest"), F.col("_h"))), F.max("_p")).alias("_cut"))
-    )
-    marked = df.withColumn("_h", h).join(
-        F.broadcast(cut), F.col(label) == F.col("_label"), "left"
+    want = F.floor(F.sum("_n").over(by_label) * F.lit(test) + 0.5)
+    if cuts:
+        rest = F.create_map(*(F.lit(x) for c in cuts for x in (c, cuts[c][1])))
+        want = F.try_element_at(rest, F.col("_label"))
+    return (
+        histogram.withColumns({"_want": want.cast("long"), "_upto": F.sum("_n").over(upto)})
+        .where((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.greatest("_want", F.lit(1))))
+        .select("_label", "_p", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_rest"), "_n")
     )
-    return marked.withColumn(
-        "em_teste", F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))
-    ).drop("_h", "_label", "_cut")
 
 
-def shuffled_rank(
-    df: DataFrame, key: str, path: str, seed: int = 7, name: str = "posicao", hot_rows: int = 100_000
-) -> DataFrame:
+def shuffled_rank(df: DataFrame, key: str, path: str, seed: int = 7, name: str = "posicao") -> DataFrame:
     """1-based position of every row in the seeded shuffle.
 
-    Rows are ranked inside the 65,536 hash prefixes and shifted by the rows of earlier
-    prefixes. A prefix that a repeated key has filled far beyond the average (and beyond
-    ``hot_rows``) is cut into parts of about average size by a random number; the rows are
-    written under ``path`` with that number first, so every later pass sees the same one.
-    The prefix table has at most 65,536 rows and the offsets at most twice as many,
-    whatever the size of ``df``.
+    Rows are dealt into ranges of (hash, content), sorted and written once under ``path`` with
+    their range's number; a position is the row's place in its range plus the rows of earlier
+    ranges. Ranges are even whatever the keys: a key with most of the rows spans many of them,
+    and equal rows are told apart by a running number.
     """
     spark = df.sparkSession
-    schema = StructType(list(df.schema.fields)).add("_u", "double")
-    df.withColumn("_u", F.rand(seed)).write.mode("overwrite").parquet(f"{path}/linhas")
-    h = seeded_hash(key, seed)
-    rows = spark.read.schema(schema).parquet(f"{path}/linhas")
-    rows = rows.withColumns({"_h": h, "_p": F.substring(h, 1, _PREFIX)})
-
-    average = F.sum("_n").over(Window.partitionBy()) / F.lit(16**_PREFIX)
-    crowded = (F.col("_n") > 16 * average) & (F.col("_n") > hot_rows)
-    parts = F.when(crowded, F.ceil(F.col("_n") / average)).otherwise(F.lit(1))
-    counts = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    prefixes = counts.withColumn("_parts", parts.cast("long"))
-    prefixes.write.mode("overwrite").parquet(f"{path}/prefixos")
-    prefixes = spark.read.schema(prefixes.schema).parquet(f"{path}/prefixos")
-
-    hot = prefixes.where(F.col("_parts") > 1).select("_p", "_parts")
-    sizes = prefixes.where(F.col("_parts") == 1).select("_p", F.lit(0).cast("long").alias("_part"), "_n")
-    if hot.isEmpty():
-        placed = rows.withColumn("_part", F.lit(0).cast("long"))
-    else:
-        part = F.floor(F.col("_u") * F.coalesce("_parts", F.lit(1)))
-        placed = rows.join(F.broadcast(hot), "_p", "left").withColumn("_part", part)
-        hot_sizes = placed.where(F.col("_parts").isNotNull()).groupBy("_p", "_part")
-        sizes = sizes.unionByName(hot_sizes.agg(F.count(F.lit(1)).alias("_n")))
-
-    before = Window.orderBy("_p", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    base = sizes.select("_p", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_p", "_part").orderBy("_h", key)
-    ranked = placed.withColumn("_r", F.row_number().over(within)).join(
-        F.broadcast(base), ["_p", "_part"]
-    )
-    position = (F.col("_base") + F.col("_r")).cast("long").alias(name)
-    return ranked.select(*df.columns, position)
-
-
-def assign_minibatch(
-    df: DataFrame, key: str, path: str, size: int = 30, seed: int = 7, **options
-) -> DataFrame:
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    order = ["_h", "_c", "_i"]
+    tagged = df.withColumns({"_h": seeded_hash(key, seed), "_c": _content(df), "_i": F.monotonically_increasing_id()})
+    dealt = tagged.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_faixa", F.spark_partition_id())
+    schema = StructType(list(dealt.schema.fields))
+    dealt.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    before = Window.orderBy("_faixa").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_faixa").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    base = counts.select("_faixa", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy("_faixa").orderBy(*order))
+    ranked = rows.withColumn("_r", place).join(F.broadcast(base), "_faixa")
+    return ranked.select(*df.columns, (F.col("_base") + F.col("_r")).cast("long").alias(name))
+
+
+def assign_minibatch(df: DataFrame, key: str, path: str, size: int = 30, seed: int = 7) -> DataFrame:
     """Seeded shuffle cut into chunks of exactly ``size`` rows (the last may be shorter)."""
-    ranked = shuffled_rank(df, key, path, seed, **options)
-    return ranked.withColumn(
-        "lote", F.floor((F.col("posicao") - 1) / F.lit(size)).cast("long") + 1
-    ).drop("posicao")
+    ranked = shuffled_rank(df, key, path, seed)
+    return ranked.withColumn("lote", F.floor((F.col("posicao") - 1) / F.lit(size)).cast("long") + 1).drop("posicao")
 
 
 def hash_minibatch(df: DataFrame, key: str, batches: int, seed: int = 7) -> DataFrame:

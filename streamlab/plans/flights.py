@@ -14,9 +14,6 @@ from streamlab.sinks import JdbcAppender
 from streamlab.sources import read_json_stream
 from streamlab.streaming import run_stream, start_batches
 
-MAX_FILES = 5  # fixed value: files per micro-batch
-
-
 def start(spark: SparkSession, settings: JobSettings, handler=None) -> StreamingQuery:
     """Append mode: a window is written once, after the watermark has passed its end."""
     if handler is None:
@@ -30,7 +27,7 @@ def start(spark: SparkSession, settings: JobSettings, handler=None) -> Streaming
             options, "evolucao_voos", FLIGHT_WINDOW_TABLE, f"{settings.output_dir}/evolucao_voos"
         )
         handler.create_target(spark, "postgresql", ("companhia", "janela_inicio"))
-    stream = read_json_stream(spark, settings.stream_dir, FLIGHT, settings.max_files or MAX_FILES)
+    stream = read_json_stream(spark, settings.stream_dir, FLIGHT, *settings.pace())
     windows = flight_windows(parse_event_time(stream, "event_time"))
     checkpoint = settings.checkpoint_dir or f"{settings.output_dir}/checkpoint"
     return start_batches(windows, handler, checkpoint, seconds=settings.trigger_seconds or None)

@@ -20,11 +20,10 @@ from streamlab.sinks import ModelStore
 from streamlab.sources import read_csv_named, read_json_stream
 from streamlab.streaming import run_stream, start_batches
 
-# Classes, test share, split seed and files per micro-batch.
+# Classes, test share and split seed.
 CLASSES = (0, 1)
 TEST_SHARE = 0.25
 SPLIT_SEED = 42
-MAX_FILES = 1
 
 
 def split_base(patients: DataFrame, key: str, path: str) -> DataFrame:
@@ -36,7 +35,8 @@ def split_base(patients: DataFrame, key: str, path: str) -> DataFrame:
     clean = drop_zero_missing(patients, FEATURES)
     clean.write.mode("overwrite").parquet(path)
     clean = patients.sparkSession.read.schema(clean.schema).parquet(path)
-    return stratified_split(clean, "outcome", key, CLASSES, TEST_SHARE, SPLIT_SEED)
+    row = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index")
+    return stratified_split(clean, "outcome", key, CLASSES, TEST_SHARE, SPLIT_SEED, row)
 
 
 def write_split(patients: DataFrame, key: str, path: str) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +91,7 @@ def start(spark: SparkSession, settings: JobSettings) -> StreamingQuery:
     keyed = base.withColumn("chave", F.sha2(F.to_json(F.struct(*base.columns)), 256))
     train, test = write_split(keyed, "chave", f"{out}/base")
     trainer = Trainer(ModelStore(spark, out), fit_scaler(train), test)
-    stream = read_json_stream(spark, settings.stream_dir, PATIENT, settings.max_files or MAX_FILES)
+    stream = read_json_stream(spark, settings.stream_dir, PATIENT, *settings.pace())
     checkpoint = settings.checkpoint_dir or f"{out}/checkpoint"
     return start_training(stream, trainer, checkpoint, settings.trigger_seconds or None)
 

@@ -14,9 +14,6 @@ from streamlab.sinks import append_csv
 from streamlab.sources import read_json_stream
 from streamlab.streaming import run_stream, start_batches
 
-MAX_FILES = 1  # fixed value: files per micro-batch
-
-
 def sentiment(
     posts: DataFrame, load_model: Callable | None = None, max_chars: int | None = None
 ) -> DataFrame:
@@ -34,7 +31,7 @@ def sentiment(
 def start(
     spark: SparkSession, settings: JobSettings, load_model: Callable | None = None
 ) -> StreamingQuery:
-    stream = read_json_stream(spark, settings.stream_dir, POST, settings.max_files or MAX_FILES)
+    stream = read_json_stream(spark, settings.stream_dir, POST, *settings.pace())
     results = sentiment(stream, load_model, settings.max_chars or None)
     out = settings.output_dir
     return start_batches(

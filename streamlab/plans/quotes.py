@@ -13,9 +13,6 @@ from streamlab.sinks import JdbcAppender
 from streamlab.sources import read_json_stream
 from streamlab.streaming import run_stream, start_batches
 
-MAX_FILES = 10  # fixed value: files per micro-batch
-
-
 def typed_quotes(df: DataFrame) -> DataFrame:
     """Records as received, with a real time stamp, in the table's column order."""
     return parse_event_time(df, "coletado_em").select(*QUOTE_TABLE.names)
@@ -32,7 +29,7 @@ def start(spark: SparkSession, settings: JobSettings, handler=None) -> Streaming
         }
         handler = JdbcAppender(options, "cotacoes", QUOTE_TABLE, f"{settings.output_dir}/cotacoes")
         handler.create_target(spark, "mysql", ("ticker", "coletado_em"))
-    stream = read_json_stream(spark, settings.stream_dir, QUOTE, settings.max_files or MAX_FILES)
+    stream = read_json_stream(spark, settings.stream_dir, QUOTE, *settings.pace())
     checkpoint = settings.checkpoint_dir or f"{settings.output_dir}/checkpoint"
     return start_batches(
         typed_quotes(stream), handler, checkpoint, seconds=settings.trigger_seconds or None

@@ -22,7 +22,7 @@ _PROGRESS = (
     .add("linhas_entrada", "long")
     .add("linhas_saida", "long")
     .add("linhas_estado", "long")
-    .add("linhas_atrasadas", "long")
+    .add("grupos_atrasados", "long")  # partial aggregates that came too late, not input rows
     .add("watermark", "string")
 )
 

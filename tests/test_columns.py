@@ -73,3 +73,14 @@ def test_versus(spark):
 def test_pct_change(spark):
     df = spark.createDataFrame([(98.0, 100.0), (1.0, 0.0), (1.0, None)], "p double, o double")
     assert [r[0] for r in df.select(fn.pct_change("p", "o")).collect()] == [-2.0, None, None]
+
+
+def test_round_is_done_once(spark):
+    got = one(spark, fn.round_decimal("c", 1), "double", 0.2499999996, 0.0499999996, 0.1 + 0.15, 1e23, float("nan"), 2e40)
+    assert got == [0.2, 0.0, 0.3, 1e23, None, None]
+
+
+def test_composite_keys_do_not_collide(spark):
+    parts = [(None, "z"), ("None", "z"), ("x|y", "z"), ("x", "y|z"), ("x\\", "y"), ("x\\|y", ""), ("", ""), (None, None)]
+    df = spark.createDataFrame(parts, "a string, b string")
+    assert len({r[0] for r in df.select(fn.composite_key("a", "b")).collect()}) == len(parts)

@@ -138,3 +138,10 @@ def test_base_split_is_written_once(spark, tmp_path):
     train, test = plan.write_split(df, "id", str(tmp_path / "base"))
     assert train.count() + test.count() == 200
     assert test.intersect(train).count() == 0
+
+
+def test_risk_far_from_the_boundary():
+    from streamlab.operators.linear import Model, Scaler, risk_of
+
+    steep = Model(Scaler(("glucose", "bmi"), (0.0, 0.0), (1.0, 1.0)), (1000.0, 0.0))
+    assert risk_of(steep, -5.0, 0.0)[:2] == (0, 0.0) and risk_of(steep, 5.0, 0.0)[:2] == (1, 1.0)

@@ -86,3 +86,13 @@ def test_preview_both_ends(spark):
     df = spark.range(20).repartition(4)
     assert rows(preview(df, "id", 3)) == [(0,), (1,), (2,)]
     assert rows(preview(df, "id", 2, last=True)) == [(19,), (18,)]
+
+
+def test_drop_alerts_on_any_number(spark):
+    from streamlab.operators.quotes import unrepresentable
+
+    nan, inf = float("nan"), float("inf")
+    data = [(95_000.0, 130_000.0), (130_000.0, 95_000.0), (9.8e9, 1e10), (9.79e9, 1e10), (nan, 1.0), (1.0, nan), (1.0, inf), (1e25, 1.0), (1e25, None)]
+    df = spark.createDataFrame(data, "preco double, abertura double")
+    assert {tuple(r)[:2] for r in price_drop_alerts(df).collect()} == {data[0], data[3]}
+    assert unrepresentable(df).count() == 5

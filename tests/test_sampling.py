@@ -40,13 +40,24 @@ def test_split_small_classes_and_unlisted_labels(spark):
     assert nobody.where("em_teste").count() == 0 and everybody.where("not em_teste").count() == 0
 
 
-def test_split_keeps_copies_of_a_hot_key_together(spark):
-    df = people(spark, 400).select(F.when(F.col("id") < 130, 0).otherwise(F.col("id")).alias("id"), "outcome")
-    split = stratified_split(df, "outcome", "id", (0, 1))
-    assert split.count() == 400
-    hot = split.where("id = 0").groupBy("outcome").agg(F.countDistinct("em_teste").alias("sides"))
-    assert {r.sides for r in hot.collect()} == {1}
-    assert split.where("em_teste").count() <= 34 + 67  # the two class shares, rounded
+def test_split_share_is_exact_with_a_hot_key(spark, tmp_path):
+    df = people(spark, 1000, "0").select(F.when(F.col("id") < 500, 0).otherwise(F.col("id")).alias("id"), "outcome")
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    row = F.concat_ws(":", "_metadata.file_name", "_metadata.row_index")
+    for seed in (4, 5, 6):
+        split = stratified_split(df, "outcome", "id", (0, 1), seed=seed, row=row)
+        assert split.where("em_teste").count() == 250 and split.count() == 1000
+        together = stratified_split(df, "outcome", "id", (0, 1), seed=seed, copies_together=True)
+        assert together.where("em_teste").count() <= 250
+        assert together.where("id = 0").select("em_teste").distinct().count() == 1
+
+
+def test_split_orders_copies_of_a_key_by_content(spark):
+    df = spark.range(600).selectExpr("id % 3 as k", "id as v", "0 as outcome")
+    pick = lambda d: {r.v for r in stratified_split(d, "outcome", "k", (0,)).where("em_teste").collect()}
+    first = pick(df)
+    assert len(first) == 150 and pick(df.repartition(9)) == first
 
 
 def test_rank_and_chunks_match_brute_force(spark, tmp_path):
@@ -59,18 +70,20 @@ def test_rank_and_chunks_match_brute_force(spark, tmp_path):
     assert len(sizes) == 34 and sizes[34] == 10 and set(sizes[c] for c in range(1, 34)) == {30}
 
 
-def test_hot_key_is_cut_into_parts(spark, tmp_path):
-    df = spark.range(3000).select(F.when(F.col("id") < 1000, 5).otherwise(F.col("id")).alias("id"), F.lit("x").alias("s"))
-    ranked = shuffled_rank(df, "id", str(tmp_path / "a"), hot_rows=100)
-    got = ranked.select("posicao", "id", "s").collect()
-    assert sorted(r.posicao for r in got) == list(range(1, 3001))
-    assert Counter(r.id for r in got) == Counter(r.id for r in df.collect())
-    hot = sorted(r.posicao for r in got if r.id == 5)
-    assert hot == list(range(hot[0], hot[0] + 1000))  # its place in the shuffle stays its own
-    cold = [r.id for r in sorted(got, key=lambda r: r.posicao) if r.id != 5]
-    assert cold == sorted(range(1000, 3000), key=lambda i: md5(i, 7))
-    chunks = assign_minibatch(df, "id", str(tmp_path / "b"), size=70, hot_rows=100).groupBy("lote").count()
-    assert sorted(n for _, n in rows(chunks)) == [60] + [70] * 42
+def test_shuffle_is_the_same_for_any_partitioning_and_hot_key(spark, tmp_path):
+    df = spark.range(3000).select(F.when(F.col("id") < 2700, 5).otherwise(F.col("id")).alias("id"), F.col("id").alias("v"))
+    seen = []
+    for n in (2, 5, 50):
+        ranked = shuffled_rank(df.repartition(n), "id", str(tmp_path / f"a{n}"))
+        seen.append({r.v: r.posicao for r in ranked.collect()})
+    assert seen[0] == seen[1] == seen[2] and sorted(seen[0].values()) == list(range(1, 3001))
+    hot = sorted(p for v, p in seen[0].items() if v < 2700)
+    assert hot == list(range(hot[0], hot[0] + 2700))  # its place in the shuffle stays its own
+    cold = sorted((v for v in seen[0] if v >= 2700), key=seen[0].get)
+    assert cold == sorted(range(2700, 3000), key=lambda i: md5(i, 7))
+    same = spark.range(500).select(F.lit(1).alias("id"))
+    chunks = assign_minibatch(same, "id", str(tmp_path / "b"), size=70).groupBy("lote").count()
+    assert sorted(n for _, n in rows(chunks)) == [10] + [70] * 7
 
 
 def test_hash_chunks_cover_all_rows(spark):

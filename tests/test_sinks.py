@@ -128,4 +128,4 @@ def test_post_flow_end_to_end(spark, deliver, tmp_path):
     settings = JobSettings(stream_dir=folder, output_dir=str(tmp_path / "o"), trigger_seconds=0)
     run_stream(posts.start(spark, settings))
     got = read_csv_results(spark, str(tmp_path / "o" / "sentimentos"), SENTIMENT_TABLE)
-    assert rows(got.select("lote", "id", "sentimento"), "id") == [(0, "1", "POSITIVO"), (1, "2", "NEGATIVO")]
+    assert rows(got.select("lote", "id", "sentimento"), "id") == [(0, "1", "POSITIVO"), (0, "2", "NEGATIVO")]

@@ -64,7 +64,7 @@ def test_late_rows_are_dropped_and_reported(spark, deliver, tmp_path):
     emitted = [w for n in sorted(seen.batches) for w in seen.batches[n]]
     assert ("GOL", 0, 1) in emitted
     assert len(emitted) == len(set((a, s) for a, s, _ in emitted))
-    dropped = {r.lote: r.linhas_atrasadas for r in progress_frame(spark, query).collect()}
+    dropped = {r.lote: r.grupos_atrasados for r in progress_frame(spark, query).collect()}
     assert dropped[3] == 1 and dropped[4] == 1
     assert {r.consulta for r in progress_frame(spark, query).collect()} == {str(query.id)}
     written = {r.lote: r.linhas_saida for r in progress_frame(spark, query).collect()}
