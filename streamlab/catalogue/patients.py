@@ -288,6 +288,6 @@ def patient_model_latest(spark, sf_dir):
     )
 
 
-@query(f"{_training_sql()} SELECT tipo, count(*)::BIGINT AS total FROM history, (VALUES ('models'), ('metrics')) k(tipo) GROUP BY 1")
+@query(f"{_training_sql()} SELECT tipo, count(*)::BIGINT AS total, max(pacientes_vistos)::BIGINT AS vistos FROM history, (VALUES ('models'), ('metrics')) k(tipo) GROUP BY 1")
 def artifact_counts(spark, sf_dir):
     return _streamed_training(spark, sf_dir)[0].artifact_counts()

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from streamlab.catalogue import tables as t
-from streamlab.config import work_dir
+from streamlab.config import JobSettings, work_dir
 from streamlab.functions import round_decimal
 from streamlab.operators.ordering import latest
 from streamlab.operators.quotes import clean_quotes, ohlcv, price_drop_alerts, with_pct_change
 from streamlab.operators.validation import conform, split_valid
 from streamlab.operators.windows import moving_average
+from streamlab.plans import quotes as plan
 from streamlab.plans.quotes import typed_quotes
 from streamlab.schemas import QUOTE, QUOTE_TABLE
 from streamlab.sinks import append_batch
 from streamlab.sources import read_json_stream
-from streamlab.streaming import run_stream, start_batches
+from streamlab.streaming import run_stream, start_batches, start_table
 
 QUERIES, ORACLES, query = t.registry()
 
@@ -134,6 +135,25 @@ def quote_moving_avg(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT event_type AS ticker, i AS janela_inicio, i + INTERVAL '1 minute' AS janela_fim,
+    round(CAST(avg(value) AS DECIMAL(38,10)), 4)::DOUBLE AS preco_medio, count(*)::BIGINT AS cotacoes
+    FROM (SELECT event_type, value,
+                 time_bucket(INTERVAL '20 seconds', ts) - n * INTERVAL '20 seconds' AS i
+          FROM events, range(3) r(n))
+    GROUP BY 1, 2, 3
+    HAVING janela_fim <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '20 seconds'""",
+    stateful=True,
+)
+def quote_moving_avg_stream(spark, sf_dir):
+    """The moving mean on the stream: overlapping windows closed by the watermark."""
+    base = work_dir(spark, "quote_moving")
+    means = moving_average(_prices(t.events_stream(spark, sf_dir)), slide="20 seconds", delay="20 seconds")
+    run_stream(start_table(means, f"{base}/data", f"{base}/checkpoint"))
+    out = t.ntz(spark.read.parquet(f"{base}/data"), "janela_inicio", "janela_fim")
+    return out.withColumn("preco_medio", round_decimal("preco_medio", 4))
+
+
 _PCT = "round(CAST((preco - abertura) * 100.0::DOUBLE / abertura AS DECIMAL(38,10)), 4)::DOUBLE"
 
 
@@ -154,6 +174,20 @@ def quote_drop_alert(spark, sf_dir):
     return price_drop_alerts(raw).withColumn("variacao_pct", round_decimal("variacao_pct", 4))
 
 
+@query(
+    f"""SELECT ticker, preco, abertura, {_PCT} AS variacao_pct, coletado_em FROM ({t.QUOTES_SQL})
+    WHERE CAST(preco AS DECIMAL(18,6)) * 100 < CAST(abertura AS DECIMAL(18,6)) * 98"""
+)
+def quote_alert_stream(spark, sf_dir):
+    """Alerts of the quote plan on delivered JSON files."""
+    base = work_dir(spark, "quote_alerts")
+    t.quotes(t.events(spark, sf_dir)).drop("event_id").write.json(f"{base}/in")
+    settings = JobSettings(stream_dir=f"{base}/in", output_dir=f"{base}/out", trigger_seconds=0)
+    run_stream(plan.start_alerts(spark, settings, lambda batch, n: append_batch(batch, f"{base}/alerts", n)))
+    found = spark.read.parquet(f"{base}/alerts").select("ticker", "preco", "abertura", "variacao_pct", "coletado_em")
+    return t.ntz(found.withColumn("variacao_pct", round_decimal("variacao_pct", 4)), "coletado_em")
+
+
 @query(
     f"""SELECT event_id, ticker, preco, abertura, {_PCT} AS variacao_pct
     FROM (SELECT event_id, ticker, preco * 100000 AS preco, abertura * 100000 AS abertura FROM ({t.QUOTES_SQL}))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-# A quoted field may span lines, so a CSV file is read by one task: keep files small.
-_CSV_ROWS_PER_FILE = 500_000
+# Line breaks within texts are written as \\n and \\r (and a backslash as two), so that a record is
+# a line and large files can be split.
 _CSV_FORMAT = {
     "header": True,
     "escape": '"',
@@ -24,14 +25,29 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def append_csv(df: DataFrame, path: str, batch_id: int) -> None:
     """Add a batch to a CSV table (a header per file); a replayed batch replaces itself."""
-    (
-        df.write.mode("overwrite")
-        .options(**_CSV_FORMAT, quoteAll=True, maxRecordsPerFile=_CSV_ROWS_PER_FILE)
-        .csv(f"{path}/lote={batch_id}")
-    )
+    out = df.withColumns({c: _one_line(c) for c in _texts(df.schema)})
+    out.write.mode("overwrite").options(**_CSV_FORMAT, quoteAll=True).csv(f"{path}/lote={batch_id}")
 
 
 def read_csv_results(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The accumulated CSV table, with the batch number as column ``lote``."""
     whole = StructType(list(schema.fields)).add("lote", "long")
-    return spark.read.schema(whole).options(**_CSV_FORMAT, multiLine=True).csv(path)
+    df = spark.read.schema(whole).options(**_CSV_FORMAT).csv(path)
+    return df.withColumns({c: _lines(c) for c in _texts(schema)})
+
+
+def _texts(schema: StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+
+
+def _one_line(col: str) -> Column:
+    text = F.replace(F.col(col), F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _lines(col: str) -> Column:
+    def part(p: Column) -> Column:
+        return F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    parts = F.transform(F.split(F.col(col), r"\\\\", -1), part)  # cut at doubled backslashes
+    return F.array_join(parts, "\\")

@@ -30,9 +30,7 @@ def table_ddl(
     """
     columns = [f"id {_IDENTITY[dialect]}"]
     for f in contract.fields:
-        kind = f.dataType.simpleString()
-        sql_type = kind.upper() if kind.startswith("decimal") else _TYPES[dialect][kind]
-        columns.append(f"{f.name} {sql_type}" + ("" if f.nullable else " NOT NULL"))
+        columns.append(f"{f.name} {_sql_type(f, dialect)}" + ("" if f.nullable else " NOT NULL"))
     columns += [f"{_BATCH} BIGINT NOT NULL", "processado_em TIMESTAMP DEFAULT CURRENT_TIMESTAMP"]
     indexes = {f"idx_{table}_lote": _BATCH}
     if index:
@@ -45,15 +43,28 @@ def table_ddl(
     ]
 
 
+def staging_ddl(contract: T.StructType, table: str, dialect: str) -> list[str]:
+    """Statements that make an empty staging table with the target's column types."""
+    columns = [f"{f.name} {_sql_type(f, dialect)}" for f in contract.fields]
+    columns += [f"{_FILE} VARCHAR(255) NOT NULL", f"{_ROW} BIGINT NOT NULL"]
+    return [f"DROP TABLE IF EXISTS {table}", f"CREATE TABLE {table} ({', '.join(columns)})"]
+
+
+def _sql_type(field: T.StructField, dialect: str) -> str:
+    kind = field.dataType.simpleString()
+    return kind.upper() if kind.startswith("decimal") else _TYPES[dialect][kind]
+
+
 class JdbcAppender:
     """``foreachBatch`` handler: (batch, batch id) -> rows of ``table``.
 
     1. The batch is written once to Parquet under ``staging_dir`` -- the only pass over
        the stream's plan. Rows that break the contract go to ``rejeitados`` beside it.
     2. Executors insert the written rows into a staging table, each tagged with its file
-       and row number, so a task that runs twice yields recognisable copies.
-    3. One database transaction deletes the batch number from the target and inserts the
-       distinct staged rows.
+       and row number, so a task that runs twice yields recognisable copies. The staging
+       table is made from the contract, with the target's own column types.
+    3. One database transaction deletes the batch number from the target and inserts one
+       staged row per file and row number.
     """
 
     def __init__(
@@ -67,15 +78,19 @@ class JdbcAppender:
         self.options, self.table, self.contract = options, table, contract
         self.staging_dir, self.connections = staging_dir.rstrip("/"), connections
         self.staging_table = f"{table}_stage"
+        self.dialect: str | None = None  # known once the target is created
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         staged = self.stage(batch, batch_id)
         if staged.isEmpty():
             return
+        if self.dialect:
+            self.execute(batch.sparkSession, staging_ddl(self.contract, self.staging_table, self.dialect))
         self.insert(staged)
         self.execute(batch.sparkSession, self.publish_statements(batch_id))
 
     def create_target(self, spark: SparkSession, dialect: str, index: tuple[str, ...] = ()) -> None:
+        self.dialect = dialect
         self.execute(spark, table_ddl(self.contract, self.table, dialect, index))
 
     def stage(self, batch: DataFrame, batch_id: int) -> DataFrame:
@@ -100,17 +115,19 @@ class JdbcAppender:
             .write.format("jdbc")
             .options(**self.options)
             .option("dbtable", self.staging_table)
+            .option("truncate", self.dialect is not None)  # keep the created column types
             .mode("overwrite")
             .save()
         )
 
     def publish_statements(self, batch_id: int) -> list[str]:
         names = ", ".join(self.contract.names)
-        distinct = f"SELECT DISTINCT {names}, {_FILE}, {_ROW} FROM {self.staging_table}"
+        copy = f"ROW_NUMBER() OVER (PARTITION BY {_FILE}, {_ROW} ORDER BY {_ROW}) AS _copia"
+        distinct = f"SELECT {names}, {copy} FROM {self.staging_table}"
         return [
             f"DELETE FROM {self.table} WHERE {_BATCH} = {int(batch_id)}",
             f"INSERT INTO {self.table} ({names}, {_BATCH}) "
-            f"SELECT {names}, {int(batch_id)} FROM ({distinct}) s",
+            f"SELECT {names}, {int(batch_id)} FROM ({distinct}) s WHERE _copia = 1",
         ]
 
     def execute(self, spark: SparkSession, statements: list[str]) -> None:

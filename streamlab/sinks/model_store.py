@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,7 @@ _MODEL = (
 _METRICS = (
     T.StructType().add("lote", "long").add("pacientes_vistos", "long").add("acuracia", "double")
 )
-_COUNTS = T.StructType().add("tipo", "string").add("total", "long")
+_COUNTS = T.StructType().add("tipo", "string").add("total", "long").add("vistos", "long")
 
 
 class ModelStore:
@@ -77,6 +79,11 @@ class ModelStore:
         return self.spark.read.schema(_METRICS).parquet(*folders).orderBy("lote")
 
     def artifact_counts(self) -> DataFrame:
-        """Number of stored versions per kind of artifact."""
-        rows = [(kind, len(self.versions(kind))) for kind in ("models", "metrics")]
-        return small_frame(self.spark, rows, _COUNTS)
+        """Stored rows per kind of artifact, and the training rows that the newest one has seen."""
+        parts = []
+        for kind, schema, seen in (("models", _MODEL, "vistos"), ("metrics", _METRICS, "pacientes_vistos")):
+            folders = [f"{self.path}/{kind}/version={v}" for v in self.versions(kind)]
+            if folders:
+                stored = self.spark.read.schema(schema).parquet(*folders)
+                parts.append(stored.agg(F.lit(kind).alias("tipo"), F.count(F.lit(1)).alias("total"), F.max(seen).alias("vistos")))
+        return reduce(DataFrame.unionByName, parts) if parts else small_frame(self.spark, [], _COUNTS)

@@ -8,6 +8,7 @@ from streamlab.plans import posts, quotes
 from streamlab.config import JobSettings
 from streamlab.schemas import FLIGHT_WINDOW_TABLE, QUOTE_TABLE, SENTIMENT_TABLE
 from streamlab.sinks import JdbcAppender, append_batch, append_csv, read_csv_results, table_ddl
+from streamlab.sinks.jdbc import staging_ddl
 from streamlab.streaming import run_stream
 
 RESULTS = [
@@ -111,6 +112,14 @@ def test_target_ddl():
     assert by_batch.endswith("ON evolucao_voos (lote_id)") and index.endswith("(companhia, janela_inicio)")
 
 
+def test_staging_table_has_the_types_of_the_target():
+    drop, create = staging_ddl(FLIGHT_WINDOW_TABLE, "evolucao_voos_stage", "mysql")
+    assert drop == "DROP TABLE IF EXISTS evolucao_voos_stage"
+    assert "janela_inicio DATETIME(6)" in create and "companhia VARCHAR(255)" in create and "_linha BIGINT NOT NULL" in create
+    _, create = staging_ddl(FLIGHT_WINDOW_TABLE, "evolucao_voos_stage", "postgresql")
+    assert "janela_inicio TIMESTAMP," in create and "ZONE" not in create
+
+
 def test_quote_flow_end_to_end(spark, deliver, tmp_path):
     folder = deliver("q", {"ticker": "A", "preco": 1.0, "coletado_em": "2024-01-01 00:00:01"})
     deliver("q", {"ticker": "B", "preco": 2.0, "coletado_em": "bad"})
