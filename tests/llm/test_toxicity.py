@@ -28,7 +28,7 @@ def test_learns_interactions(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string, score string")
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
     machine = T.fit(d, T.training_labels(lab), n_terms=64)
-    got = T.score(d, machine).withColumn("held_out", T.held_out(d["doc_id"])).join(lab, "doc_id").where("held_out").toPandas()
+    got = T.score(d, machine).withColumn("held_out", T.held_out(F.col("doc_id"))).join(lab, "doc_id").where("held_out").toPandas()
     assert 500 < len(got) < 1000 and ((got.score >= 0.3) == (got.predicted == 1)).all()
     assert (got.predicted == got.toxic).mean() > 0.97
 
