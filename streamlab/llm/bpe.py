@@ -29,7 +29,7 @@ from streamlab.llm.kernels import runs
 from streamlab.llm.session import with_python
 
 WIDE = 64
-CACHED_PIECES = 250_000  # distinct pieces of a generation; a Python worker remembers two
+CACHED_PIECES = 120_000  # distinct pieces of a generation; a Python worker remembers two
 _NONE = np.iinfo(np.int64).max
 
 
@@ -220,7 +220,7 @@ def _vocabulary(raw: bytes, pattern: str) -> Vocabulary:
     return Vocabulary(raw, pattern)
 
 
-BYTES_AT_ONCE = 2_000_000
+BYTES_AT_ONCE = 1_000_000
 
 
 def encode_array(vocabulary: Vocabulary, texts: pa.Array) -> pa.Array:

@@ -29,8 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from streamlab.llm.kernels import SHINGLE, Words, mix, runs, shingle_hashes, utf8
+from streamlab.llm.session import with_python
 
 SIMILARITY = 0.75
 LANES = 4
@@ -203,15 +206,7 @@ def matches_of(index: ItemIndex, texts: pa.Array, similarity: float) -> pa.Array
 _MATCH = pa.struct(
     [("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("distance", pa.int64())]
 )
-_MATCHES = "array<struct<item_id:bigint,similarity:double,first_word:bigint,n_words:bigint,distance:bigint>>"
-
-
-def _matcher(index, similarity: float):
-    @F.arrow_udf(_MATCHES)
-    def match(texts: pa.Array) -> pa.Array:
-        return matches_of(index.value, texts, similarity)
-
-    return match
+_MATCHES = T.ArrayType(from_arrow_type(_MATCH))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", column: str = "leaks", similarity: float = SIMILARITY) -> DataFrame:
@@ -219,14 +214,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", column: st
     spark = docs.sparkSession
     items = items.select(F.col("item_id").cast("long"), "text")
     blocks = max(1, math.ceil(items.count() / ITEMS_AT_ONCE))
-    parts = []
+    indexes = []
     for k in range(blocks):
         # about ITEMS_AT_ONCE rows
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toArrow()
         rows = sorted(zip(*(block[c].to_pylist() for c in ("item_id", "text"))), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        index = spark.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows]))
-        parts.append(_matcher(index, similarity)(F.col(text)))
-    return docs.withColumn(column, parts[0] if blocks == 1 else F.flatten(F.array(*parts)))
+        indexes.append(spark.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows])))
+
+    def match(texts: pa.Array) -> list[pa.Array]:
+        found = [matches_of(index.value, texts, similarity).to_pylist() for index in indexes]
+        return [pa.array([[m for part in row for m in part] for row in zip(*found)], pa.list_(_MATCH))]
+
+    return with_python(docs, [text], {column: _MATCHES}, match)
 
 
 def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -128,12 +128,13 @@ def keys_of(shingles: np.ndarray, light: int, levels: np.ndarray) -> list[tuple[
     return parts
 
 
-_ROWS_AT_ONCE = 4_096
+_ROWS_AT_ONCE = 2_048
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     for k in range(0, batch.num_rows, _ROWS_AT_ONCE):
         yield batch.slice(k, _ROWS_AT_ONCE)
+    pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 def _signed(h) -> pa.Array:
@@ -313,26 +314,24 @@ def link(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, places, sizes, at, seen = [], [], [], [], set()
-            for i, s in enumerate(shingle_sets(batch["text"])):
-                d = digest(s)
-                if len(s) and d not in seen:
-                    seen.add(d)
-                    for k, place in keys_of(s, light, table.value):
-                        keys.append(k)
-                        places.append(place)
-                        sizes.append(len(s))
-                        at.append(i)
-            counts = np.array([len(k) for k in keys], np.int64)
-            doc = batch["doc_id"].take(pa.array(np.repeat(np.array(at, np.int64), counts)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    _signed(np.concatenate([*keys, np.zeros(0, np.uint64)])), doc,
-                    pa.array(np.repeat(np.array(sizes, np.int64), counts), pa.int32()),
-                    pa.array(np.concatenate([*places, np.zeros(0, np.int64)]), pa.int32()),
-                ],
-                ["h", "doc_id", "n", "place"],
-            )
+            seen = set()
+            for part in slices(batch):
+                keys, places, sizes, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [0], [0]
+                for i, s in enumerate(shingle_sets(part["text"])):
+                    d = digest(s)
+                    if len(s) and d not in seen:
+                        seen.add(d)
+                        for k, place in keys_of(s, light, table.value):
+                            keys.append(k)
+                            places.append(place)
+                            sizes.append(len(s))
+                            at.append(i)
+                counts = np.array([len(k) for k in keys], np.int64)
+                columns = [
+                    _signed(np.concatenate(keys)), part["doc_id"].take(pa.array(np.repeat(np.array(at), counts))),
+                    pa.array(np.repeat(np.array(sizes), counts), pa.int32()), pa.array(np.concatenate(places), pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "doc_id", "n", "place"])
 
     entries = docs.where("doc_id is not null").mapInArrow(enter, _ENTRY)
     lists = written(entries.repartition("h").sortWithinPartitions("h", "n", "doc_id").mapInArrow(_with_neighbours, _ENTRY), "lists")

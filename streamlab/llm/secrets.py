@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlab.llm.session import with_python
+
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "guess")
 MIN_COST = 8.0
@@ -172,38 +174,38 @@ _SPANS = T.ArrayType(
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cost", pa.float64())])
 
 
-@F.arrow_udf(_SPANS)
 def _scan(texts: pa.Array) -> pa.Array:
     names = ("kind", "start", "end", "cost")
-    found = [[dict(zip(names, s)) for s in find_secrets(t.as_py() or "")] for t in texts]
+    found = [[dict(zip(names, s)) for s in find_secrets(t or "")] for t in texts.to_pylist()]
     return pa.array(found, pa.list_(_SPAN))
 
 
-@F.arrow_udf(T.StringType())
-def _mask(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    out = []
-    for text, found in zip(texts, spans):
-        text, found = text.as_py(), found.as_py()
-        if found:
-            parts, at = [], 0
-            for s in found:
-                if s["end"] > at:
-                    parts += [text[at : max(s["start"], at)], "" if s["start"] < at else "[SECRET]"]
-                    at = s["end"]
-            text = "".join([*parts, text[at:]])
-        out.append(text)
-    return pa.array(out, pa.string())
+def masked(text: str | None, spans: list[dict]) -> str | None:
+    """The text with each run of overlapping spans replaced by ``[SECRET]``."""
+    if not spans:
+        return text
+    parts, at = [], 0
+    for s in spans:
+        if s["end"] > at:
+            parts += [text[at : max(s["start"], at)], "" if s["start"] < at else "[SECRET]"]
+            at = s["end"]
+    return "".join([*parts, text[at:]])
+
+
+def _redact(texts: pa.Array) -> list[pa.Array]:
+    spans = _scan(texts)
+    out = [masked(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist())]
+    return [pa.array(out, pa.string()), spans]
 
 
 def scan(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """``docs`` with the found spans (kind, start, end, cost) as an array column."""
-    return docs.withColumn(spans, _scan(F.col(text)))
+    return with_python(docs, [text], {spans: _SPANS}, lambda texts: [_scan(texts)])
 
 
 def redact(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
-    """``docs`` with each run of overlapping spans of the text replaced by ``[SECRET]``."""
-    has = F.size(F.coalesce(F.col(spans), F.array())) > 0
-    return docs.withColumn(text, F.when(has, _mask(F.col(text), F.col(spans))).otherwise(F.col(text)))
+    """``docs`` with secrets masked in the text, and the spans of the text as it was; one pass."""
+    return with_python(docs, [text], {text: T.StringType(), spans: _SPANS}, _redact)
 
 
 def joined(spans: Column) -> Column:

@@ -31,6 +31,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
+        pa.default_memory_pool().release_unused()  # workers live on after their task
 
 
 def with_python(df: DataFrame, inputs: list[str], outputs: dict[str, T.DataType], make: Callable) -> DataFrame:

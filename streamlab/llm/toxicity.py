@@ -12,7 +12,7 @@ machine. Scoring covers all rows and whole texts.
 
 Handling of odd input: NULL and empty texts have no terms and get the score of a text without
 any; rows without a label, or with a NULL id, are never used for fitting; with no usable label of
-either class every score is the share of toxic labels (0 without labels); equal texts score
+either class, or no labelled text, every score is the share of toxic labels (0 without labels); equal texts score
 alike; other columns are passed on, existing ``score`` and ``predicted`` columns are replaced.
 """
 
@@ -26,8 +26,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamlab.llm.kernels import Words, runs, utf8
+from streamlab.llm.session import slices, with_python
 
 MAX_FIT_ROWS = 30_000
 N_TERMS = 1_024
@@ -57,7 +59,7 @@ def bags(texts: pa.Array, known: np.ndarray | None = None) -> Iterator[tuple[np.
             use = np.ones(len(h), bool) if length is None else size >= length
             term = h.astype(np.int64)
             if known is not None:
-                term = known[term]
+                term = known[term].astype(np.int64)
                 use &= term >= 0
             rows.append(doc[use])
             terms.append(term[use])
@@ -66,6 +68,13 @@ def bags(texts: pa.Array, known: np.ndarray | None = None) -> Iterator[tuple[np.
         yield (key >> BITS) + a, key & ((1 << BITS) - 1), count, np.diff(words.of_doc)
 
 
+def _places(terms: np.ndarray) -> np.ndarray:
+    """Table of term -> position among the machine's terms, -1 for others."""
+    known = np.full(1 << BITS, -1, np.int16 if len(terms) < 1 << 15 else np.int32)
+    known[terms] = np.arange(len(terms))
+    return known
+
+
 @dataclass
 class Machine:
     """Fitted model: terms of the machine and its weights (the last one is the text's length)."""
@@ -76,9 +85,7 @@ class Machine:
     factors: np.ndarray
 
     def score_batch(self, texts: pa.Array) -> np.ndarray:
-        known = np.full(1 << BITS, -1, np.int64)
-        known[self.terms] = np.arange(len(self.terms))
-        parts = []
+        known, parts = _places(self.terms), []
         first = 0
         for row, term, count, words in bags(texts, known):
             x = np.log1p(count.astype(float))
@@ -136,6 +143,11 @@ def train(row, term, x, length, y, n_terms: int, terms: np.ndarray, rounds: int
     return Machine(terms, float(bias[0]), weights[:, 0].copy(), weights[:, 1:].copy())
 
 
+def constant(share: float) -> Machine:
+    """A machine that gives every text the same score."""
+    return Machine(np.zeros(0, np.int64), float(np.log((share + 1e-9) / (1 - share + 1e-9))), np.zeros(1), np.zeros((1, FACTORS)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, n_terms: int = N_TERMS) -> Machine:
     """Fit on labelled rows: ``docs`` (doc_id, text), ``labels`` (doc_id, toxic)."""
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().dropDuplicates(["doc_id"])
@@ -146,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, n_term
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             y = batch["toxic"].to_numpy(zero_copy_only=False)
             for row, term, _, _ in bags(batch["text"]):
                 seen, at = np.unique(term, return_inverse=True)
@@ -157,8 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, n_term
     per_class = {r["toxic"]: r["n"] for r in chosen.groupBy((F.col("toxic") != 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     n_bad, n_good = per_class.get(1, 0), per_class.get(0, 0)
     if not n_bad or not n_good:
-        share = n_bad / max(n_bad + n_good, 1)
-        return Machine(np.zeros(0, np.int64), float(np.log((share + 1e-9) / (1 - share + 1e-9))), np.zeros(1), np.zeros((1, FACTORS)))
+        return constant(n_bad / max(n_bad + n_good, 1))
     p, q = F.col("bad") / n_bad, F.col("good") / n_good
     spread = F.sqrt(((F.col("bad") + F.col("good")) / (n_bad + n_good)) * (1.0 / n_bad + 1.0 / n_good))
     telling = (
@@ -171,9 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, n_term
     terms = np.array([r["term"] for r in telling.collect()], np.int64)
 
     def reduce_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.full(1 << BITS, -1, np.int64)
-        known[terms] = np.arange(len(terms))
-        for batch in batches:
+        known = _places(terms)
+        for batch in slices(batches):
             first = 0
             for row, term, count, words in bags(batch["text"], known):
                 n = len(words)
@@ -194,6 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, n_term
     # about max_rows rows of a few terms each
     rows = sample.mapInArrow(reduce_rows, "doc_id long, toxic int, words long, terms array<int>, counts array<int>").toArrow()
     frame: pd.DataFrame = rows.to_pandas().sort_values("doc_id", kind="stable")
+    if frame.empty:
+        return constant(n_bad / (n_bad + n_good))
     size = frame["terms"].map(len).to_numpy()
     join = lambda c: np.concatenate([*frame[c], np.zeros(0, np.int32)]).astype(np.int64)
     return train(
@@ -205,11 +217,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, n_term
 def score(docs: DataFrame, machine: Machine, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on)."""
 
-    @F.arrow_udf("double")
-    def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(machine.score_batch(texts))
+    def scored(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array(machine.score_batch(texts))]
 
-    out = docs.withColumn("score", scored(F.col(text)))
+    out = with_python(docs, [text], {"score": T.DoubleType()}, scored)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from streamlab.llm import secrets as S
 
@@ -67,8 +68,9 @@ def test_cost_tells_common_from_random():
 def test_scan_and_redact_in_spark(spark):
     rows = [(k, t, k) for k, t in enumerate(TEXTS)] + [(500, TEXTS[3], 0), (500, TEXTS[3], 0), (None, TEXTS[4], 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans long")
-    found = S.scan(df)
-    got = S.redact(found).select("doc_id", "text", S.joined(found["spans"]).alias("j")).collect()
+    got = S.redact(df).select("doc_id", "text", S.joined(F.col("spans")).alias("j")).collect()
+    plain = S.scan(df).select("doc_id", S.joined(F.col("spans")).alias("j")).collect()
+    assert sorted(map(str, ((r.doc_id, r.j) for r in plain))) == sorted(map(str, ((r.doc_id, r.j) for r in got)))
     assert len(got) == len(rows)
     by_id = {r.doc_id: r for r in got}
     assert by_id[0].text is None and by_id[0].j == "" and by_id[1].text == ""
