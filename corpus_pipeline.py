@@ -41,7 +41,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced; n_chars follows the text where it changed."""
-    found = secrets.redact(secrets.scan(docs, spans="secret_spans"), spans="secret_spans")
+    found = secrets.redact(docs, spans="secret_spans")
     changed = F.size("secret_spans") > 0
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
