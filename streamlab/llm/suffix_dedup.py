@@ -20,8 +20,13 @@ Before the sampling, text that can't repeat is left out: the smallest of the has
 
 Names are 64-bit polynomial hashes; that of the surroundings, which only tells places of one core
 apart, keeps 40 of them. Records travel as arrays, dealt out by name or by document
-id, so a task holds its share of the names; equal surroundings are one name, however often they
-occur.
+id, so a task holds its share of the names. Of the records of one name that a slice of
+``ROWS_AT_ONCE`` rows makes, all but the first are repeated whatever other slices hold: they are
+marked there, and one record goes on to be compared. Cores of about ``HOT`` places or more, estimated
+from one row in ``HOT_SHARE``, are dealt out by core and surroundings and all their first places are
+looked at; the strings around those are named before they are dealt out, by their own names. So
+neither a passage nor an edge that many documents share meets in one task. Which cores count as hot
+changes the work only, not the result.
 
 Handling of odd input: a NULL text counts as empty; texts shorter than ``LENGTH`` bytes keep all;
 rows that repeat count as one document; where an id has several texts, one of them (the smallest
@@ -52,6 +57,9 @@ BEFORE = PERIOD - 1  # bytes before a sampled place that a string through it can
 GRAM = 40
 LEAST_PART_BITS = 8  # records are dealt out in 256 parts at least, more for a wider shuffle
 TABLE_BITS = 27  # of the table of hashes that occur twice: 16 MB
+HOT = 16_384
+HOT_SHARE = 64
+HOT_BITS = 22  # of the table of hot cores
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -132,6 +140,40 @@ def _dealt(df: DataFrame, step: Callable, schema: str) -> DataFrame:
     return df.repartition("part").sortWithinPartitions("part").mapInArrow(step, schema)
 
 
+def first_and_later(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of records (names, document, place): the first of each name, and all at a later place than it."""
+    order = np.lexsort(columns[::-1])
+    *names, doc, place = (c[order] for c in columns)
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for name in names:
+        new[1:] |= name[1:] != name[:-1]
+    leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    first, later = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    first[order], later[order] = new, (doc != doc[leader]) | (place != place[leader])
+    return first, later
+
+
+def _nothing(n: int) -> np.ndarray:
+    """A column of n values of no bytes."""
+    return np.zeros((n, 0), np.uint8)
+
+
+def _hot_place(part: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Place in the table of hot cores, from a core's part and the 32 bits that travel with it."""
+    key = (part.astype(np.uint64) << np.uint64(32)) | low.astype(np.uint64)
+    return (mix(key) >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+
+
+def _low(core: np.ndarray) -> np.ndarray:
+    return (core >> np.uint64(16)).astype(np.uint32)
+
+
+def _is_hot(bits: int, hot: np.ndarray, core: np.ndarray) -> np.ndarray:
+    at = _hot_place(_part(core, bits), _low(core))
+    return (hot[at >> 3] >> (at & 7)) & 1 > 0
+
+
 def _string_names(hashes: Hashes, n: int, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, smallest gram) of each string of ``LENGTH`` bytes within a document.
 
@@ -200,7 +242,8 @@ def _bounds(place: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc, np.maximum(place - BEFORE, offsets[doc]), np.minimum(place + LENGTH, offsets[doc + 1])
 
 
-def _samples(bits: int, table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sampled(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(core, surroundings, document, place) of the sampled places of each slice."""
     for batch in slices(batches):
         data, offsets = utf8(batch["text"])
         ids = batch["doc_id"].to_numpy()
@@ -218,8 +261,33 @@ def _samples(bits: int, table: np.ndarray, batches: Iterator[pa.RecordBatch]) ->
             around = mix(hashes.of(lo, hi) + (place - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)
             parts.append((core, around, ids[a + doc], (place - own[doc]).astype(np.int32)))
         if parts:
-            core, around, doc, place = (np.concatenate(c) for c in zip(*parts))
-            yield deal(_part(core, bits), [(core >> np.uint64(16)).astype(np.uint32), around, doc, place])
+            yield tuple(np.concatenate(c) for c in zip(*parts))
+
+
+def _cores(bits: int, table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for core, *_ in _sampled(table, batches):
+        yield deal(_part(core, bits), [_low(core)])
+
+
+def _hot_places(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, (core,) in gather(batches, [np.uint32]):
+        core, count = np.unique(core, return_counts=True)
+        core = core[count >= least]
+        yield pa.RecordBatch.from_arrays([pa.array(_hot_place(np.full(len(core), part), core))], ["at"])
+
+
+def _samples(bits: int, table: np.ndarray, hot: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First records of each name of a slice, those of hot cores in parts from 1 << bits on; places
+    of the others, by document in parts from 2 << bits on."""
+    for core, around, doc, place in _sampled(table, batches):
+        first, later = first_and_later(core, around, doc, place)
+        if later.any():
+            part, n = _part(mix(doc[later].astype(np.uint64)), bits), int(later.sum())
+            yield deal(part + np.int32(2 << bits), [_nothing(n), _nothing(n), doc[later], place[later]])
+        core, around, doc, place = core[first], around[first], doc[first], place[first]
+        part, many = _part(core, bits), _is_hot(bits, hot, core)
+        part[many] = _part(mix(core[many] ^ mix(around[many])), bits) + np.int32(1 << bits)
+        yield deal(part, [_low(core), around, doc, place])
 
 
 def _by_document(bits: int, doc: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
@@ -228,17 +296,15 @@ def _by_document(bits: int, doc: np.ndarray, columns: list[np.ndarray]) -> pa.Re
 
 def _classes(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places repeated as a whole (kind 0), and first places that need a closer look (kind 1)."""
-    for _, (core, around, doc, place) in gather(batches, [np.uint32, np.uint64, np.int64, np.int32]):
-        order = np.lexsort((place, doc, around, core))
-        core, around, doc, place = core[order], around[order], doc[order], place[order]
-        new_core = np.ones(len(core), bool)
-        new_core[1:] = core[1:] != core[:-1]
-        new = new_core.copy()
-        new[1:] |= around[1:] != around[:-1]
-        leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        later = (doc != doc[leader]) | (place != place[leader])
-        kinds_of_core = np.bincount(np.cumsum(new_core) - 1, new)[np.cumsum(new_core) - 1]
-        look = ~later & (kinds_of_core > 1)
+    for part, (core, around, doc, place) in gather(batches, [np.uint32, np.uint64, np.int64, np.int32]):
+        if part >= 2 << bits:
+            yield _by_document(bits, doc, [place, np.zeros(len(doc), np.uint8)])
+            continue
+        first, later = first_and_later(core, around, doc, place)
+        look = first
+        if part < 1 << bits:  # else the core is hot
+            _, at = np.unique(core, return_inverse=True)
+            look = first & (np.bincount(at, first)[at] > 1)
         out = later | look
         if out.any():
             yield _by_document(bits, doc[out], [place[out], look[out].astype(np.uint8)])
@@ -257,8 +323,44 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids), *columns], ["doc_id", "whole", "look"])
 
 
-def _surroundings(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes around the places to look at, dealt out by their core."""
+_ROWS_AT_ONCE = 8_192
+
+
+def _core_names(around: np.ndarray) -> np.ndarray:
+    core = np.ascontiguousarray(around[:, BEFORE : BEFORE + CORE])
+    return mix((kernels._BYTE_CODE[core] * kernels._power(kernels._BASE, CORE)).sum(1, dtype=np.uint64))
+
+
+def _named(around: np.ndarray, doc: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(name, document, start) of the strings at each distance before the places."""
+    width = BEFORE + LENGTH
+    power, back = kernels._power(kernels._BASE, width), kernels._power(kernels._BASE_INVERSE, width)
+    sums = np.zeros((len(doc), width + 1), np.uint64)
+    np.cumsum(kernels._BYTE_CODE[around] * power, axis=1, out=sums[:, 1:])
+    first = np.arange(BEFORE + 1)  # strings start this far from the surroundings' start
+    name = mix((sums[:, first + LENGTH] - sums[:, first]) * back[first])
+    back_by = BEFORE - first
+    real = (back_by <= left[:, None]) & (LENGTH - back_by <= right[:, None])
+    r, c = np.nonzero(real)
+    return name[r, c], doc[r], place[r] - back_by[c].astype(np.int32)
+
+
+def _as_stretches(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first byte, end) of the strings that start there; starts in a row are one stretch."""
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    cut = np.ones(len(doc), bool)
+    cut[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
+    last = np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(doc) - 1]])
+    return doc[cut], start[cut], start[last] + np.int32(LENGTH)
+
+
+def _surroundings(bits: int, hot: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes around the places to look at, dealt out by their core.
+
+    Of hot cores the first strings of each name of some rows, by name in parts from 1 << bits on,
+    and stretches of the others, by document in parts from 2 << bits on.
+    """
     width = BEFORE + LENGTH
     for batch in slices(batches):
         parts = []
@@ -271,53 +373,53 @@ def _surroundings(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
                 continue
             padded = np.concatenate([np.zeros(BEFORE, np.uint8), raw, np.zeros(LENGTH, np.uint8)])
             around = np.lib.stride_tricks.sliding_window_view(padded, width)[place]
-            core = np.ascontiguousarray(around[:, BEFORE : BEFORE + CORE])
-            name = mix((kernels._BYTE_CODE[core] * kernels._power(kernels._BASE, CORE)).sum(1, dtype=np.uint64))
+            name = _core_names(around)
             left = np.minimum(place, BEFORE).astype(np.uint8)
             right = np.minimum(len(raw) - place, LENGTH).astype(np.uint8)
             doc = np.full(len(place), batch["doc_id"][k].as_py(), np.int64)
             parts.append((name, around, doc, place.astype(np.int32), left, right))
         if parts:
             name, *columns = (np.concatenate(c) for c in zip(*parts))
-            yield deal(_part(name, bits), columns)
-
-
-_ROWS_AT_ONCE = 8_192
+            many = _is_hot(bits, hot, name)
+            if not many.all():
+                yield deal(_part(name[~many], bits), [c[~many] for c in columns])
+            columns = [c[many] for c in columns]
+            for k in range(0, int(many.sum()), _ROWS_AT_ONCE):
+                name, doc, start = _named(*(c[k : k + _ROWS_AT_ONCE] for c in columns))
+                first, later = first_and_later(name, doc, start)
+                if later.any():
+                    own, begin, end = _as_stretches(doc[later], start[later])
+                    none = _nothing(len(own))
+                    part = _part(mix(own.astype(np.uint64)), bits) + np.int32(2 << bits)
+                    yield deal(part, [end.view(np.uint8).reshape(-1, 4), own, begin, none, none])
+                name, doc, start = name[first], doc[first], start[first]
+                none = _nothing(len(name))
+                yield deal(_part(name, bits) + np.int32(1 << bits), [name.view(np.uint8).reshape(-1, 8), doc, start, none, none])
 
 
 def _strings(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Strings at each distance before the places, sorted by name: all but the first repeat."""
-    width = BEFORE + LENGTH
-    power, back = kernels._power(kernels._BASE, width), kernels._power(kernels._BASE_INVERSE, width)
-    for _, (around, doc, place, left, right) in gather(batches, [np.uint8, np.int64, np.int32, np.uint8, np.uint8]):
-        around = around.reshape(-1, width)  # rows of bytes
-        found = []
-        for k in range(0, len(doc), _ROWS_AT_ONCE):
-            part = slice(k, k + _ROWS_AT_ONCE)
-            sums = np.zeros((len(doc[part]), width + 1), np.uint64)
-            np.cumsum(kernels._BYTE_CODE[around[part]] * power, axis=1, out=sums[:, 1:])
-            first = np.arange(BEFORE + 1)  # strings start this far from the surroundings' start
-            name = mix((sums[:, first + LENGTH] - sums[:, first]) * back[first])
-            back_by = BEFORE - first
-            real = (back_by <= left[part, None]) & (LENGTH - back_by <= right[part, None])
-            r, c = np.nonzero(real)
-            found.append((name[r, c], doc[part][r], place[part][r] - back_by[c].astype(np.int32)))
-        name, doc, start = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((start, doc, name))
-        name, doc, start = name[order], doc[order], start[order]
-        new = np.ones(len(name), bool)
-        new[1:] = name[1:] != name[:-1]
-        leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        later = (doc != doc[leader]) | (start != start[leader])
-        doc, start = doc[later], start[later]
-        if not len(doc):
+    """Stretches of the strings that a name before them repeats: of whole cores, some rows at once, or of hot ones."""
+    for part, (around, doc, place, left, right) in gather(batches, [np.uint8, np.int64, np.int32, np.uint8, np.uint8]):
+        if part >= 2 << bits:
+            yield _by_document(bits, doc, [place, around.view(np.int32)])
             continue
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
-        cut = np.ones(len(doc), bool)  # starts in a row are one stretch
-        cut[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
-        last = np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(doc) - 1]])
-        yield _by_document(bits, doc[cut], [start[cut], start[last] + np.int32(LENGTH)])
+        if part >= 1 << bits:
+            found = [(around.view(np.uint64), doc, place)]
+        else:
+            around = around.reshape(-1, BEFORE + LENGTH)  # rows of bytes
+            core = np.concatenate([_core_names(around[k : k + _ROWS_AT_ONCE]) for k in range(0, len(doc), _ROWS_AT_ONCE)])
+            order = np.argsort(core, kind="stable")
+            core = core[order]
+            cuts = [0]
+            while cuts[-1] < len(core):
+                cuts.append(int(np.searchsorted(core, core[min(cuts[-1] + _ROWS_AT_ONCE, len(core)) - 1], "right")))
+            rows = (order[a:b] for a, b in zip(cuts, cuts[1:]))
+            found = (_named(*(c[r] for c in (around, doc, place, left, right))) for r in rows)
+        for name, own, start in found:
+            _, later = first_and_later(name, own, start)
+            if later.any():
+                own, begin, end = _as_stretches(own[later], start[later])
+                yield _by_document(bits, own, [begin, end])
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,8 +483,20 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
         table[part * step : (part + 1) * step] = np.frombuffer(share, np.uint8)
     twice = spark.sparkContext.broadcast(table)  # 2 ** TABLE_BITS bits
 
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _cores(bits, twice.value, batches)
+
+    some_rows = own.sample(1 / HOT_SHARE, 7)
+    places = _dealt(some_rows.mapInArrow(cores, _schema(1)), partial(_hot_places, max(1, HOT // HOT_SHARE)), "at long").distinct().toArrow()
+    marked = np.zeros(1 << HOT_BITS, bool)
+    marked[places["at"].to_numpy()] = True
+    hot = spark.sparkContext.broadcast(np.packbits(marked, bitorder="little"))
+
     def samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _samples(bits, twice.value, batches)
+        return _samples(bits, twice.value, hot.value, batches)
+
+    def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _surroundings(bits, hot.value, batches)
 
     classes = _dealt(own.mapInArrow(samples, _schema(4)), partial(_classes, bits), _schema(3))
     marks = written(_dealt(classes, _marks, "doc_id long, whole array<int>, look array<int>"), "marks")
@@ -400,7 +514,7 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
 
     look = marks.where(F.size("look") > 0).select("doc_id", "look")
     near = own.mapInArrow(only(look), own.schema).join(look, "doc_id")
-    strings = _dealt(near.mapInArrow(partial(_surroundings, bits), _schema(5)), partial(_strings, bits), _schema(3))
+    strings = _dealt(near.mapInArrow(surroundings, _schema(5)), partial(_strings, bits), _schema(3))
     more = written(_dealt(strings, _stretches, "doc_id long, first array<int>, end array<int>"), "stretches")
 
     some = marks.select("doc_id").unionByName(more.select("doc_id"))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from streamlab.llm import suffix_dedup as S
@@ -59,3 +61,49 @@ def test_odd_ids(spark):
 
 def test_cover_meets_every_difference():
     assert {(a - b) % S.PERIOD for a in S.COVER for b in S.COVER} == set(range(S.PERIOD))
+
+
+@pytest.mark.parametrize("hot,share", [(1, 1), (40, 1), (100, 2)])
+def test_hot_cores_give_the_same_spans(spark, monkeypatch, hot, share):
+    monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "HOT_SHARE", share)
+    rnd = random.Random(8)
+    line, edge = ("".join(rnd.choice("abcdefghij ") for _ in range(n)) for n in (260, 70))
+    rows = []
+    for k in range(120):
+        own = "".join(rnd.choice("klmnopqrst ") for _ in range(120))
+        rows.append((k, own[: k % 60] + (line if k % 3 else edge) + own[60:] + rnd.choice(["", line[:130] + "!"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert removed(df) == brute(rows)
+
+
+def records(batches, bits, kinds):
+    """Records of each part, apart from places and stretches that are already settled."""
+    rows = sorted(((p, [c[k].as_py() for c in b.columns[1:]]) for b in batches for k, p in enumerate(b["part"].to_pylist())), key=lambda r: r[0])
+    merged = pa.RecordBatch.from_arrays(
+        [pa.array([p for p, _ in rows], pa.int32()), *(pa.array(c, pa.binary()) for c in zip(*(r for _, r in rows)))], ["part", *(f"c{k}" for k in range(len(kinds)))]
+    )
+    return {p: c for p, c in S.gather(iter([merged]), kinds) if p < 2 << bits}
+
+
+def test_a_core_of_many_places_spreads():
+    bits, full = 8, np.full(1 << (S.TABLE_BITS - 3), 255, np.uint8)
+    none, all_hot = np.zeros(1 << (S.HOT_BITS - 3), np.uint8), np.full(1 << (S.HOT_BITS - 3), 255, np.uint8)
+    rnd = random.Random(9)
+    text = "".join(rnd.choice("abcdefghij ") for _ in range(300))
+    kinds = [np.uint32, np.uint64, np.int64, np.int32]
+
+    def batch(texts):
+        return iter([pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])])
+
+    # equal surroundings: one record per name, not one per document
+    same = records(S._samples(bits, full, none, batch([text] * 500)), bits, kinds)
+    assert sum(len(c[2]) for c in same.values()) < 300
+    # one core with many surroundings
+    texts = ["".join(rnd.choice("klmnopqrst ") for _ in range(57)) + text[:60] + "".join(rnd.choice("klmnopqrst ") for _ in range(57)) for _ in range(500)]
+    parts = records(S._samples(bits, full, all_hot, batch(texts)), bits, kinds)
+    assert max(len(c[2]) for c in parts.values()) < 100
+    look = pa.array([[57, 58, 60]] * 500, pa.list_(pa.int32()))
+    near = [pa.RecordBatch.from_arrays([*b.columns, look], [*b.schema.names, "look"]) for b in batch(texts)]
+    strings = records(S._surroundings(bits, all_hot, iter(near)), bits, [np.uint8, np.int64, np.int32, np.uint8, np.uint8])
+    assert len(strings) > 200 and max(len(c[1]) for c in strings.values()) < 2_000
