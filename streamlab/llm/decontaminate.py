@@ -7,7 +7,9 @@ SimHash of their shingles, of ``64 * LANES`` bits. The fingerprints of the items
 least, so the index yields every item within the radius. Similar sets differ in about a fifth of
 the bits, small ones (some ten shingles) in up to a third; unlike ones in half. The radius lies
 more than four standard deviations above the former. Candidates are then compared exactly by the weighted Jaccard similarity of their shingle sets; a shingle weighs
-ln(1 + items / items that have it).
+ln(1 + items / items that have it). Items are counted over the whole benchmark, however it is cut
+into blocks. A shingle of one item weighs as much as one that no item has, so only shingles that
+several items have need an entry.
 
 Words are runs of ASCII letters and digits or non-ASCII bytes, A-Z lower-cased, so punctuation
 doesn't hide a passage. A sequence of fewer than five words is one shingle: such an item is found
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from streamlab.llm.kernels import SHINGLE, Words, mix, runs, shingle_hashes, utf8
-from streamlab.llm.session import with_python
+from streamlab.llm.session import slices, with_python
 
 SIMILARITY = 0.75
 LANES = 4
@@ -71,18 +74,60 @@ def distances(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
 
 
+class Weights:
+    """Weights of shingles, from the number of items and the sorted shingles that several have."""
+
+    def __init__(self, items: int, shingles: np.ndarray, counts: np.ndarray):
+        self.new = math.log1p(items)  # of a shingle that one item has, or none
+        self.shingles = shingles
+        self.values = np.log1p(items / counts)
+        self.of = dict(zip(shingles.tolist(), self.values.tolist()))
+
+    def weigh(self, shingles: np.ndarray) -> np.ndarray:
+        out = np.full(len(shingles), self.new)
+        if len(self.shingles):
+            at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
+            same = self.shingles[at] == shingles
+            out[same] = self.values[at[same]]
+        return out
+
+
+def _item_shingles(texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Word hashes and distinct shingles of each item."""
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    words = Words(data, offsets, _WORD)
+    hashes = words.hashes()
+    sequence = [hashes[words.of_doc[i] : words.of_doc[i + 1]] for i in range(len(texts))]
+    return sequence, [np.unique(shingle_hashes(s)) for s in sequence]
+
+
+def weights_of(items: DataFrame) -> Weights:
+    """Weights over all items."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            _, sets = _item_shingles(batch["text"].to_pylist())
+            h = np.concatenate([np.zeros(0, np.uint64), *sets])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    counts = items.select("text").mapInArrow(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    h = counts["h"].to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return Weights(items.count(), h[order], counts["n"].to_numpy()[order])
+
+
 class ItemIndex:
-    """Fingerprints of a block of items, by size and by block of bits."""
-
-    def __init__(self, ids: list, texts: list[str | None]):
-        data, offsets = utf8(pa.array(texts, pa.string()))
-        words = Words(data, offsets, _WORD)
-        hashes = words.hashes()
-        sequence = [hashes[words.of_doc[i] : words.of_doc[i + 1]] for i in range(len(ids))]
-        shingles = [np.unique(shingle_hashes(s)) for s in sequence]
-        seen = Counter(h for s in shingles for h in s.tolist())
-        self.weights = {h: math.log1p(len(ids) / c) for h, c in seen.items()}
-        self.new = math.log1p(len(ids))  # of a shingle that no item has
+    """Fingerprints of a block of items, by size and by block of bits.
+
+    Without weights the block is the whole benchmark.
+    """
+
+    def __init__(self, ids: list, texts: list[str | None], weights: Weights | None = None):
+        sequence, shingles = _item_shingles(texts)
+        if weights is None:
+            seen = sorted((h, n) for h, n in Counter(h for s in shingles for h in s.tolist()).items() if n > 1)
+            weights = Weights(len(ids), np.array([h for h, _ in seen], np.uint64), np.array([n for _, n in seen], np.int64))
+        self.weights = weights
         self.ids, self.size = ids, np.array([len(s) for s in sequence], np.int64)
         self.sets = [frozenset(s.tolist()) for s in shingles]
         sizes = defaultdict(set)
@@ -91,7 +136,6 @@ class ItemIndex:
                 sizes[h].add(size)
         self.known = np.array(sorted(sizes), np.uint64)
         self.sizes_of = [sorted(sizes[h]) for h in self.known.tolist()]
-        self.known_weight = np.array([self.weights[h] for h in self.known.tolist()])
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[self.known >> np.uint64(64 - _TABLE_BITS)] = True
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray, list]] = {}
@@ -105,16 +149,8 @@ class ItemIndex:
                 index.append((key[order], order))
             self.by_size[size] = (which, prints, index)
 
-    def weigh(self, shingles: np.ndarray) -> np.ndarray:
-        out = np.full(len(shingles), self.new)
-        if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-            same = self.known[at] == shingles
-            out[same] = self.known_weight[at[same]]
-        return out
-
     def _print(self, shingles: np.ndarray) -> np.ndarray:
-        return _pack(_votes(shingles, self.weigh(shingles)).sum(0, keepdims=True))[0]
+        return _pack(_votes(shingles, self.weights.weigh(shingles)).sum(0, keepdims=True))[0]
 
     def hits(self, shingles: np.ndarray) -> np.ndarray:
         """Positions of shingles that some item has."""
@@ -139,9 +175,9 @@ class ItemIndex:
         return window, which[item], distances(prints[window], items[item])
 
     def similarity(self, window: frozenset, item: int) -> float:
-        mine, weight = self.sets[item], self.weights
-        shared = math.fsum(weight[h] for h in mine & window)
-        return shared / math.fsum(weight.get(h, self.new) for h in mine | window)
+        mine, weight, new = self.sets[item], self.weights.of, self.weights.new
+        shared = math.fsum(weight.get(h, new) for h in mine & window)
+        return shared / math.fsum(weight.get(h, new) for h in mine | window)
 
     def match(self, words: np.ndarray, hits: np.ndarray, similarity: float) -> dict[int, tuple[float, int, int, int]]:
         """item -> (similarity, first word, words, distance) of its best window in one document."""
@@ -166,7 +202,7 @@ class ItemIndex:
         for lo, hi in zip(cuts, [*cuts[1:], len(a)]):
             part = shingles[a[lo] : b[lo:hi].max()]
             sums = np.zeros((len(part) + 1, LANES, 64), np.int64)
-            np.cumsum(_votes(part, self.weigh(part)), axis=0, out=sums[1:])
+            np.cumsum(_votes(part, self.weights.weigh(part)), axis=0, out=sums[1:])
             prints[lo:hi] = _pack(sums[b[lo:hi] - a[lo]] - sums[a[lo:hi] - a[lo]])
         window, item, distance = self.within(size, prints)
         for w, i, d in zip(window.tolist(), item.tolist(), distance.tolist()):
@@ -214,12 +250,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", column: st
     spark = docs.sparkSession
     items = items.select(F.col("item_id").cast("long"), "text")
     blocks = max(1, math.ceil(items.count() / ITEMS_AT_ONCE))
-    indexes = []
+    weights, indexes = weights_of(items), []
     for k in range(blocks):
         # about ITEMS_AT_ONCE rows
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).toArrow()
         rows = sorted(zip(*(block[c].to_pylist() for c in ("item_id", "text"))), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        indexes.append(spark.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows])))
+        indexes.append(spark.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows], weights)))
 
     def match(texts: pa.Array) -> list[pa.Array]:
         found = [matches_of(index.value, texts, similarity).to_pylist() for index in indexes]

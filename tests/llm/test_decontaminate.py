@@ -109,3 +109,15 @@ def test_long_text():
     text = "lorem " * 60_000 + items[3][1] + " ipsum" * 60_000
     (found,) = D.matches_of(index, pa.array([text]), 0.75).to_pylist()
     assert [(m["item_id"], m["first_word"]) for m in found if m["similarity"] > 0.999] == [(3, 60_000)]
+
+
+@pytest.mark.parametrize("at_once", [1, 4, 7])
+def test_blocks_change_no_match(spark, monkeypatch, at_once):
+    docs, items = table(7)
+    # items that share half their words, so that weights decide who passes
+    items += [(200 + k, " ".join(items[k % 4][1].split()[:7] + items[k][1].split()[-6:])) for k in range(12)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: sorted(tuple(r) for r in D.leaks(d, b).collect())
+    whole = found()
+    monkeypatch.setattr(D, "ITEMS_AT_ONCE", at_once)
+    assert found() == whole and {(d, i) for d, i, *_ in whole} == brute(docs, items).keys()
