@@ -3,9 +3,12 @@
 The pages of a host are laid over each other: elements with the same path of tags and classes are
 one node of the host's tree. A node's children come in styles (the sequence of child elements);
 the entropy of the styles over the pages is its presentation importance. A text block's content
-importance falls with the share of pages that have the same text there. A block whose composite
-importance is low is template and is removed from each page, and so is a branch all of whose
-blocks are removed. Pages that are equal count once, and a node needs ``LEAST_PAGES`` pages.
+importance falls with the share of pages that have the same text there. At a node whose composite
+importance is low, a text is template if ``LEAST_PAGES`` pages have it there beside a text of their
+own, of ``OWN_SHARE`` of the page or more; it is removed from each page of the host, and so is a
+branch all of whose blocks are removed. Other texts of the node stay: those of one page, and what
+only near copies have (a copy that differs in a date or in a menu has hardly a text of its own).
+Pages of a host whose blocks of text are equal count once, and a node needs ``LEAST_PAGES`` pages.
 
 Elements that name their role (menus, headers, footers, side bars, notices, adverts, forms,
 reader comments, scripts, styles) are never part of the text; where a page has an ``article`` or
@@ -33,7 +36,8 @@ from streamlab.llm.session import written
 LEAST_PAGES = 4
 LOW = 0.15
 CONTENT_SHARE = 0.9  # of the content importance in the composite one
-SMALL_SET = 200_000  # template nodes that are sent to the workers; more are joined
+OWN_SHARE = 0.2
+SMALL_SET = 200_000  # template texts that are sent to the workers; more are joined
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -172,10 +176,15 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) - 2**63
 
 
+def _text_item(site: str, path: str, text: str) -> int:
+    return _hash(site, "text", path, text)
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (node, parent, item, page) of the trees: a node's contents and styles on each page.
 
-    A NULL item stands for the page itself, so its count is the number of pages with the node.
+    A NULL item stands for the page itself, so its count is the number of pages with the node. A
+    content has its size and that of all contents of the page.
     """
     for batch in batches:
         rows = set()
@@ -183,25 +192,29 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             html = html.as_py()
             if not html:
                 continue
-            page, site = _hash(html), host(url.as_py())
-            parsed = Page(html)
-            for path, text in parsed.main_blocks():
+            site, parsed = host(url.as_py()), Page(html)
+            blocks = parsed.main_blocks()
+            page = _hash(site, *(part for block in blocks for part in block))
+            styled = _hash(str(page), *(part for path, styles in parsed.children.items() for part in (path, *styles)))
+            total = sum(len(text) for _, text in set(blocks))
+            for path, text in blocks:
                 node, parent = _hash(site, "text", path), _hash(site, "style", path.rpartition("/")[0])
-                rows.add((node, parent, _hash(text), page))
-                rows.add((node, parent, None, page))
+                rows.add((node, parent, _text_item(site, path, text), page, len(text), total))
+                rows.add((node, parent, None, page, 0, total))
             for path, styles in parsed.children.items():
                 node = _hash(site, "style", path)
-                rows.add((node, None, _hash(*styles), page))
-                rows.add((node, None, None, page))
-        columns = list(zip(*rows)) if rows else [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "parent", "item", "page"])
+                rows.add((node, None, _hash(*styles), styled, 0, 0))
+                rows.add((node, None, None, styled, 0, 0))
+        columns = list(zip(*rows)) if rows else [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "parent", "item", "page", "size", "total"])
 
 
-def template_nodes(pages: DataFrame) -> DataFrame:
-    """Text nodes of low composite importance."""
-    rows = pages.select("url", "html").mapInArrow(_nodes, "node long, parent long, item long, page long").distinct()
-    counts = rows.groupBy("node", "parent", "item").agg(F.count("*").alias("k"))
+def template_texts(pages: DataFrame) -> DataFrame:
+    """Texts (item) that are template at nodes of low composite importance."""
+    rows = pages.select("url", "html").mapInArrow(_nodes, "node long, parent long, item long, page long, size long, total long")
+    rows = written(rows.dropDuplicates(["node", "parent", "item", "page"]), "tree_rows")
     k, item = F.col("k"), F.col("item")
+    counts = rows.groupBy("node", "parent", "item").agg(F.count("*").alias("k"))
     stats = counts.groupBy("node", "parent").agg(
         F.max(F.when(item.isNull(), k)).alias("pages"),
         F.sum(F.when(item.isNotNull(), k)).alias("items"),
@@ -215,53 +228,56 @@ def template_nodes(pages: DataFrame) -> DataFrame:
         F.when(F.col("pages") > 1, F.log("items") / F.log("pages") - same).otherwise(1.0).alias("presentation"),
     )
     importance = CONTENT_SHARE * F.col("content") + (1 - CONTENT_SHARE) * F.coalesce("presentation", F.lit(0.0))
-    return text.join(style, "parent", "left").where(importance < LOW).select("node")
+    low = written(text.join(style, "parent", "left").where(importance < LOW).select("node"), "low_nodes")
+    # the blocks at these nodes whose text several pages have
+    at_low = rows.where(F.col("parent").isNotNull() & item.isNotNull()).join(low, "node").select("item", "page", "size", "total")
+    at_low = written(at_low, "low_blocks")
+    often = at_low.groupBy("item").agg(F.count("*").alias("k")).where(k >= LEAST_PAGES).select("item")
+    shared = written(at_low.join(often, "item"), "shared_blocks")
+    own = shared.groupBy("page").agg(F.sum("size").alias("size"), F.max("total").alias("total"))
+    own = own.where(F.col("total") - F.col("size") >= OWN_SHARE * F.col("total")).select("page")
+    return shared.join(own, "page").groupBy("item").agg(F.count("*").alias("k")).where(k >= LEAST_PAGES).select("item")
 
 
 def _text_of(url: str | None, html: str | None, template: set[int]) -> str:
     if not html:
         return ""
-    site, known, out = host(url), {}, []
-    for path, text in Page(html).main_blocks():
-        if path not in known:
-            known[path] = bool(template) and _hash(site, "text", path) in template
-        if not known[path]:
-            out.append(text)
-    return "\n".join(out)
+    site, blocks = host(url), Page(html).main_blocks()
+    return "\n".join(text for path, text in blocks if not template or _text_item(site, path, text) not in template)
 
 
 def extract(pages: DataFrame, small_set: int = SMALL_SET) -> DataFrame:
     """``pages`` with ``text``, the main text of ``html``; the html itself is left out."""
-    template = written(template_nodes(pages), "template")
+    template = written(template_texts(pages), "template")
     kept = [c for c in pages.columns if c not in ("html", "text")]
     if template.count() <= small_set:
-        nodes = pages.sparkSession.sparkContext.broadcast({r["node"] for r in template.collect()})
+        items = pages.sparkSession.sparkContext.broadcast({r["item"] for r in template.collect()})
 
         @F.arrow_udf("string")
         def text_of(urls: pa.Array, htmls: pa.Array) -> pa.Array:
-            return pa.array([_text_of(u.as_py(), h.as_py(), nodes.value) for u, h in zip(urls, htmls)], pa.string())
+            return pa.array([_text_of(u.as_py(), h.as_py(), items.value) for u, h in zip(urls, htmls)], pa.string())
 
         return pages.withColumn("text", text_of("url", "html")).select(*kept, "text")
 
-    def own_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def own_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = set()
             for url, html in zip(batch["url"], batch["html"]):
                 site, html = host(url.as_py()), html.as_py() or ""
-                rows.update((_hash(html), _hash(site, "text", p)) for p, _ in Page(html).main_blocks())
+                rows.update((_hash(html), _text_item(site, p, t)) for p, t in Page(html).main_blocks())
             columns = list(zip(*rows)) if rows else [()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["page", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["page", "item"])
 
     @F.arrow_udf("long")
     def page_key(htmls: pa.Array) -> pa.Array:
         return pa.array([_hash(h.as_py() or "") for h in htmls], pa.int64())
 
     @F.arrow_udf("string")
-    def text_without(urls: pa.Array, htmls: pa.Array, nodes: pa.Array) -> pa.Array:
-        return pa.array([_text_of(u.as_py(), h.as_py(), set(n.as_py() or ())) for u, h, n in zip(urls, htmls, nodes)], pa.string())
+    def text_without(urls: pa.Array, htmls: pa.Array, items: pa.Array) -> pa.Array:
+        return pa.array([_text_of(u.as_py(), h.as_py(), set(i.as_py() or ())) for u, h, i in zip(urls, htmls, items)], pa.string())
 
-    # per distinct page its template nodes: as many as the page has blocks at most
-    of_page = pages.select("url", "html").mapInArrow(own_nodes, "page long, node long").distinct().join(template, "node")
-    of_page = of_page.groupBy("page").agg(F.collect_set("node").alias("_nodes"))
+    # per distinct page its template texts: as many as the page has blocks at most
+    of_page = pages.select("url", "html").mapInArrow(own_items, "page long, item long").distinct().join(template, "item")
+    of_page = of_page.groupBy("page").agg(F.collect_set("item").alias("_items"))
     joined = pages.withColumn("_page", page_key("html")).join(of_page.withColumnRenamed("page", "_page"), "_page", "left")
-    return joined.withColumn("text", text_without("url", "html", "_nodes")).select(*kept, "text")
+    return joined.withColumn("text", text_without("url", "html", "_items")).select(*kept, "text")

@@ -60,3 +60,23 @@ def test_host():
 def test_long_and_deep_pages():
     deep = "<div>" * 800 + "x" + "</div>" * 800
     assert text(deep) == "x" and text("<p>" + "word " * 100_000) == ("word " * 100_000).strip()
+
+
+@pytest.mark.parametrize("small", [H.SMALL_SET, -1])
+def test_near_copies_and_unique_texts_stay(spark, small):
+    article = "<p>" + "A report of some length on the harbour and its ships. " * 4 + "</p>"
+    legal = "<div class='legal'>All rights reserved</div>"
+    said = (article[3:-4]).strip()
+    rows = []
+    # few pages, one article: a date, or an entry of the menu, differs
+    rows += [(k, f"http://few.example/{k}", f"<div class='date'>{k} May</div>{article}") for k in range(6)]
+    rows += [(k, f"http://menu.example/{k}", f"<nav>entry {k}</nav>{article}{legal}") for k in range(10, 16)]
+    # 90 near copies of one article beside 10 other pages
+    rows += [(k, f"http://many.example/{k}", f"<div class='date'>day {k}</div>{article}{legal}") for k in range(100, 190)]
+    rows += [(k, f"http://many.example/{k}", f"<p>Page {k} tells of something else, {k * k} times over</p>{legal}") for k in range(190, 200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.extract(df, small_set=small).collect()}
+    assert all(got[k] == f"{k} May\n{said}" for k in range(6))
+    assert all(said in got[k] for k in range(10, 16))
+    assert all(got[k] == f"day {k}\n{said}" for k in range(100, 190))
+    assert all(got[k] == f"Page {k} tells of something else, {k * k} times over" for k in range(190, 200))
