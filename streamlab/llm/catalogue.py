@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import decontaminate, html_text, jaccard_join, packing, quality, secrets, sharding, suffix_dedup, toxicity
+from streamlab.llm import (
+    decontaminate, html_text, jaccard_join, packing, quality, secrets, sharding, substring_dedup, suffix_dedup, toxicity,
+)
 from streamlab.llm.bpe import BpeCodec
 from streamlab.llm.session import documents
 
@@ -168,11 +170,33 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    starts, ends = F.col("span_starts"), F.col("span_ends")
+    removed = F.aggregate(F.zip_with(starts, ends, lambda a, b: b - a), F.lit(0).cast("long"), lambda total, n: total + n)
+    return substring_dedup.dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+OP13_SQL = r"""
+  WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS g FROM texts, unnest(range(1, len(w) - 33)) AS t(i)),
+  repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY g) > 1),
+  gone AS (SELECT DISTINCT doc_id, i + k AS p FROM repeated, unnest(range(35)) AS t(k)),
+  words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM texts),
+  kept AS (
+    SELECT doc_id, count(g.p) AS n, coalesce(string_agg(x, ' ' ORDER BY p) FILTER (WHERE g.p IS NULL), '') AS t
+    FROM words LEFT JOIN gone g USING (doc_id, p) GROUP BY 1)
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+  FROM texts LEFT JOIN kept USING (doc_id)"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_jaccard_join, op3_toxicity, op4_packing, op5_sharding, op6_main_text,
-        op7_suffix_dedup, op8_secrets, op9_quality, op10_decontaminate,
+        op7_suffix_dedup, op8_secrets, op9_quality, op10_decontaminate, op13_substring_dedup,
     )
 }
-ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql()}
+ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql(), "op13_substring_dedup": OP13_SQL}

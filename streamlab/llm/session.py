@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlab.config import work_dir
@@ -49,3 +51,71 @@ def with_python(df: DataFrame, inputs: list[str], outputs: dict[str, T.DataType]
             yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), *made], [*kept, *outputs])
 
     return df.mapInArrow(run, schema)
+
+
+def one_text_per_id(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose text is the document of their id, all other rows) of (doc_id, text, ...).
+
+    Where an id has several texts, the smallest by hash is the document. Rows with a NULL id are
+    among the others. Ids with one text, the usual case, are not shuffled.
+    """
+    own, aside = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    by_text = F.xxhash64("text")
+    torn = own.groupBy("doc_id").agg(F.min(by_text).alias("_low"), F.max(by_text).alias("_high")).where("_low < _high")
+    torn = written(torn.select("doc_id", "_low"), "torn")
+    if torn.count():
+        split = own.join(torn, "doc_id", "left").withColumn("_main", F.coalesce(by_text == F.col("_low"), F.lit(True)))
+        own, aside = split.where("_main").select(*docs.columns), aside.unionAll(split.where("not _main").select(*docs.columns))
+    return own, aside
+
+
+MOST_BITS = 31  # of a table that is sent to the workers: 256 MB
+BITS_EACH = 16
+
+
+def table_bits(entries: int, least: int = 16) -> int:
+    """Size (as a power of two) of a bit table of so many hashes: at most one bit in 16 is set.
+
+    Beyond 2^27 entries the table fills up; what it lets through is then looked at in vain.
+    """
+    return min(MOST_BITS, max(least, (BITS_EACH * entries).bit_length()))
+
+
+class IdTable:
+    """Rows whose id may be among ``ids``: a bit table sized by their number, sent to the workers.
+
+    Ids in it are always let through; others with a chance of one in 16. NULL ids are in no table.
+    """
+
+    def __init__(self, ids: DataFrame):
+        spark = ids.sparkSession
+        self.bits = table_bits(ids.count())
+        size = 1 << self.bits
+        place = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - self.bits)
+        share = ids.groupBy(F.shiftright(place, 13).alias("page")).agg(F.collect_set(place.bitwiseAND(F.lit(8191)).cast("short")).alias("at"))
+        table = np.zeros(size >> 3, np.uint8)
+        for batch in share.toArrow().to_batches():
+            for page, at in zip(batch["page"].to_pylist(), batch["at"]):
+                marked = np.zeros(8192, bool)
+                marked[at.values.to_numpy()] = True
+                table[page << 10 : (page << 10) + 1024] = np.packbits(marked, bitorder="little")
+        self.sent = spark.sparkContext.broadcast(table)
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows that may be in it, rows that are not), without a shuffle."""
+        place = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - self.bits)
+        known = df.withColumn(_PLACE, F.coalesce(place, F.lit(-1)))
+        return tuple(known.mapInArrow(_keeping(self.sent, wanted), known.schema).drop(_PLACE) for wanted in (True, False))
+
+
+_PLACE = "__place_in_id_table"
+
+
+def _keeping(sent, wanted: bool) -> Callable:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch[_PLACE].to_numpy()
+            inside = (at >= 0) & ((sent.value[np.maximum(at, 0) >> 3] >> (np.maximum(at, 0) & 7).astype(np.uint8)) & 1 > 0)
+            yield batch.filter(pa.array(inside == wanted))
+
+    return keep
