@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlab.llm import (
-    decontaminate, html_text, jaccard_join, packing, quality, secrets, sharding, substring_dedup, suffix_dedup, toxicity,
+    decontaminate, hard_negatives, html_text, jaccard_join, packing, quality, secrets, sharding, substring_dedup, suffix_dedup, toxicity,
 )
 from streamlab.llm.bpe import BpeCodec
 from streamlab.llm.session import documents
@@ -170,6 +170,32 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hard_negatives.mine(documents(spark, sf_dir, "embeddings"))
+    return found.withColumns({c: F.col(c).try_cast("long") for c in ("positive_score", "negative_score")})
+
+
+OP12_SQL = """
+  WITH taken AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+  scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM taken a JOIN taken b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+  positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+  SELECT anchor_id, positive_id,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+         id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+  QUALIFY rank <= 10"""
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts, ends = F.col("span_starts"), F.col("span_ends")
     removed = F.aggregate(F.zip_with(starts, ends, lambda a, b: b - a), F.lit(0).cast("long"), lambda total, n: total + n)
@@ -196,7 +222,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_jaccard_join, op3_toxicity, op4_packing, op5_sharding, op6_main_text,
-        op7_suffix_dedup, op8_secrets, op9_quality, op10_decontaminate, op13_substring_dedup,
+        op7_suffix_dedup, op8_secrets, op9_quality, op10_decontaminate, op12_hard_negatives,
+        op13_substring_dedup,
     )
 }
-ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql(), "op13_substring_dedup": OP13_SQL}
+ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql(), "op12_hard_negatives": OP12_SQL, "op13_substring_dedup": OP13_SQL}
