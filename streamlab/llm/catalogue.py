@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlab.llm import (
-    decontaminate, hard_negatives, html_text, jaccard_join, packing, quality, secrets, sharding, substring_dedup, suffix_dedup, toxicity,
+    collocations, decontaminate, hard_negatives, html_text, jaccard_join, packing, quality, secrets, sharding, substring_dedup, suffix_dedup, toxicity,
 )
 from streamlab.llm.bpe import BpeCodec
 from streamlab.llm.session import documents
@@ -170,6 +170,37 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+OP11_SQL = r"""
+  WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+  words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+  totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY 1),
+  f AS (
+    SELECT lang, k, w[i : i + k - 1] AS g, count(*) AS f
+    FROM words, unnest([1, 2, 3]) AS u(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL),
+  longer AS (
+    SELECT lang, g, max(f) AS f
+    FROM (SELECT lang, g[1:2] AS g, f FROM f WHERE k = 3 UNION ALL SELECT lang, g[2:3], f FROM f WHERE k = 3) GROUP BY 1, 2),
+  candidates AS (
+    SELECT c.lang, c.k, c.g, c.f AS a FROM f c LEFT JOIN longer b ON c.k = 2 AND b.lang = c.lang AND b.g = c.g AND b.f >= 10
+    WHERE c.k > 1 AND c.f >= 10 AND NOT coalesce(100 * b.f >= 50 * c.f, false)),
+  cuts AS (
+    SELECT c.lang, c.g, a, cut, l.f AS l, r.f AS r,
+           ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM candidates c JOIN (SELECT unnest([1, 2]) AS cut) ON cut < c.k
+    JOIN f l ON l.lang = c.lang AND l.g = c.g[1:cut] JOIN f r ON r.lang = c.lang AND r.g = c.g[cut + 1 :]),
+  lowest AS (
+    SELECT *, array_to_string(g, ' ') AS phrase FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM lowest JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = hard_negatives.mine(documents(spark, sf_dir, "embeddings"))
     return found.withColumns({c: F.col(c).try_cast("long") for c in ("positive_score", "negative_score")})
@@ -222,8 +253,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_byte_bpe, op2_jaccard_join, op3_toxicity, op4_packing, op5_sharding, op6_main_text,
-        op7_suffix_dedup, op8_secrets, op9_quality, op10_decontaminate, op12_hard_negatives,
-        op13_substring_dedup,
+        op7_suffix_dedup, op8_secrets, op9_quality, op10_decontaminate, op11_collocations,
+        op12_hard_negatives, op13_substring_dedup,
     )
 }
-ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql(), "op12_hard_negatives": OP12_SQL, "op13_substring_dedup": OP13_SQL}
+ORACLES = {"op2_jaccard_join": OP2_SQL, "op9_quality": _op9_sql(), "op11_collocations": OP11_SQL, "op12_hard_negatives": OP12_SQL, "op13_substring_dedup": OP13_SQL}

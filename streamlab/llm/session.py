@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +82,36 @@ def table_bits(entries: int, least: int = 16) -> int:
     return min(MOST_BITS, max(least, (BITS_EACH * entries).bit_length()))
 
 
+_PAGE_BITS = 13
+
+
+def bit_table(places: DataFrame, bits: int) -> np.ndarray:
+    """Packed bits, 2 ** bits of them, set at the values of the only column (long).
+
+    Pages of the table are put together by tasks; no more than the table itself comes to the driver.
+    """
+    page, at = F.shiftright("place", _PAGE_BITS), F.col("place").bitwiseAND(F.lit((1 << _PAGE_BITS) - 1)).cast("short")
+    pages = places.toDF("place").groupBy(page.alias("page")).agg(F.collect_set(at).alias("at"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bytes_of = []
+            for at in batch["at"]:
+                marked = np.zeros(1 << _PAGE_BITS, bool)
+                marked[at.values.to_numpy()] = True
+                bytes_of.append(np.packbits(marked, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch["page"], pa.array(bytes_of, pa.binary())], ["page", "bits"])
+
+    table, step = np.zeros((1 << bits) >> 3, np.uint8), (1 << _PAGE_BITS) >> 3
+    for page, found in pages.mapInArrow(packed, "page long, bits binary").toLocalIterator():
+        table[page * step : (page + 1) * step] = np.frombuffer(found, np.uint8)
+    return table
+
+
+def is_set(table: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
 class IdTable:
     """Rows whose id may be among ``ids``: a bit table sized by their number, sent to the workers.
 
@@ -88,34 +119,24 @@ class IdTable:
     """
 
     def __init__(self, ids: DataFrame):
-        spark = ids.sparkSession
         self.bits = table_bits(ids.count())
-        size = 1 << self.bits
-        place = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - self.bits)
-        share = ids.groupBy(F.shiftright(place, 13).alias("page")).agg(F.collect_set(place.bitwiseAND(F.lit(8191)).cast("short")).alias("at"))
-        table = np.zeros(size >> 3, np.uint8)
-        for batch in share.toArrow().to_batches():
-            for page, at in zip(batch["page"].to_pylist(), batch["at"]):
-                marked = np.zeros(8192, bool)
-                marked[at.values.to_numpy()] = True
-                table[page << 10 : (page << 10) + 1024] = np.packbits(marked, bitorder="little")
-        self.sent = spark.sparkContext.broadcast(table)
+        self.sent = ids.sparkSession.sparkContext.broadcast(bit_table(ids.select(self._place()), self.bits))
+
+    def _place(self) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - self.bits)
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(rows that may be in it, rows that are not), without a shuffle."""
-        place = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("long")), 64 - self.bits)
-        known = df.withColumn(_PLACE, F.coalesce(place, F.lit(-1)))
-        return tuple(known.mapInArrow(_keeping(self.sent, wanted), known.schema).drop(_PLACE) for wanted in (True, False))
+        place = F.when(F.col("doc_id").isNotNull(), self._place()).otherwise(F.lit(-1))
+        known = df.withColumn(_PLACE, place)
+        return tuple(known.mapInArrow(partial(_kept, self.sent, wanted), known.schema).drop(_PLACE) for wanted in (True, False))
 
 
 _PLACE = "__place_in_id_table"
 
 
-def _keeping(sent, wanted: bool) -> Callable:
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch[_PLACE].to_numpy()
-            inside = (at >= 0) & ((sent.value[np.maximum(at, 0) >> 3] >> (np.maximum(at, 0) & 7).astype(np.uint8)) & 1 > 0)
-            yield batch.filter(pa.array(inside == wanted))
-
-    return keep
+def _kept(sent, wanted: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = batch[_PLACE].to_numpy()
+        inside = (at >= 0) & is_set(sent.value, np.maximum(at, 0))
+        yield batch.filter(pa.array(inside == wanted))
