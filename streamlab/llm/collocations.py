@@ -6,7 +6,7 @@ after its first k words, a phrase with a occurrences scores floor(1,000,000 a a
 the occurrences of the two parts; its lowest-scoring cut counts, the first of equal ones. A
 candidate inside a longer one that has half its occurrences or more is dropped.
 
-1. Counting. Tasks count the phrases of some megabytes of text at once and Spark adds the counts
+1. Counting. Tasks count the phrases of a megabyte of text at once and Spark adds the counts
    up; a phrase that every text holds is one row per such run. A phrase of three words is counted
    only where both of its pairs are frequent, by a bit table sized by the number of frequent pairs.
 2. Prefix order. All frequent phrases as one stream sorted by (language, words): a phrase follows
@@ -48,7 +48,7 @@ KEPT_SHARE = 50  # percent of a phrase's occurrences in a longer candidate that
 SCALE = 1_000_000
 NO_LANGUAGE = "und"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 _IS_BREAK = np.zeros(256, bool)
 _IS_BREAK[list(BREAKS)] = True
 _IS_WORD = ~_IS_BREAK
