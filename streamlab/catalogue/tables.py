@@ -74,9 +74,10 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table_stream(spark, sf_dir, "events", EVENTS)
 
 
-def flights(ev: DataFrame) -> DataFrame:
+def flights(ev: DataFrame, *more: str) -> DataFrame:
     # the streaming watermark only takes TIMESTAMP, the table holds TIMESTAMP_NTZ
     return ev.select(
+        *more,
         F.col("event_type").alias("companhia"),
         F.col("user_id").alias("passageiros"),
         F.col("value").alias("atraso_min"),

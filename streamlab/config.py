@@ -66,7 +66,8 @@ class JobSettings:
         """(files, volume) per micro-batch. A drain takes all there is as one batch.
 
         A backlog is not delivered in the order of its events; cut into batches, its older rows
-        would be late by the time they are read and be dropped by a watermark.
+        would be late by the time they are read and be dropped by a watermark. A flow with windows
+        has a drain of its own that puts the backlog in order and keeps to ``max_bytes``.
         """
         if not self.trigger_seconds:
             return None, None

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from streamlab.sinks.paths import observed, remove
+
 # Line breaks within texts are written as \\n and \\r (and a backslash as two), so that a record is
 # a line and large files can be split.
 _CSV_FORMAT = {
@@ -19,14 +23,22 @@ _CSV_FORMAT = {
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add a batch to a Parquet table; a replayed batch replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+    """Add a batch to a Parquet table; a replayed batch replaces itself, an empty one leaves no folder."""
+    _written(df, f"{path}/lote={batch_id}", lambda out: out.write.mode("overwrite").parquet)
 
 
 def append_csv(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add a batch to a CSV table (a header per file); a replayed batch replaces itself."""
+    """Add a batch to a CSV table (a header per file); as ``append_batch`` otherwise."""
     out = df.withColumns({c: _one_line(c) for c in _texts(df.schema)})
-    out.write.mode("overwrite").options(**_CSV_FORMAT, quoteAll=True).csv(f"{path}/lote={batch_id}")
+    _written(out, f"{path}/lote={batch_id}", lambda o: o.write.mode("overwrite").options(**_CSV_FORMAT, quoteAll=True).csv)
+
+
+def _written(df: DataFrame, folder: str, writer: Callable) -> None:
+    """Write and count in one action, so that the batch's plan runs once."""
+    seen = Observation()
+    writer(df.observe(seen, F.count(F.lit(1)).alias("linhas")))(folder)
+    if not observed(seen).get("linhas"):
+        remove(df.sparkSession, folder)
 
 
 def read_csv_results(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

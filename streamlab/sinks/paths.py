@@ -24,6 +24,12 @@ def numbered(spark: SparkSession, root: str, prefix: str, committed: bool = True
     return sorted(found)
 
 
+def files_in(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files that a pattern stands for."""
+    fs, path = _fs(spark, pattern)
+    return sorted(s.getPath().getName() for s in fs.globStatus(path) or [])
+
+
 def volume(spark: SparkSession, pattern: str) -> int:
     """Bytes of all files that a path or pattern stands for."""
     fs, path = _fs(spark, pattern)
@@ -79,11 +85,12 @@ class Record:
     """A small dictionary that is replaced as a whole and survives a crash while it is replaced.
 
     It alternates between two files, so a file that is cut short leaves the one before it: no
-    store has to rename atomically, and nothing is ever listed.
+    store has to rename atomically, and nothing is ever listed. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._written: int | None = None  # number of the newest file, once known
 
     def _slots(self) -> list[tuple[int, dict]]:
         found = []
@@ -99,5 +106,6 @@ class Record:
         return max(self._slots(), key=lambda s: s[0])[1]
 
     def write(self, value: dict) -> None:
-        n = max(s[0] for s in self._slots()) + 1
+        n = (max(s[0] for s in self._slots()) if self._written is None else self._written) + 1
         write_text(self.spark, f"{self.path}.{n % 2}.json", json.dumps({"escrita": n, "valor": value}))
+        self._written = n

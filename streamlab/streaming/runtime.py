@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections import deque
 from collections.abc import Callable, Iterable
 
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from streamlab.config import small_frame
+from streamlab.sinks.paths import Record, files_in, read_text, write_text
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -111,6 +114,84 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return _frame(spark, query.recentProgress)
 
 
+class ProgressTable(StreamingQueryListener):
+    """Listener that keeps one row per query and batch for good, in files under ``path``.
+
+    The newest ``RANGE`` batches of a query are a record replaced with each report; a range that is
+    full becomes a file of its own and is not touched again. A batch that is replayed replaces its
+    row. So a report costs the same however many came before, a restarted job goes on with the same
+    table (the query's id stays with its checkpoint), and sums over it are exact.
+    """
+
+    RANGE = 100
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._open: dict[str, dict] = {}  # query -> its newest range
+        self._records: dict[str, Record] = {}
+        self.errors: list[tuple[str, str]] = []
+
+    def _record(self, query: str) -> Record:
+        return self._records.setdefault(query, Record(self.spark, f"{self.path}/abertas/{query}"))
+
+    def _file(self, query: str, number: int) -> str:
+        return f"{self.path}/fechadas/{query}-{number}.json"
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.errors.append((str(event.id), event.exception))
+
+    def onQueryProgress(self, event) -> None:
+        self.add(_progress_row(event.progress))
+
+    def add(self, row: tuple) -> None:
+        query, batch = row[0], row[1]
+        number = batch // self.RANGE
+        held = self._open.get(query) or self._record(query).read() or {"faixa": number, "linhas": {}}
+        if number < held["faixa"]:
+            self._close(query, number, {str(batch): row})
+        else:
+            if number > held["faixa"]:
+                self._close(query, held["faixa"], held["linhas"])
+                held = {"faixa": number, "linhas": {}}
+            held["linhas"][str(batch)] = row
+            self._record(query).write(held)
+        self._open[query] = held
+
+    def _close(self, query: str, number: int, rows: dict) -> None:
+        """Add rows to the file of a full range."""
+        path = self._file(query, number)
+        known = {str(r["lote"]): r for r in map(json.loads, (read_text(self.spark, path) or "").splitlines())}
+        known |= {n: dict(zip(_PROGRESS.names, r)) for n, r in rows.items()}
+        write_text(self.spark, path, "\n".join(json.dumps(known[n]) for n in sorted(known, key=int)))
+
+    def wait(self, query: StreamingQuery, seconds: float = 30) -> None:
+        """Reports come a little after their batch: wait for the last one of a stopped query."""
+        last, end = query.lastProgress, time.monotonic() + seconds
+        while last and time.monotonic() < end:
+            held = self._open.get(str(query.id))
+            if held and (held["faixa"] > last.batchId // self.RANGE or str(last.batchId) in held["linhas"]):
+                return
+            time.sleep(0.05)
+
+    def frame(self) -> DataFrame:
+        """All rows, one per query and batch."""
+        names = [s.rsplit(".", 2)[0] for s in files_in(self.spark, f"{self.path}/abertas/*.json")]
+        held = [self._record(n).read() for n in sorted(set(names))]
+        newest = small_frame(self.spark, [tuple(r) for h in held if h for r in h["linhas"].values()], _PROGRESS)
+        if not files_in(self.spark, f"{self.path}/fechadas/*.json"):
+            return newest
+        closed = self.spark.read.schema(_PROGRESS).json(f"{self.path}/fechadas/*.json")
+        # a range can be in both for a moment; the rows are the same
+        return closed.unionByName(newest).dropDuplicates(["consulta", "lote"])
+
+
 class ProgressLog(StreamingQueryListener):
     """Listener that keeps the last ``keep`` progress reports of all queries."""
 

@@ -81,8 +81,9 @@ def test_a_record_cut_short_leaves_the_one_before(spark, tmp_path):
     assert r.read() == {"n": 1}
     (tmp_path / ".r.0.json.crc").unlink()
     assert r.read() == {"n": 1}
-    r.write({"n": 7})
-    assert r.read() == {"n": 7}
+    again = Record(spark, str(tmp_path / "r"))  # the job after the crash
+    again.write({"n": 7})
+    assert again.read() == r.read() == {"n": 7}
 
 
 def test_only_touched_buckets_are_rewritten_and_old_folders_go(spark, tmp_path):
