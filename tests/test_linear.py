@@ -8,7 +8,7 @@ from conftest import rows
 from streamlab.operators import linear
 from streamlab.plans import patients as plan
 from streamlab.schemas import PATIENT
-from streamlab.sinks import ModelStore
+from streamlab.sinks import ModelStore, model_store
 from streamlab.sources import read_json_stream
 from streamlab.streaming import run_stream
 
@@ -118,7 +118,7 @@ def test_stream_restart_and_replay(spark, deliver, tmp_path, base):
     deliver("s", *map(record, chunks[0]))
     run(deliver("s", *map(record, chunks[1])))
     run(deliver("s", *map(record, chunks[2])))  # restart goes on from the stored model
-    assert store.versions() == [0, 1, 2]
+    assert [r.lote for r in store.history().collect()] == [0, 1, 2]
     last = store.latest()
     assert (last.seen, last.batches) == (90, 3)
     trainer(frame(spark, chunks[2]), 2)  # replay repeats its own step
@@ -129,7 +129,7 @@ def test_stream_restart_and_replay(spark, deliver, tmp_path, base):
         want = linear.train_step(frame(spark, c), want, steps=2)
     assert np.allclose(last.weights, want.weights) and np.isclose(last.bias, want.bias)
     trainer(frame(spark, []), 3)
-    assert store.versions() == [0, 1, 2]
+    assert [r.lote for r in store.history().collect()] == [0, 1, 2]
 
 
 def test_base_split_is_written_once(spark, tmp_path):
@@ -145,3 +145,42 @@ def test_risk_far_from_the_boundary():
 
     steep = Model(Scaler(("glucose", "bmi"), (0.0, 0.0), (1.0, 1.0)), (1000.0, 0.0))
     assert risk_of(steep, -5.0, 0.0)[:2] == (0, 0.0) and risk_of(steep, 5.0, 0.0)[:2] == (1, 1.0)
+
+
+def stored(store, version, seen=None):
+    scaler = linear.Scaler(("glucose", "bmi"), (1.0, 2.0), (3.0, 4.0))
+    store.save(linear.Model(scaler, (0.5, float(version)), 0.1, version, version + 1, seen or version), version / 1000)
+
+
+def test_model_and_metrics_are_one_commit(spark, tmp_path, monkeypatch):
+    store = ModelStore(spark, str(tmp_path / "m"))
+    stored(store, 0)
+    with monkeypatch.context() as m:
+        m.setattr("streamlab.sinks.paths.Record.write", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stored(store, 1)
+    again = ModelStore(spark, str(tmp_path / "m"))
+    assert again.latest().version == 0 and [r.lote for r in again.history().collect()] == [0]
+    assert {r.total for r in again.artifact_counts().collect()} == {1}
+    stored(again, 1)
+    stored(again, 1, seen=7)  # a replay replaces it
+    assert again.latest().seen == 7 and again.latest(before=1).version == 0 and again.history().count() == 2
+
+
+def test_many_versions_list_nothing_and_fold(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(model_store, "RANGE", 5)
+    store, listed = ModelStore(spark, str(tmp_path / "m")), []
+    real = model_store.numbered
+    monkeypatch.setattr(model_store, "numbered", lambda *a, **k: listed.append(a[1]) or real(*a, **k))
+    for n in range(23):
+        stored(store, n)
+        assert store.latest().version == n and (n == 0 or store.latest(before=n).version == n - 1)
+    assert len(listed) == 4  # once for each range that was folded
+    assert [(r.lote, r.acuracia) for r in store.history().collect()] == [(n, n / 1000) for n in range(23)]
+    open_ = {p.name for p in (tmp_path / "m" / "abertas").iterdir()}
+    assert open_ <= {"faixa=3", "faixa=4"} and len(list((tmp_path / "m" / "fechadas").iterdir())) == 4
+    assert store.latest(before=8).version == 7 and store.latest(before=0) is None
+    stored(store, 3, seen=77)  # after an older checkpoint was restored
+    stored(store, 9, seen=78)
+    assert [(r.lote, r.pacientes_vistos) for r in store.history().collect()] == [(n, {3: 77, 9: 78}.get(n, n)) for n in range(23)]
+    assert store.latest(before=4).seen == 77 and store.latest().version == 22
