@@ -8,7 +8,7 @@ from streamlab.catalogue import tables as t
 from streamlab.config import work_dir
 from streamlab.functions import drop_zero_missing, round_decimal
 from streamlab.operators import linear
-from streamlab.operators.ordering import preview
+from streamlab.operators.ordering import both_ends
 from streamlab.operators.sampling import assign_minibatch, hash_minibatch
 from streamlab.plans import patients as plan
 from streamlab.schemas import PATIENT
@@ -144,13 +144,8 @@ def patient_hash_batches(spark, sf_dir):
     (SELECT 'ultimos', doc_id, glucose, bmi, outcome FROM ({t.PATIENTS_SQL}) ORDER BY doc_id DESC LIMIT 5)"""
 )
 def patient_preview(spark, sf_dir):
-    """First and last five patients by id."""
-    rows = t.patients(spark, sf_dir)
-    parts = [
-        preview(rows, "doc_id", 5, last).select(F.lit(name).alias("parte"), "doc_id", *PATIENT.names)
-        for name, last in (("primeiros", False), ("ultimos", True))
-    ]
-    return parts[0].unionByName(parts[1])
+    """First and last five patients by id, in one pass."""
+    return both_ends(t.patients(spark, sf_dir).select("doc_id", *PATIENT.names), "doc_id", 5)
 
 
 @query(
@@ -180,6 +175,37 @@ def patient_gradient_step(spark, sf_dir):
     )
 
 
+def _newton_sql() -> str:
+    """Two Newton steps from the untrained model; each solves three equations by determinants."""
+    a, parts, model = linear.L2_ALPHA, [], "model0"
+    for k in range(2):
+        parts.append(f"""h{k} AS (SELECT sum(p * (1 - p) * x * x) / count(*) + {a} AS a, sum(p * (1 - p) * x * y) / count(*) AS b,
+          sum(p * (1 - p) * x) / count(*) AS c, sum(p * (1 - p) * y * y) / count(*) + {a} AS d, sum(p * (1 - p) * y) / count(*) AS e,
+          sum(p * (1 - p)) / count(*) AS f, sum((p - outcome) * x) / count(*) + {a} * any_value(w1) AS u,
+          sum((p - outcome) * y) / count(*) + {a} * any_value(w2) AS v, sum(p - outcome) / count(*) AS w
+        FROM (SELECT outcome, x, y, w1, w2, 1 / (1 + exp(-(b + w1 * x + w2 * y))) AS p
+              FROM (SELECT outcome, (glucose - m1) / s1 AS x, (bmi - m2) / s2 AS y FROM train, scaler), {model})),
+        n{k} AS (SELECT w1 - (u * (d * f - e * e) - v * (b * f - c * e) + w * (b * e - c * d)) / q AS w1,
+          w2 - (v * (a * f - c * c) - u * (b * f - c * e) - w * (a * e - b * c)) / q AS w2,
+          z.b0 - (w * (a * d - b * b) + u * (b * e - c * d) - v * (a * e - b * c)) / q AS b
+        FROM (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS q FROM h{k}),
+             (SELECT w1, w2, b AS b0 FROM {model}) z)""")
+        model = f"n{k}"
+    return f"""WITH split AS ({t.SPLIT_SQL}), train AS (SELECT * FROM split WHERE NOT em_teste), {_START_SQL}, {", ".join(parts)}"""
+
+
+@query(f"{_newton_sql()} SELECT {_r('w1')} AS peso_glucose, {_r('w2')} AS peso_bmi, {_r('b')} AS vies FROM n1")
+def patient_newton(spark, sf_dir):
+    """Weights after two second-order steps over the training rows, one pass each."""
+    train, _ = _written_split(spark, sf_dir)
+    model = linear.Model.untrained(linear.fit_scaler(train))
+    for _ in range(2):
+        model = linear.newton_step(train, model)
+    values = dict(zip(("peso_glucose", "peso_bmi", "vies"), (*model.weights, model.bias)))
+    one = spark.range(1).select(*[F.lit(v).alias(c) for c, v in values.items()])
+    return one.select(*[round_decimal(c, 4).alias(c) for c in values])
+
+
 @query(
     f"""{_MODEL_SQL}, z AS (SELECT doc_id, b + w1 * (glucose - m1) / s1 + w2 * (bmi - m2) / s2 AS z
       FROM test, scaler, model2)

@@ -9,7 +9,7 @@ from streamlab.config import JobSettings, work_dir
 from streamlab.functions import round_decimal
 from streamlab.operators.ordering import latest
 from streamlab.operators.quotes import clean_quotes, ohlcv, price_drop_alerts, with_pct_change
-from streamlab.operators.validation import conform, split_valid
+from streamlab.operators.validation import conform, split_written
 from streamlab.operators.windows import moving_average
 from streamlab.plans import quotes as plan
 from streamlab.plans.quotes import typed_quotes
@@ -69,7 +69,8 @@ def quote_clean(spark, sf_dir):
 )
 def quote_required_split(spark, sf_dir):
     quotes = clean_quotes(t.quotes(t.events(spark, sf_dir)))
-    valid, rejected = split_valid(quotes, ["ticker", "preco", "abertura", "volume"])
+    required = ["ticker", "preco", "abertura", "volume"]
+    valid, rejected = split_written(quotes, required, work_dir(spark, "quote_split"))
     kept = ("ticker", "preco", "coletado_em")
     both = valid.select(*kept, F.lit(True).alias("valida"), F.lit("").alias("motivos")).unionByName(
         rejected.select(*kept, F.lit(False).alias("valida"), F.array_join("motivos", ", ").alias("motivos"))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, MapType, StructField, StructType, VariantType
 
 _DIGITS = 4  # hex digits by which a cut is refined in one pass: 65,536 ranges per class
 
@@ -90,28 +90,40 @@ def _cuts(histogram: DataFrame, test: float, cuts: dict) -> DataFrame:
     )
 
 
+def _orderable(t: DataType) -> bool:
+    if isinstance(t, StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, ArrayType):
+        return _orderable(t.elementType)
+    return not isinstance(t, (MapType, VariantType))
+
+
 def shuffled_rank(df: DataFrame, key: str, path: str, seed: int = 7, name: str = "posicao") -> DataFrame:
     """1-based position of every row in the seeded shuffle.
 
-    Rows are dealt into ranges of (hash, content), sorted and written once under ``path`` with
-    their range's number; a position is the row's place in its range plus the rows of earlier
-    ranges. Ranges are even whatever the keys: a key with most of the rows spans many of them,
-    and equal rows are told apart by a running number.
+    Rows are dealt into ranges of (hash, content), sorted and written once under ``path``: the only
+    exchange of the data. A position is the row's place in its file plus the rows of earlier files.
+    Ranges are even whatever the keys: a key with most of the rows spans many of them, and equal
+    rows are told apart by a running number.
     """
     spark = df.sparkSession
     ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    order = ["_h", "_c", "_i"]
-    tagged = df.withColumns({"_h": seeded_hash(key, seed), "_c": _content(df), "_i": F.monotonically_increasing_id()})
-    dealt = tagged.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_faixa", F.spark_partition_id())
-    schema = StructType(list(dealt.schema.fields))
-    dealt.write.mode("overwrite").parquet(path)
-    rows = spark.read.schema(schema).parquet(path)
-    before = Window.orderBy("_faixa").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("_faixa").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
-    base = counts.select("_faixa", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    place = F.row_number().over(Window.partitionBy("_faixa").orderBy(*order))
-    ranked = rows.withColumn("_r", place).join(F.broadcast(base), "_faixa")
-    return ranked.select(*df.columns, (F.col("_base") + F.col("_r")).cast("long").alias(name))
+    others = [c for c in df.columns if c != key]
+    plain = [F.col(c) for c in others if _orderable(df.schema[c].dataType)]
+    odd = [F.to_json(F.struct(c)) for c in others if not _orderable(df.schema[c].dataType)]
+    tagged = df.withColumns({"_h": seeded_hash(key, seed), "_i": F.monotonically_increasing_id()})
+    order = [F.col("_h"), F.col(key), *plain, *odd, F.col("_i")]
+    dealt = tagged.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    dealt.select(*df.columns, F.spark_partition_id().alias("_faixa")).write.mode("overwrite").parquet(path)
+    schema = StructType([*df.schema.fields, StructField("_faixa", IntegerType())])
+    file, place = F.col("_metadata.file_name").alias("_arquivo"), F.col("_metadata.row_index").alias("_r")
+    rows = spark.read.schema(schema).parquet(path).select("*", file, place)
+    # one row per file; a task that wrote several numbered them in order
+    files = rows.groupBy("_arquivo").agg(F.min("_faixa").alias("_faixa"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_faixa", "_arquivo").rowsBetween(Window.unboundedPreceding, -1)
+    base = files.select("_arquivo", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    ranked = rows.join(F.broadcast(base), "_arquivo")
+    return ranked.select(*df.columns, (F.col("_base") + F.col("_r") + 1).cast("long").alias(name))
 
 
 def assign_minibatch(df: DataFrame, key: str, path: str, size: int = 30, seed: int = 7) -> DataFrame:

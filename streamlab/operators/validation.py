@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from streamlab.schemas import required_columns
 
@@ -19,10 +19,27 @@ def split_valid(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, Data
     missing = F.lit(False)
     for c in required:
         missing = missing | F.col(c).isNull()
-    reasons = F.array_compact(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(f"{c} ausente")) for c in required])
+    return df.where(~missing), df.where(missing).withColumn("motivos", _reasons(required))
+
+
+def _reasons(required: Sequence[str]) -> Column:
+    return F.array_compact(
+        F.array(*[F.when(F.col(c).isNull(), F.lit(f"{c} ausente")) for c in required]).cast("array<string>")
     )
-    return df.where(~missing), df.where(missing).withColumn("motivos", reasons)
+
+
+def split_written(df: DataFrame, required: Sequence[str], path: str) -> tuple[DataFrame, DataFrame]:
+    """``split_valid`` with one pass over the input: both sides are written at once, by partition.
+
+    Valid rows lie under ``path/valida=true``, the others with their ``motivos`` under
+    ``path/valida=false``; either side is read back without looking at the other. Writing the same
+    path again replaces both.
+    """
+    marked = df.withColumn("motivos", _reasons(required)).withColumn("valida", F.size("motivos") == 0)
+    marked.write.mode("overwrite").partitionBy("valida").parquet(path)
+    stored = StructType([*df.schema.fields, StructField("motivos", ArrayType(StringType())), StructField("valida", BooleanType())])
+    rows = df.sparkSession.read.schema(stored).parquet(path)
+    return rows.where("valida").drop("motivos", "valida"), rows.where("not valida").drop("valida")
 
 
 def conform(df: DataFrame, contract: StructType) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamlab.operators.validation import conform_valid
+from streamlab.operators.validation import conform, split_written
+from streamlab.schemas import required_columns
 
 _ROW, _FILE, _BATCH = "_linha", "_arquivo", "lote_id"
 
@@ -59,7 +60,8 @@ class JdbcAppender:
     """``foreachBatch`` handler: (batch, batch id) -> rows of ``table``.
 
     1. The batch is written once to Parquet under ``staging_dir`` -- the only pass over
-       the stream's plan. Rows that break the contract go to ``rejeitados`` beside it.
+       the stream's plan. Rows that break the contract lie beside the others (``valida=false``)
+       with their reasons.
     2. Executors insert the written rows into a staging table, each tagged with its file
        and row number, so a task that runs twice yields recognisable copies. The staging
        table is made from the contract, with the target's own column types.
@@ -94,20 +96,10 @@ class JdbcAppender:
         self.execute(spark, table_ddl(self.contract, self.table, dialect, index))
 
     def stage(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        spark = batch.sparkSession
         folder = f"{self.staging_dir}/lote={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
-        # file and row number travel as columns until after the contract check
-        written = spark.read.schema(batch.schema).parquet(folder)
-        tags = [F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.row_index").alias(_ROW)]
-        keyed = written.select("*", *tags)
-        tagged = T.StructType(
-            list(self.contract.fields)
-            + [T.StructField(_FILE, T.StringType()), T.StructField(_ROW, T.LongType())]
-        )
-        valid, rejected = conform_valid(keyed, tagged)
-        rejected.write.mode("overwrite").parquet(f"{self.staging_dir}/rejeitados/lote={batch_id}")
-        return valid
+        valid, _ = split_written(conform(batch, self.contract), required_columns(self.contract), folder)
+        # file and row number travel with the rows
+        return valid.select(*self.contract.names, F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.row_index").alias(_ROW))
 
     def insert(self, staged: DataFrame) -> None:
         (

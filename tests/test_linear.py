@@ -184,3 +184,20 @@ def test_many_versions_list_nothing_and_fold(spark, tmp_path, monkeypatch):
     stored(store, 9, seen=78)
     assert [(r.lote, r.pacientes_vistos) for r in store.history().collect()] == [(n, {3: 77, 9: 78}.get(n, n)) for n in range(23)]
     assert store.latest(before=4).seen == 77 and store.latest().version == 22
+
+
+def test_newton_steps_reach_the_minimum(spark):
+    data = patients(400, seed=3)
+    df = spark.createDataFrame(data, PATIENT.simpleString())
+    scaler = linear.fit_scaler(df)
+    model = linear.Model.untrained(scaler)
+    for _ in range(10):
+        model = linear.newton_step(df, model)
+    sums = linear.gradient_sums(df, model).first()
+    rest = [sums[f"g_{f}"] / sums["n"] + linear.L2_ALPHA * w for f, w in zip(scaler.features, model.weights)]
+    assert max(map(abs, [*rest, sums["g_bias"] / sums["n"]])) < 1e-9 and model.seen == 4000
+    slow = linear.train_step(df, linear.Model.untrained(scaler), steps=60)
+    assert np.sign(slow.weights[0]) == np.sign(model.weights[0])
+    assert linear.newton_step(df.limit(0), model) is model
+    one = df.where("outcome = 1").limit(1)  # a Hessian of rank one
+    assert all(map(math.isfinite, linear.newton_step(one, linear.Model.untrained(linear.fit_scaler(one))).weights))

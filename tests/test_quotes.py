@@ -2,8 +2,9 @@ import random
 from datetime import datetime, timedelta
 
 from conftest import rows
+from pyspark.sql import functions as F
 
-from streamlab.operators.ordering import latest, preview
+from streamlab.operators.ordering import both_ends, latest, preview
 from streamlab.operators.quotes import clean_quotes, ohlcv, price_drop_alerts
 from streamlab.operators.windows import moving_average
 from streamlab.schemas import QUOTE
@@ -96,3 +97,17 @@ def test_drop_alerts_on_any_number(spark):
     df = spark.createDataFrame(data, "preco double, abertura double")
     assert {tuple(r)[:2] for r in price_drop_alerts(df).collect()} == {data[0], data[3]}
     assert unrepresentable(df).count() == 5
+
+
+def test_both_ends_in_one_pass(spark):
+    nan = float("nan")
+    values = [None, nan, float("inf"), -float("inf"), *map(float, range(40))]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, parte2 int").repartition(7)
+    got = both_ends(df, "v", 3)
+    first = df.orderBy(F.asc("v")).limit(3).collect()
+    last = df.orderBy(F.desc("v")).limit(3).collect()
+    assert sorted(r.parte2 for r in got.where("parte = 'primeiros'").collect()) == sorted(r.parte2 for r in first)
+    assert sorted(r.parte2 for r in got.where("parte = 'ultimos'").collect()) == sorted(r.parte2 for r in last)
+    assert both_ends(df.limit(2), "v", 5).count() == 4 and both_ends(df.limit(0), "v", 5).count() == 0
+    texts = spark.createDataFrame([("é",), ("z",), ("a",), (None,)], "s string")
+    assert {(r.parte, r.s) for r in both_ends(texts, "s", 1).collect()} == {("primeiros", None), ("ultimos", "é")}

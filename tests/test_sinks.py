@@ -96,7 +96,7 @@ def test_jdbc_publish_is_exactly_once(spark, con, tmp_path):
     sink(windows(spark, "AZUL"), 1)
     sink(windows(spark), 2)  # empty batch
     assert stored(con) == want + [(1, "AZUL")]
-    rejected = spark.read.parquet(str(tmp_path / "stage" / "rejeitados" / "lote=0"))
+    rejected = spark.read.parquet(str(tmp_path / "stage" / "lote=0" / "valida=false"))
     assert [r.motivos for r in rejected.collect()] == [["companhia ausente"]]
 
 

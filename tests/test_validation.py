@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from conftest import rows
 
-from streamlab.operators.validation import conform, conform_valid, split_valid
+from streamlab.operators.validation import conform, conform_valid, split_valid, split_written
 from streamlab.schemas import QUOTE_TABLE, required_columns
 
 
@@ -39,3 +39,22 @@ def test_conform_orders_casts_and_applies_not_null(spark):
 
 def test_required_columns():
     assert required_columns(QUOTE_TABLE) == ["ticker", "preco", "coletado_em"]
+
+
+def test_split_written_reads_its_input_once(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), ("b", None), (None, None)], "ticker string, preco double")
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    counted = df.mapInArrow(count, df.schema)
+    for _ in range(2):  # a replay replaces both sides
+        valid, rejected = split_written(counted, ["ticker", "preco"], str(tmp_path / "s"))
+    assert calls.value == 8
+    assert rows(valid) == [("a", 1.0)] and valid.schema == df.schema
+    assert sorted(r.motivos for r in rejected.collect()) == [["preco ausente"], ["ticker ausente"], ["ticker ausente", "preco ausente"]]
+    everything, nothing = split_written(df, [], str(tmp_path / "t"))
+    assert everything.count() == 4 and nothing.count() == 0
