@@ -256,6 +256,18 @@ def patient_grid(spark, sf_dir):
     )
 
 
+@query(
+    f"""SELECT (row_number() OVER (ORDER BY md5(doc_id || '|7')) - 1) // 30 + 1 AS lote, glucose, bmi, outcome
+    FROM ({t.SPLIT_SQL}) WHERE NOT em_teste"""
+)
+def patient_arrivals(spark, sf_dir):
+    """The training part as delivered to the stream: JSON records in chunks of 30."""
+    base = work_dir(spark, "patient_arrivals")
+    train, _ = _written_split(spark, sf_dir)
+    plan.deliver(train, t.SPLIT_KEY, f"{base}/ordem", f"{base}/in")
+    return spark.read.schema(PATIENT.simpleString()).json(f"{base}/in").select(F.col("lote").cast("long").alias("lote"), *PATIENT.names)
+
+
 def _streamed_training(spark, sf_dir):
     """Training rows in three deliveries of JSON files, the query restarted for each.
 

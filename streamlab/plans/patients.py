@@ -14,7 +14,7 @@ from streamlab.functions import drop_zero_missing
 from streamlab.operators.linear import (
     FEATURES, Model, Scaler, accuracy, fit_scaler, predict, train_step,
 )
-from streamlab.operators.sampling import stratified_split
+from streamlab.operators.sampling import assign_minibatch, stratified_split
 from streamlab.schemas import PATIENT, PATIENT_BASE
 from streamlab.sinks import ModelStore
 from streamlab.sources import read_csv_named, read_json_stream
@@ -24,6 +24,7 @@ from streamlab.streaming import run_stream, start_batches
 CLASSES = (0, 1)
 TEST_SHARE = 0.25
 SPLIT_SEED = 42
+CHUNK = 30
 
 
 def split_base(patients: DataFrame, key: str, path: str) -> DataFrame:
@@ -50,6 +51,13 @@ def write_split(patients: DataFrame, key: str, path: str) -> tuple[DataFrame, Da
     return tuple(written.where(F.col("em_teste") == t).drop("em_teste") for t in (False, True))
 
 
+def deliver(train: DataFrame, key: str, path: str, arrivals: str, size: int = CHUNK) -> None:
+    """The training part as the arrivals of the stream: seeded chunks of ``size`` records, JSON files
+    under ``arrivals/lote=<k>``. A chunk lies in one file, or in a few where it is split by ranges."""
+    chunks = assign_minibatch(train, key, path, size)
+    chunks.select("lote", *PATIENT.names).write.mode("overwrite").partitionBy("lote").json(arrivals)
+
+
 @dataclass
 class Trainer:
     """``foreachBatch`` handler: one model version per micro-batch.

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlab.catalogue import all_queries, tables
-from streamlab.operators import tally
-from streamlab.operators.sampling import stratified_split
+from streamlab.operators import linear, tally
+from streamlab.operators.ordering import both_ends
+from streamlab.operators.sampling import shuffled_rank, stratified_split
+from streamlab.operators.validation import split_written
 from streamlab.sinks import KeyedTable
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -83,3 +85,36 @@ def test_keyed_table_merges_by_hash(spark, tmp_path):
     for n in range(2):
         table.upsert(spark.createDataFrame([("a", n)], schema), n)
     assert "SortAggregate" not in plan_of(table.read_current())
+
+
+def executed(df):
+    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+
+
+def test_seeded_shuffle_has_one_exchange_of_the_data(spark, tmp_path):
+    df = spark.range(1000).withColumn("x", F.col("id") % 7)
+    ranked = executed(shuffled_rank(df, "id", str(tmp_path / "r")))
+    assert "rangepartitioning" not in ranked and "SortMergeJoin" not in ranked
+    # what is left after the write is about files: one row each
+    assert ranked.count("Exchange") <= 3 and ranked.count("hashpartitioning(_arquivo") == 1
+
+
+def test_split_reads_one_side_only(spark, tmp_path):
+    df = spark.range(10).select(F.when(F.col("id") > 3, F.col("id")).alias("k"))
+    valid, rejected = split_written(df, ["k"], str(tmp_path / "s"))
+    for side in (valid, rejected):
+        assert "PartitionFilters: [isnotnull(valida" in executed(side) and "Exchange" not in executed(side)
+
+
+def test_preview_scans_and_joins_once(spark, tmp_path):
+    for n in ("a", "b"):
+        spark.range(50).withColumnRenamed("id", "k").withColumn(n, F.lit(1)).write.parquet(str(tmp_path / n))
+    base = spark.read.parquet(str(tmp_path / "a")).join(spark.read.parquet(str(tmp_path / "b")), "k")
+    plan = executed(both_ends(base, "k", 3))
+    assert plan.count("FileScan") == 2 and plan.count("HashJoin") + plan.count("SortMergeJoin") == 1
+
+
+def test_newton_step_is_one_aggregation(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 0), (3.0, 1.0, 1)], "glucose double, bmi double, outcome int")
+    plan = executed(linear.curvature_sums(df, linear.Model.untrained(linear.fit_scaler(df))))
+    assert plan.count("HashAggregate") == 2 and plan.count("Exchange SinglePartition") == 1
