@@ -16,7 +16,8 @@ matter, so one round of names is enough and the recursion on names ends there:
    place, and compared with their neighbours: all but the first of equal strings are repeated.
 
 Before the sampling, text that can't repeat is left out: the smallest of the hashes of the
-``GRAM``-byte strings within a string (a function of its bytes) must occur at two places.
+``GRAM``-byte strings within a string (a function of its bytes) must occur at two places. Which
+hashes do is sent to the workers as a bit table sized by their number (``session.table_bits``).
 
 Names are 64-bit polynomial hashes; that of the surroundings, which only tells places of one core
 apart, keeps 40 of them. Records travel as arrays, dealt out by name or by document
@@ -45,9 +46,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamlab.llm import kernels
-from streamlab.llm.jaccard_join import _bucket, _places
 from streamlab.llm.kernels import mix, runs, utf8
-from streamlab.llm.session import slices, written
+from streamlab.llm.session import IdTable, one_text_per_id, slices, table_bits, written
 
 LENGTH = 100
 PERIOD = 57
@@ -56,7 +56,8 @@ CORE = LENGTH - PERIOD + 1
 BEFORE = PERIOD - 1  # bytes before a sampled place that a string through it can hold
 GRAM = 40
 LEAST_PART_BITS = 8  # records are dealt out in 256 parts at least, more for a wider shuffle
-TABLE_BITS = 27  # of the table of hashes that occur twice: 16 MB
+TABLE_BITS = 27  # of the table of hashes that occur twice, at least: 16 MB; sized by their number
+PROBES = 4  # bits that each of them sets
 HOT = 16_384
 HOT_SHARE = 64
 HOT_BITS = 22  # of the table of hot cores
@@ -209,24 +210,46 @@ def _grams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield deal(_part(h, bits), [(h << np.uint64(8) >> np.uint64(32)).astype(np.uint32)])
 
 
+def _table_places(gram: np.ndarray, bits: int, size: int) -> Iterator[np.ndarray]:
+    """Bits that stand for a gram in a table of 2 ** size bits: some within the share of its part."""
+    share = (gram >> np.uint64(64 - bits)) << np.uint64(size - bits)
+    for k in range(PROBES):
+        within = mix(gram + np.uint64(k + 1)) >> np.uint64(64 - size + bits)
+        yield (share | within).astype(np.int64)
+
+
 def _twice(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part its share of the bit table of hashes that occur at two places."""
+    """Per part the hashes that occur at two places, and their number."""
     for part, (h,) in gather(batches, [np.uint32]):
         h = np.sort(h)
         h = np.unique(h[1:][h[1:] == h[:-1]]).astype(np.uint64)
         # the hash lacks its first 8 bits, which the part's number begins with
         h |= np.uint64(part >> (bits - 8) << 32)
-        at = (h >> np.uint64(40 - TABLE_BITS)).astype(np.int64) - (part << (TABLE_BITS - bits))
-        table = np.zeros(1 << (TABLE_BITS - bits), bool)
-        table[at] = True
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(table, bitorder="little").tobytes()])], ["part", "c0"])
+        columns = [pa.array([part], pa.int32()), pa.array([(h << np.uint64(24)).tobytes()], pa.binary()), pa.array([len(h)], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "c0", "n"])
+
+
+def _shares(bits: int, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per part its share of the bit table."""
+    for batch in batches:
+        for part, blob in zip(batch["part"].to_pylist(), batch["c0"]):
+            share = np.zeros(1 << (size - bits), bool)
+            for at in _table_places(np.frombuffer(blob.as_py(), np.uint64), bits, size):
+                share[at - (part << (size - bits))] = True
+            packed = np.packbits(share, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed])], ["part", "c0"])
 
 
-def _suspects(table: np.ndarray, hashes: Hashes, n: int, offsets: np.ndarray) -> np.ndarray:
+def _suspects(bits: int, table: np.ndarray, hashes: Hashes, n: int, offsets: np.ndarray) -> np.ndarray:
     """Sampled places, by their offset in the document, that hold a string that may repeat."""
     start, low = _string_names(hashes, n, offsets)
-    at = (low >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-    start = start[(table[at >> 3] >> (at & 7)) & 1 > 0]
+    new = np.ones(len(low), bool)  # strings in a row mostly have the same gram
+    new[1:] = low[1:] != low[:-1]
+    gram, size = low[new] & ~_PLACE, (8 * len(table)).bit_length() - 1
+    known = np.ones(len(gram), bool)
+    for at in _table_places(gram, bits, size):
+        known &= (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+    start = start[known[np.cumsum(new) - 1]]
     near = np.zeros(n + PERIOD + 1, np.int32)
     near[: n + 1] += np.bincount(start, minlength=n + 1)[: n + 1].astype(np.int32)
     near[PERIOD:] -= near[: n + 1].copy()
@@ -242,7 +265,7 @@ def _bounds(place: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc, np.maximum(place - BEFORE, offsets[doc]), np.minimum(place + LENGTH, offsets[doc + 1])
 
 
-def _sampled(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+def _sampled(bits: int, table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     """(core, surroundings, document, place) of the sampled places of each slice."""
     for batch in slices(batches):
         data, offsets = utf8(batch["text"])
@@ -251,7 +274,7 @@ def _sampled(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[t
         for a, b in runs(offsets):
             own = offsets[a : b + 1] - offsets[a]
             hashes = Hashes(data[offsets[a] : offsets[b]])
-            place = _suspects(table, hashes, int(own[-1]), own)
+            place = _suspects(bits, table, hashes, int(own[-1]), own)
             if not len(place):
                 continue
             doc, lo, hi = _bounds(place, own)
@@ -265,7 +288,7 @@ def _sampled(table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[t
 
 
 def _cores(bits: int, table: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for core, *_ in _sampled(table, batches):
+    for core, *_ in _sampled(bits, table, batches):
         yield deal(_part(core, bits), [_low(core)])
 
 
@@ -279,7 +302,7 @@ def _hot_places(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
 def _samples(bits: int, table: np.ndarray, hot: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First records of each name of a slice, those of hot cores in parts from 1 << bits on; places
     of the others, by document in parts from 2 << bits on."""
-    for core, around, doc, place in _sampled(table, batches):
+    for core, around, doc, place in _sampled(bits, table, batches):
         first, later = first_and_later(core, around, doc, place)
         if later.any():
             part, n = _part(mix(doc[later].astype(np.uint64)), bits), int(later.sum())
@@ -469,19 +492,14 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(TABLE_BITS - 3, max(LEAST_PART_BITS, (2 * width - 1).bit_length()))
-    own, aside = docs.where("doc_id is not null"), docs.where("doc_id is null")
-    by_text = F.xxhash64("text")
-    torn = own.groupBy("doc_id").agg(F.min(by_text).alias("_low"), F.max(by_text).alias("_high")).where("_low < _high")
-    torn = written(torn.select("doc_id", "_low"), "torn")
-    if torn.count():
-        split = own.join(torn, "doc_id", "left").withColumn("_main", F.coalesce(by_text == F.col("_low"), F.lit(True)))
-        own, aside = split.where("_main").select(*docs.columns), aside.unionAll(split.where("not _main").select(*docs.columns))
-    rows = _dealt(own.mapInArrow(partial(_grams, bits), _schema(1)), partial(_twice, bits), _schema(1)).toArrow()
-    table = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
+    own, aside = one_text_per_id(docs)
+    twice = written(_dealt(own.mapInArrow(partial(_grams, bits), _schema(1)), partial(_twice, bits), "part int, c0 binary, n long"), "twice")
+    size = table_bits(twice.agg(F.sum("n")).first()[0] or 0, TABLE_BITS)
+    table = np.zeros(1 << (size - 3), np.uint8)
     step = len(table) >> bits
-    for part, share in zip(rows["part"].to_pylist(), rows["c0"].to_pylist()):
+    for part, share in twice.select("part", "c0").mapInArrow(partial(_shares, bits, size), _schema(1)).toLocalIterator():
         table[part * step : (part + 1) * step] = np.frombuffer(share, np.uint8)
-    twice = spark.sparkContext.broadcast(table)  # 2 ** TABLE_BITS bits
+    twice = spark.sparkContext.broadcast(table)  # 2 ** size bits
 
     def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _cores(bits, twice.value, batches)
@@ -501,25 +519,13 @@ def dedup(docs: DataFrame, text: str = "text") -> DataFrame:
     classes = _dealt(own.mapInArrow(samples, _schema(4)), partial(_classes, bits), _schema(3))
     marks = written(_dealt(classes, _marks, "doc_id long, whole array<int>, look array<int>"), "marks")
 
-    def only(ids: DataFrame, wanted: bool = True) -> Callable:
-        """Keep rows whose id is in a hash range of these ids (or in none)."""
-        chosen = spark.sparkContext.broadcast(_places(ids.select("doc_id")))
-
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = np.unpackbits(chosen.value).astype(bool)
-            for batch in batches:
-                yield batch.filter(pa.array(known[_bucket(batch["doc_id"].to_numpy())] == wanted))
-
-        return keep
-
     look = marks.where(F.size("look") > 0).select("doc_id", "look")
-    near = own.mapInArrow(only(look), own.schema).join(look, "doc_id")
+    near = IdTable(look.select("doc_id")).split(own)[0].join(look, "doc_id")
     strings = _dealt(near.mapInArrow(surroundings, _schema(5)), partial(_strings, bits), _schema(3))
     more = written(_dealt(strings, _stretches, "doc_id long, first array<int>, end array<int>"), "stretches")
 
-    some = marks.select("doc_id").unionByName(more.select("doc_id"))
-    touched = own.mapInArrow(only(some), own.schema)
-    clean = own.mapInArrow(only(some, False), own.schema).unionAll(aside)
+    touched, clean = IdTable(marks.select("doc_id").unionByName(more.select("doc_id"))).split(own)
+    clean = clean.unionAll(aside)
     empty = F.array().cast("array<int>")
     joined = touched.join(marks.drop("look"), "doc_id", "left").join(more, "doc_id", "left")
     joined = joined.select("doc_id", "text", *(F.coalesce(c, empty).alias(c) for c in ("whole", "first", "end")))
