@@ -359,7 +359,9 @@ def link(docs: DataFrame, text: str = "text") -> DataFrame:
     grouped = lists.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     grouped = grouped.withColumn("g", F.coalesce("component", "doc_id")).drop("component").repartition("h")
     # lists of the same documents are one list; a document's place in it is its first one
-    kept = grouped.groupBy("h").agg(F.bit_xor(F.xxhash64("doc_id")).alias("of"), F.min("g").alias("low"), F.max("g").alias("high"))
+    grouped = grouped.groupBy("h", "doc_id", "n", "g").agg(F.min("place").alias("place"))
+    of = F.xxhash64(F.bit_xor(F.xxhash64("doc_id")), F.bit_xor(F.xxhash64("doc_id", F.lit(1))), F.count(F.lit(1)))
+    kept = grouped.groupBy("h").agg(of.alias("of"), F.min("g").alias("low"), F.max("g").alias("high"))
     mixed = grouped.join(kept.where("low < high").select("h", "of"), "h").groupBy(F.col("of").alias("h"), "doc_id", "n", "g")
     mixed = written(mixed.agg(F.min("place").alias("place")), "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
