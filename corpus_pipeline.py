@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from streamlab.llm import decontaminate, jaccard_join, secrets, toxicity
 from streamlab.llm.catalogue import codec, digests
-from streamlab.llm.session import documents, written
+from streamlab.llm.session import IdTable, documents, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,16 +21,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each linked group; documents without an id stay."""
-    links = jaccard_join.link(docs)
-    chosen = links.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows_of_id"))
-    chosen = written(chosen, "chosen").withColumnRenamed("doc_id", "chosen_id")
-    kept = docs.join(chosen, docs["doc_id"] == chosen["chosen_id"])
-    single = kept.where("rows_of_id = 1").select(*docs.columns)
-    again = kept.where("rows_of_id > 1").withColumn(
-        "place", F.row_number().over(Window.partitionBy("chosen_id").orderBy(*(docs[c] for c in docs.columns)))
+    """The document with the smallest id of each linked group; documents without an id stay.
+
+    Decided by the ids that go: of all other documents no text is moved.
+    """
+    links = jaccard_join.link(docs).where("doc_id is not null")
+    ids = links.groupBy("doc_id").agg(F.bool_or(F.col("component_id") == F.col("doc_id")).alias("stays"), F.count("*").alias("rows_of_id"))
+    touched = written(ids.where("not stays or rows_of_id > 1").select("doc_id", "stays"), "touched")
+    some, others = IdTable(touched.select("doc_id")).split(docs)
+    known = touched.withColumnsRenamed({"doc_id": "__touched_id", "stays": "__touched_stays"})
+    known = some.join(known, some["doc_id"] == known["__touched_id"], "left")
+    clean = known.where("__touched_id is null").select(*(some[c] for c in docs.columns))
+    # of rows that share an id, the first in the order of all columns
+    again = known.where("__touched_stays").withColumn(
+        "__touched_place", F.row_number().over(Window.partitionBy("__touched_id").orderBy(*(some[c] for c in docs.columns)))
     )
-    return single.unionAll(again.where("place = 1").select(*docs.columns)).unionAll(docs.where("doc_id is null"))
+    first = again.where("__touched_place = 1").select(*(F.col(c) for c in docs.columns))
+    return others.unionAll(clean).unionAll(first)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
