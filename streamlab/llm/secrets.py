@@ -5,14 +5,20 @@ that the sum of their guess costs (log10) is smallest: dynamic programming over
 last part. A value an attacker would need more than ``10 ** MIN_COST`` guesses for is reported as
 kind ``guess``; a value made of common parts is not a secret worth reporting.
 
-Handling of odd input: NULL and empty texts have no spans; equal texts have equal spans; other
-columns are passed on, an existing column of the output's name is replaced. Whole texts are read.
+Words come with their ranks from a table that the caller can replace (``guess_cost``); the one
+here lists the commonest parts of passwords. Repeats and walks are looked at in all lengths.
+
+Handling of odd input: NULL and empty texts have no spans; equal texts, also of repeated rows, have
+equal spans; spans that start together are ordered by kind; other columns are passed on, an existing
+column of the output's name is replaced; an empty table gives none. Whole texts are read, however
+long: the work grows with their length.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import pyarrow as pa
@@ -53,25 +59,39 @@ WORDS = (
     "you with this that from your here there what when which one two three four five six seven"
 ).split()
 _RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-_LONGEST = max(map(len, WORDS))
 _LEET = str.maketrans("4@831!05$7", "aabeiiosst")
 _ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
-_DATE = re.compile(
-    r"(?=((?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\2(?:0[1-9]|[12]\d|3[01])"
-    r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\3(?:(?:19|20)\d\d|\d\d)))"
+_YEAR_PART, _MONTH_PART, _DAY_PART, _GAP = r"(?:19|20)\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])", r"[-/._]?"
+# one pattern for each order and length, so that all of them count at each start
+_DATES = tuple(
+    re.compile(f"(?=({one}({_GAP}){_MONTH_PART}\\2{two}))")
+    for one, two in ((_YEAR_PART, _DAY_PART), (_DAY_PART, _YEAR_PART), (_DAY_PART, r"\d\d"))
 )
-_YEAR = re.compile(r"(?=((?:19|20)\d\d))")
+_YEAR = re.compile(rf"(?=({_YEAR_PART}))")
+_FURTHER = 0.3  # for each part after the first
+_TURN = 0.3  # for each change of direction in a walk
+_PERIODS = (1, 2, 3, 4)
+_LEAST = 3  # characters of a repeat or a walk
 
 
 @lru_cache(maxsize=1)
-def _neighbours() -> frozenset[tuple[str, str]]:
-    near = set()
-    for row in _ROWS:
-        near.update(zip(row, row[1:]))
+def _steps() -> dict[tuple[str, str], frozenset]:
+    """Neighbours on the keyboard or in the alphabet, with the directions that lead from one to the other."""
+    found: dict[tuple[str, str], set] = {}
+
+    def add(x: str, y: str, row: str, across: int, down: int) -> None:
+        found.setdefault((x, y), set()).add((row, across, down))
+        found.setdefault((y, x), set()).add((row, -across, -down))
+
+    for k, row in enumerate(_ROWS):
+        for x, y in zip(row, row[1:]):
+            add(x, y, "abc" if k == 4 else "keys", 1, 0)
     for upper, lower in zip(_ROWS, _ROWS[1:4]):
-        near.update(zip(upper, lower))
-        near.update(zip(upper[1:], lower))
-    return frozenset(near | {(b, a) for a, b in near})
+        for x, y in zip(upper, lower):
+            add(x, y, "keys", 0, 1)
+        for x, y in zip(upper[1:], lower):
+            add(x, y, "keys", -1, 1)
+    return {pair: frozenset(ways) for pair, ways in found.items()}
 
 
 def _alphabet(value: str) -> float:
@@ -85,60 +105,91 @@ def _alphabet(value: str) -> float:
     return max(size, 2)
 
 
-def segments(value: str) -> list[tuple[int, int, float]]:
-    """All parts (start, end, log10 guesses) with a cheaper guess than brute force."""
-    out, n, low = [], len(value), value.lower()
-    if len(low) != n:  # a letter whose small form is longer
-        low = value
-    plain, brute = low.translate(_LEET), math.log10(_alphabet(value))
+def _lowered(value: str) -> str:
+    low = value.lower()
+    return low if len(low) == len(value) else value  # a letter whose small form is longer
+
+
+def listed_parts(value: str, ranks: Mapping[str, int]) -> Iterator[tuple[int, int, float]]:
+    """Words, dates and years in the value: (start, end, log10 guesses). As many as it has characters, but for a factor."""
+    n, low = len(value), _lowered(value)
+    plain, longest = low.translate(_LEET), max(map(len, ranks), default=0)
     for i in range(n):
-        for j in range(i + 3, min(n, i + _LONGEST) + 1):
-            rank = _RANK.get(plain[i:j])
+        for j in range(i + 3, min(n, i + longest) + 1):
+            rank = ranks.get(plain[i:j])
             if rank:
                 cost = math.log10(rank)
                 cost += 0.5 if value[i:j] != low[i:j] else 0.0
                 cost += 0.7 if plain[i:j] != low[i:j] else 0.0
-                out.append((i, j, cost))
-    for m in _DATE.finditer(value):
-        out.append((m.start(), m.end(1), math.log10(365 * 120) + (0.6 if m[2] or m[3] else 0.0)))
+                yield i, j, cost
+    for date in _DATES:
+        for m in date.finditer(value):
+            yield m.start(), m.end(1), math.log10(365 * 120) + (0.6 if m[2] else 0.0)
     for m in _YEAR.finditer(value):
-        out.append((m.start(), m.end(1), math.log10(120)))
-    for period in (1, 2, 3, 4):
-        i = 0
-        while i + period < n:
-            j = i + period
-            while j < n and value[j] == value[j - period]:
-                j += 1
-            times = (j - i) // period
-            if times >= 2 and (j - i) >= 3:
-                for start in {i, i + (j - i) % period}:
-                    out.append((start, start + times * period, period * brute + math.log10(times)))
-                i = j - period + 1
-            else:
-                i += 1
-    near, i = _neighbours(), 0
-    while i < n - 2:
-        j = i + 1
-        while j < n and (low[j - 1], low[j]) in near:
-            j += 1
-        if j - i >= 3:
-            turns = sum(ord(low[k]) - ord(low[k - 1]) != ord(low[k - 1]) - ord(low[k - 2]) for k in range(i + 2, j))
-            out.append((i, j, math.log10(94 * (j - i)) + min(turns, j - i) * 0.3))
-        i = j if j - i >= 3 else i + 1
-    return out
-
-
-def guess_cost(value: str) -> float:
-    """log10 of the guesses of the cheapest segmentation; 0.3 for each further part."""
-    n, brute = len(value), math.log10(_alphabet(value))
+        yield m.start(), m.end(1), math.log10(120)
+
+
+class _Starts:
+    """Starts of parts that cost what came before them plus the logarithm of their length.
+
+    A start is dropped once another one is cheaper for this end and all later ones: the logarithms
+    of two lengths only come closer. A handful is left however long the value is.
+    """
+
+    def __init__(self) -> None:
+        self.held: list[tuple[int, float]] = []
+
+    def add(self, start: int, cost: float, end: int) -> None:
+        self.held = [(i, c) for i, c in self.held if c < cost]
+        if all(c + math.log10(end - i) > cost + math.log10(end - start) for i, c in self.held):
+            self.held.append((start, cost))
+
+    def cheapest(self, end: int, unit: int) -> float:
+        return min((c + math.log10((end - i) / unit) for i, c in self.held), default=math.inf)
+
+
+def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
+    """log10 of the guesses of the cheapest of all segmentations.
+
+    Parts are single characters (brute force), words of ``ranks`` (their guess count), dates and
+    years, and every repeat of up to four characters and every walk over neighbouring keys of three
+    characters or more, whole or cut; 0.3 for each part after the first that is no single character.
+    """
+    n, brute, low, steps = len(value), math.log10(_alphabet(value)), _lowered(value), _steps()
     ending: dict[int, list[tuple[int, float]]] = {}
-    for i, j, cost in segments(value):
+    for i, j, cost in listed_parts(value, ranks):
         ending.setdefault(j, []).append((i, cost))
     best = [0.0] * (n + 1)  # cheapest way to guess the first j characters
+
+    def before(i: int) -> float:
+        return best[i] + (_FURTHER if i else 0.0)
+
+    repeats = {p: [_Starts() for _ in range(p)] for p in _PERIODS}
+    since = dict.fromkeys(_PERIODS, 0)  # where the stretch of that period began
+    walk, walk_since, turns = _Starts(), 0, [0, 0, 0]  # turns[j]: of all steps to characters before j
     for j in range(1, n + 1):
         best[j] = best[j - 1] + brute
         for i, cost in ending.get(j, ()):
-            best[j] = min(best[j], best[i] + cost + (0.3 if i else 0.0))
+            best[j] = min(best[j], before(i) + cost)
+        for p in _PERIODS:
+            if j > p and value[j - 1] != value[j - 1 - p]:
+                since[p] = j - p
+                repeats[p] = [_Starts() for _ in range(p)]
+            start = j - max(2 * p, _LEAST)
+            if start >= since[p]:
+                same = repeats[p][j % p]
+                same.add(start, before(start), j)
+                best[j] = min(best[j], p * brute + same.cheapest(j, p))
+        if j > 1 and (low[j - 2], low[j - 1]) not in steps:
+            walk, walk_since = _Starts(), j - 1
+        if j > 2:
+            ways = [steps.get((low[k - 1], low[k]), frozenset()) for k in (j - 2, j - 1)]
+            turns.append(turns[j - 1] + (not ways[0] & ways[1]))
+        start = j - _LEAST
+        if start >= walk_since:
+            # a walk's turns begin with its third character
+            walk.add(start, before(start) - _TURN * turns[start + 2], j)
+            best[j] = min(best[j], math.log10(94) + _TURN * turns[j] + walk.cheapest(j, 1))
     return best[n]
 
 
