@@ -4,24 +4,31 @@ The pages of a host are laid over each other: elements with the same path of tag
 one node of the host's tree. A node's children come in styles (the sequence of child elements);
 the entropy of the styles over the pages is its presentation importance. A text block's content
 importance falls with the share of pages that have the same text there. At a node whose composite
-importance is low, a text is template if ``LEAST_PAGES`` pages have it there beside a text of their
-own, of ``OWN_SHARE`` of the page or more; it is removed from each page of the host, and so is a
-branch all of whose blocks are removed. Other texts of the node stay: those of one page, and what
-only near copies have (a copy that differs in a date or in a menu has hardly a text of its own).
-Pages of a host whose blocks of text are equal count once, and a node needs ``LEAST_PAGES`` pages.
+importance is low, a text is template if ``LEAST_PAGES`` pages have it there beside texts of their
+own, of ``OWN_WORDS`` words or ``OWN_SHARE`` of the page; it is removed from each page of the host, and so is a branch all
+of whose blocks are removed. Other texts of the node stay: those of one page, and what only near
+copies have (a copy that differs in a date or in a menu has hardly a text of its own). Pages of a
+host whose blocks of text are equal count once. With two pages no text is template: what both have
+may as well be an article in two places.
 
 Elements that name their role (menus, headers, footers, side bars, notices, adverts, forms,
-reader comments, scripts, styles) are never part of the text; where a page has an ``article`` or
-``main`` element the text is what stands in it.
+reader comments, scripts, styles) are never part of the text. A class or id names a role if all its
+parts do, or tell where or in what form it stands (``top-menu``, ``comment-list``, but not
+``social-science``); on a page without an article such an element stays all the same if most of the text is
+in it, unless it names reader comments, which can be longer than what they comment on. The text is what stands in ``article`` or ``main`` elements if that is half of the page's text or more,
+otherwise all of it.
 
 Handling of odd input: a NULL or empty page gives an empty text; a NULL or unreadable url counts
 as a host of its own name (the empty one); rows that repeat are each returned; unclosed elements
-end with what holds them; other columns are passed on, an existing output column is replaced.
+end with what holds them; very long and deep pages are read whole; ties don't arise; an empty table
+gives no rows; other columns are passed on, whatever their names, an existing output column is
+replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -33,9 +40,10 @@ from pyspark.sql import functions as F
 
 from streamlab.llm.session import written
 
-LEAST_PAGES = 4
+LEAST_PAGES = 3
 LOW = 0.15
 CONTENT_SHARE = 0.9  # of the content importance in the composite one
+OWN_WORDS = 8
 OWN_SHARE = 0.2
 SMALL_SET = 200_000  # template texts that are sent to the workers; more are joined
 
@@ -52,14 +60,23 @@ _NEVER = frozenset(
     "aside button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea title".split()
 )
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-# at the start or end of a class or id, unless it only tells that there is one (has-, with-, no-)
-_NAMES = re.compile(
-    r"^(?!(?:has|with|no|without|is)[-_])(?:.*[-_])??(?:ads?|adverts?|advertis\w+|banner|sponsor\w*|promo\w*|cookies?|consent|"
-    r"gdpr|notices?|alerts?|side-?bar|menus?|nav|navbar|navigation|breadcrumbs?|comments?|commentlist|repl(?:y|ies)|footer|"
-    r"share|sharing|social|related|newsletter|subscri\w+|popup|modal|widget|masthead|toolbar|pagination|skip-?link)"
-    r"(?:[-_0-9].*)?$"
+# fixed values: words that name a role, and words that may stand beside them in a class or id
+_ROLE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promos promotion cookie cookies consent gdpr "
+    "notice notices alert alerts sidebar menu menus nav navbar navigation breadcrumb breadcrumbs comment comments commentlist "
+    "reply replies footer share sharing social related newsletter subscribe subscription popup modal widget widgets masthead "
+    "toolbar pagination skiplink".split()
+)
+_COMMENT_WORDS = frozenset("comment comments commentlist reply replies".split())
+_PLACE_WORDS = frozenset(
+    "top bottom left right main site page global inner outer upper lower primary secondary mobile desktop sticky fixed header "
+    "wrapper wrap container box block bar area section list item items group row column col panel holder slot unit inline links "
+    "link buttons button icons icon posts post articles stories media form signup bottom text content overlay dialog dropdown "
+    "side skip to user reader the js".split()
 )
 _SPLIT_NAME = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_NAME_PARTS = re.compile(r"[-_]+|\d+")
+_FOREIGN = frozenset(("svg", "math"))  # "/>" ends these and what is in them; elsewhere it means nothing
 _DIGITS = re.compile(r"\d+")
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
@@ -69,6 +86,15 @@ def host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def names_role(name: str) -> bool:
+    """Whether a class or id tells that its element is no part of the text."""
+    parts = [p for p in _NAME_PARTS.split(_SPLIT_NAME.sub("-", name).lower()) if p]
+    joined = "".join(parts)  # side-bar, nav-bar
+    if joined in _ROLE_WORDS:
+        return True
+    return any(p in _ROLE_WORDS for p in parts) and all(p in _ROLE_WORDS or p in _PLACE_WORDS for p in parts)
+
+
 class Page(HTMLParser):
     """Text blocks of a page, each with the path of its element, and the style of each element."""
 
@@ -77,8 +103,11 @@ class Page(HTMLParser):
         self.open: list[tuple[str, str]] = []  # (tag, path)
         self.dropped = 0  # place on the stack, from 1, of the element below which nothing is text
         self.inside = 0  # open article or main elements
-        self.parts: list[str] = []
-        self.blocks: list[tuple[str, str, bool]] = []  # (path, text, inside an article)
+        self.foreign = 0  # place on the stack, from 1, of the outermost svg or math element
+        self.named: list[tuple[int, int]] = []  # open elements that only a class or id names: (place, number)
+        self.names = 0
+        self.parts: list[tuple[str, tuple[int, ...]]] = []  # (text, named elements around it)
+        self.blocks: list[tuple[str, list, bool]] = []  # (path, parts, inside an article)
         self.children: dict[str, list[str]] = {}
         self.feed(html)
         self.close()
@@ -88,10 +117,9 @@ class Page(HTMLParser):
         return self.open[-1][1] if self.open else ""
 
     def _end_block(self) -> None:
-        text = " ".join("".join(self.parts).split())
+        if any(part.strip() for part, _ in self.parts):
+            self.blocks.append((self._block_path(), self.parts, self.inside > 0))
         self.parts = []
-        if text:
-            self.blocks.append((self._block_path(), text, self.inside > 0))
 
     def _block_path(self) -> str:
         for tag, path in reversed(self.open):
@@ -105,6 +133,10 @@ class Page(HTMLParser):
             self.inside -= 1
         if self.dropped > len(self.open):
             self.dropped = 0
+        if self.foreign > len(self.open):
+            self.foreign = 0
+        while self.named and self.named[-1][0] > len(self.open):
+            self.named.pop()
 
     def _close(self, names: tuple[str, ...]) -> None:
         """End the innermost open element of these names, unless a container stands between."""
@@ -120,12 +152,15 @@ class Page(HTMLParser):
     def _unwanted(self, tag: str, attrs: dict) -> bool:
         if tag in _NEVER or "hidden" in attrs or (attrs.get("role") or "").lower() in _ROLES:
             return True
-        if tag == "header" and not self.inside:
-            return True
-        if tag in ("html", "body", "main"):
-            return False
-        names = _SPLIT_NAME.sub("-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower().split()
-        return any(_NAMES.search(n) or (n == "header" and not self.inside) for n in names)
+        return tag == "header" and not self.inside
+
+    def _named(self, tag: str, attrs: dict) -> bool:
+        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+        return tag not in ("html", "body", "main") and any(names_role(n) or (n.lower() == "header" and not self.inside) for n in names)
+
+    def _may_stay(self, attrs: dict) -> bool:
+        names = _NAME_PARTS.split(_SPLIT_NAME.sub("-", f"{attrs.get('class') or ''}-{attrs.get('id') or ''}").lower().replace(" ", "-"))
+        return not self.inside and _COMMENT_WORDS.isdisjoint(names)
 
     def handle_starttag(self, tag: str, attributes: list) -> None:
         attrs = dict(attributes)
@@ -143,13 +178,21 @@ class Page(HTMLParser):
         if tag in _BLOCK and not self.dropped:
             self.children.setdefault(parent, []).append(style)
         self.open.append((tag, f"{parent}/{style}"))
-        if not self.dropped and self._unwanted(tag, attrs):
+        if tag in _FOREIGN and not self.foreign:
+            self.foreign = len(self.open)
+        named = not self.dropped and self._named(tag, attrs)
+        if not self.dropped and (self._unwanted(tag, attrs) or (named and not self._may_stay(attrs))):
             self.dropped = len(self.open)
+        elif named:
+            self.names += 1
+            self.named.append((len(self.open), self.names))
         if tag in ("article", "main"):
             self.inside += 1
 
     def handle_startendtag(self, tag: str, attributes: list) -> None:
         self.handle_starttag(tag, attributes)
+        if self.foreign and tag not in _VOID:
+            self._pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _BLOCK and not self.dropped:
@@ -164,12 +207,27 @@ class Page(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not self.dropped:
-            self.parts.append(data)
+            self.parts.append((data, tuple(n for _, n in self.named)))
 
     def main_blocks(self) -> list[tuple[str, str]]:
-        """(path, text) of the blocks in article or main elements, or of all where there is none."""
-        own = [(p, t) for p, t, inside in self.blocks if inside]
-        return own or [(p, t) for p, t, _ in self.blocks]
+        """(path, text) of the blocks that are the page's own text."""
+        sizes, total = Counter(), 0
+        for _, parts, _ in self.blocks:
+            for part, names in parts:
+                size = sum(map(len, part.split()))
+                total += size
+                sizes.update(dict.fromkeys(names, size))
+        article = any(inside and not names for _, parts, inside in self.blocks for part, names in parts if part.strip())
+        stays = {n for n, size in sizes.items() if 2 * size > total and not article}
+        found = []
+        for path, parts, inside in self.blocks:
+            text = " ".join("".join(part for part, names in parts if stays.issuperset(names)).split())
+            if text:
+                found.append((path, text, inside))
+        own = [(p, t) for p, t, inside in found if inside]
+        if 2 * sum(len(t) for _, t in own) >= sum(len(t) for _, t, _ in found):
+            return own
+        return [(p, t) for p, t, _ in found]
 
 
 def _hash(*parts: str) -> int:
@@ -184,7 +242,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (node, parent, item, page) of the trees: a node's contents and styles on each page.
 
     A NULL item stands for the page itself, so its count is the number of pages with the node. A
-    content has its size and that of all contents of the page.
+    content has its words and those of all contents of the page.
     """
     for batch in batches:
         rows = set()
@@ -196,10 +254,10 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks = parsed.main_blocks()
             page = _hash(site, *(part for block in blocks for part in block))
             styled = _hash(str(page), *(part for path, styles in parsed.children.items() for part in (path, *styles)))
-            total = sum(len(text) for _, text in set(blocks))
+            total = sum(len(text.split()) for _, text in set(blocks))
             for path, text in blocks:
                 node, parent = _hash(site, "text", path), _hash(site, "style", path.rpartition("/")[0])
-                rows.add((node, parent, _text_item(site, path, text), page, len(text), total))
+                rows.add((node, parent, _text_item(site, path, text), page, len(text.split()), total))
                 rows.add((node, parent, None, page, 0, total))
             for path, styles in parsed.children.items():
                 node = _hash(site, "style", path)
@@ -235,7 +293,8 @@ def template_texts(pages: DataFrame) -> DataFrame:
     often = at_low.groupBy("item").agg(F.count("*").alias("k")).where(k >= LEAST_PAGES).select("item")
     shared = written(at_low.join(often, "item"), "shared_blocks")
     own = shared.groupBy("page").agg(F.sum("size").alias("size"), F.max("total").alias("total"))
-    own = own.where(F.col("total") - F.col("size") >= OWN_SHARE * F.col("total")).select("page")
+    alone = F.col("total") - F.col("size")
+    own = own.where((alone >= OWN_WORDS) | (alone >= OWN_SHARE * F.col("total"))).select("page")
     return shared.join(own, "page").groupBy("item").agg(F.count("*").alias("k")).where(k >= LEAST_PAGES).select("item")
 
 
@@ -278,6 +337,6 @@ def extract(pages: DataFrame, small_set: int = SMALL_SET) -> DataFrame:
 
     # per distinct page its template texts: as many as the page has blocks at most
     of_page = pages.select("url", "html").mapInArrow(own_items, "page long, item long").distinct().join(template, "item")
-    of_page = of_page.groupBy("page").agg(F.collect_set("item").alias("_items"))
-    joined = pages.withColumn("_page", page_key("html")).join(of_page.withColumnRenamed("page", "_page"), "_page", "left")
-    return joined.withColumn("text", text_without("url", "html", "_items")).select(*kept, "text")
+    of_page = of_page.groupBy("page").agg(F.collect_set("item").alias("__items"))
+    joined = pages.withColumn("__page", page_key("html")).join(of_page.withColumnRenamed("page", "__page"), "__page", "left")
+    return joined.withColumn("text", text_without("url", "html", "__items")).select(*kept, "text")

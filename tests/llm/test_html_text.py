@@ -20,6 +20,13 @@ def text(html):
         ("<div class='cookie-notice'>c</div><div class='has-ads'>kept</div><div class='top-menu'>m</div>", "kept"),
         ("<ul><li>a<li>b</ul>t<table><tr><td>1<td>2</table>", "a\nb\nt\n1\n2"),
         ("<p>unclosed <i>tags", "unclosed tags"),
+        ("<article class='social-science'><p>Social science is a field</p></article>", "Social science is a field"),
+        ("<p>intro</p><div class='related-work'>Related work is long</div>", "intro\nRelated work is long"),
+        ("<p>Hello <svg/> world</p><p>x<svg><path d='m'/><g>no</g></svg>y</p>", "Hello world\nxy"),
+        ("<article class='teaser'>Read this</article><p>The text itself is much longer than a teaser</p>", "Read this\nThe text itself is much longer than a teaser"),
+        ("<p>a</p><div class='widget'><p>all of the text stands in here</p><p class='share-buttons'>s</p></div>", "a\nall of the text stands in here"),
+        ("<p>some text of the page</p><ul class='commentList'><li>c</ul><div id='sideBar-2'>s</div><i class='js-ad'>x</i>", "some text of the page"),
+        ("<div class='ad'>An advert that is longer than the article</div><article><p>Short</p></article>", "Short"),
         ("<!-- c --><p hidden>h</p><div role='navigation'>n</div><p>x</p></div></p>", "x"),
     ],
 )
@@ -80,3 +87,79 @@ def test_near_copies_and_unique_texts_stay(spark, small):
     assert all(said in got[k] for k in range(10, 16))
     assert all(got[k] == f"day {k}\n{said}" for k in range(100, 190))
     assert all(got[k] == f"Page {k} tells of something else, {k * k} times over" for k in range(190, 200))
+
+
+def test_few_pages_and_much_boilerplate(spark):
+    """A host of three pages loses its menu; boilerplate over four fifths of the pages goes as well."""
+    menu, rows = "<ul class='top'><li>Home</li><li>About us</li><li>Contact</li></ul>", []
+    rows += [(k, f"http://three.example/{k}", f"{menu}<p>Page {k} has some eight or nine words of its own, {k}</p>") for k in range(3)]
+    legal = "<div class='legal'>" + "The small print of this site goes on and on, as it does on every page. " * 12 + "</div>"
+    rows += [(k, f"http://legal.example/{k}", f"<p>Number {k} is a short note of ten words or so, {k * k}</p>{legal}") for k in range(100, 140)]
+    rows += [(k, f"http://two.example/{k}", f"{menu}<p>Two pages of {k} are too few to tell a menu from text</p>") for k in (200, 201)]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "page_id long, url string, html string, _items int, __page int")
+    got = {r.page_id: r.text for r in H.extract(df).collect()}
+    assert all(got[k] == f"Page {k} has some eight or nine words of its own, {k}" for k in range(3))
+    assert all(got[k] == f"Number {k} is a short note of ten words or so, {k * k}" for k in range(100, 140))
+    assert got[200] == "Home\nAbout us\nContact\nTwo pages of 200 are too few to tell a menu from text"
+
+
+def brute_template(pages):
+    """The rule of the tree with dictionaries, one page after the other."""
+    import math
+    from collections import Counter, defaultdict
+
+    sites = defaultdict(dict)
+    for url, html in pages:
+        parsed = H.Page(html)
+        blocks = parsed.main_blocks()
+        sites[H.host(url)].setdefault(tuple(blocks), []).append(parsed.children)
+    gone = set()
+    for site, found in sites.items():
+        contents, styles, holds = defaultdict(lambda: defaultdict(set)), defaultdict(lambda: defaultdict(set)), defaultdict(set)
+        for k, (blocks, children) in enumerate(found.items()):
+            for path, text in blocks:
+                contents[path][text].add(k)
+                holds[path].add(k)
+            for n, tree in enumerate({str(c): c for c in children}.values()):
+                for path, style in tree.items():
+                    styles[path][tuple(style)].add((k, str(sorted(tree.items()))))
+        low = {}
+        for path, texts in contents.items():
+            n = len(holds[path])
+            if n >= H.LEAST_PAGES:
+                ks = [len(v) for v in texts.values()]
+                content = 1 - sum(k * math.log(k) for k in ks) / sum(ks) / math.log(n)
+                style = [len(v) for v in styles[path.rpartition("/")[0]].values()]
+                m = sum(style)
+                shown = (math.log(m) - sum(k * math.log(k) for k in style) / m) / math.log(m) if m > 1 else (1.0 if m else 0.0)
+                if H.CONTENT_SHARE * content + (1 - H.CONTENT_SHARE) * shown < H.LOW:
+                    low[path] = {t: v for t, v in texts.items() if len(v) >= H.LEAST_PAGES}
+        size, total = Counter(), {k: sum(len(t.split()) for _, t in set(blocks)) for k, blocks in enumerate(found)}
+        for path, texts in low.items():
+            for t, ks in texts.items():
+                for k in ks:
+                    size[k] += len(t.split())
+        for path, texts in low.items():
+            for t, ks in texts.items():
+                own = [total[k] - size[k] for k in ks]
+                if sum(w >= H.OWN_WORDS or w >= H.OWN_SHARE * total[k] for w, k in zip(own, ks)) >= H.LEAST_PAGES:
+                    gone.add((site, path, t))
+    return gone
+
+
+def test_tree_equals_the_rule_page_by_page(spark):
+    import random
+
+    rnd, rows = random.Random(4), []
+    for k in range(160):
+        site = rnd.choice(["a.example", "b.example", "c.example", "d.example"])
+        parts = [f"<div class='lead'>{'Read us' if rnd.random() < 0.97 else 'Join us'}</div>"] * (rnd.random() < 0.8)
+        parts += [f"<section><p>{' '.join(rnd.choice('abcdefgh') * 3 for _ in range(rnd.randrange(14)))}</p></section>" for _ in range(rnd.randrange(4))]
+        parts += [f"<div class='legal'>All rights {'reserved' if rnd.random() < 0.95 else 'kept'}</div>"]
+        rows.append((k, f"http://{site}/{k}", "".join(parts)))
+    gone = brute_template([r[1:] for r in rows])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in H.extract(df).collect()}
+    for k, url, html in rows:
+        assert got[k] == "\n".join(t for p, t in H.Page(html).main_blocks() if (H.host(url), p, t) not in gone)
+    assert len(gone) > 3
