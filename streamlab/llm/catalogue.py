@@ -131,19 +131,21 @@ OP9_SQL = r"""
     FROM texts LEFT JOIN repeated USING (doc_id)),
   judged AS (
     SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, @LEVEL AS lev FROM m),
+  good AS (
+    SELECT s, lev FROM judged SEMI JOIN (SELECT * FROM labels WHERE quality = 1) USING (doc_id) WHERE NOT base_failed),
+  strata AS (SELECT s, count(*) >= @LEAST AS own, CASE WHEN count(*) >= @LEAST THEN s ELSE '' END AS g FROM good GROUP BY 1),
   holdout AS (
-    SELECT s, t, count(*) AS n, count_if(lev <= t)::BIGINT AS k
-    FROM judged SEMI JOIN (SELECT * FROM labels WHERE quality = 1) USING (doc_id), unnest(range(@LEVELS)) AS u(t)
-    WHERE NOT base_failed GROUP BY 1, 2),
+    SELECT own, g, t, count(*) AS n, count_if(lev <= t)::BIGINT AS k
+    FROM good JOIN strata USING (s), unnest(range(@LEVELS)) AS u(t) GROUP BY 1, 2, 3),
   terms AS (
-    SELECT s, t, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(@ALPHA) + (n - i) * ln(1 - @ALPHA))) AS p
-    FROM holdout, unnest(range(k + 1)) AS u(i) WHERE k <= n * @ALPHA GROUP BY 1, 2),
+    SELECT own, g, t, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(@ALPHA) + (n - i) * ln(1 - @ALPHA))) AS p
+    FROM holdout, unnest(range(k + 1)) AS u(i) WHERE k <= n * @ALPHA GROUP BY 1, 2, 3),
   strict AS (
-    SELECT s, max(t) AS t FROM terms
-    WHERE p <= @DELTA / ((SELECT greatest(1, count(DISTINCT s)) FROM holdout) * @LEVELS) GROUP BY 1)
+    SELECT own, g, max(t) AS t FROM terms
+    WHERE p <= @DELTA / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT own, g FROM holdout))) GROUP BY 1, 2)
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
          NOT (base_failed OR coalesce(lev <= strict.t, false)) AS kept
-  FROM judged LEFT JOIN strict USING (s)"""
+  FROM judged LEFT JOIN strata USING (s) LEFT JOIN strict USING (own, g)"""
 _SQL_VALUES = {
     "symbols": "n_symbols / nullif(n_words, 0)",
     "dup_lines": "n_dup_lines / nullif(n_words, 0)",
@@ -159,7 +161,7 @@ def _op9_sql() -> str:
         "CASE " + " ".join(f"WHEN {v} > {c} THEN {t}" for t, c in enumerate(quality.RULES[r])) + f" ELSE {quality.LEVELS} END"
         for r, v in _SQL_VALUES.items()
     ]
-    values = {"@LEVELS": quality.LEVELS, "@LEVEL": f"least({', '.join(rules)})", "@ALPHA": quality.ALPHA, "@DELTA": quality.DELTA}
+    values = {"@LEVELS": quality.LEVELS, "@LEVEL": f"least({', '.join(rules)})", "@ALPHA": quality.ALPHA, "@DELTA": quality.DELTA, "@LEAST": quality.LEAST_HOLDOUT}
     sql = OP9_SQL
     for name, value in values.items():
         sql = sql.replace(name, str(value))

@@ -58,3 +58,19 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a", "s")], "doc_id long, text string, source string")
     plan = Q.judge(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_small_sources_are_judged_together(spark):
+    clean = "plain words of a text that is long enough to pass the base rules number {}"
+    junk = "".join(f" ###{k} $$${k}" for k in range(12))
+    # twenty sources of 45 good documents: none could bound two percent by itself
+    rows = [(k, clean.format(k), f"s{k % 20}") for k in range(900)] + [(1000 + k, clean.format(k) + junk, f"s{k % 20}") for k in range(60)]
+    rows += [(5000, clean.format(1) + junk, "unlabelled")]
+    docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "doc_id long, text string, source string, _stratum int, _words string, _level int")
+    labels = spark.createDataFrame([(k, 1) for k in range(900)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in Q.judge(docs, labels).collect()}
+    assert all(got[k].kept for k in range(900)) and not any(got[1000 + k].kept for k in range(60))
+    assert got[5000].kept  # nothing is known of its source
+    assert (got[3]._stratum, got[3]._words, got[3]._level) == (1, "x", 2)
+    few = Q.judge(docs, labels.where("doc_id < 100")).collect()
+    assert all(r.kept for r in few)
