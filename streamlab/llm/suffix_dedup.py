@@ -21,8 +21,8 @@ hashes do is sent to the workers as a bit table sized by their number (``session
 
 Names are 64-bit polynomial hashes; that of the surroundings, which only tells places of one core
 apart, keeps 40 of them. Records travel as arrays, dealt out by name or by document
-id, so a task holds its share of the names. Of the records of one name that a slice of
-``ROWS_AT_ONCE`` rows makes, all but the first are repeated whatever other slices hold: they are
+id, so a task holds its share of the names. Of the records of one name among about
+``RECORDS_AT_ONCE`` of a task, all but the first are repeated whatever other tasks hold: they are
 marked there, and one record goes on to be compared. Cores of about ``HOT`` places or more, estimated
 from one row in ``HOT_SHARE``, are dealt out by core and surroundings and all their first places are
 looked at; the strings around those are named before they are dealt out, by their own names. So
@@ -58,6 +58,7 @@ GRAM = 40
 LEAST_PART_BITS = 8  # records are dealt out in 256 parts at least, more for a wider shuffle
 TABLE_BITS = 27  # of the table of hashes that occur twice, at least: 16 MB; sized by their number
 PROBES = 4  # bits that each of them sets
+RECORDS_AT_ONCE = 1 << 19  # of sampled places that are reduced together
 HOT = 16_384
 HOT_SHARE = 64
 HOT_BITS = 22  # of the table of hot cores
@@ -299,10 +300,23 @@ def _hot_places(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(_hot_place(np.full(len(core), part), core))], ["at"])
 
 
+def _held(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Records of several slices together: the more of them, the fewer names travel twice."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= RECORDS_AT_ONCE:
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held, n = [], 0
+    if n:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
 def _samples(bits: int, table: np.ndarray, hot: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First records of each name of a slice, those of hot cores in parts from 1 << bits on; places
+    """First records of each name of some slices, those of hot cores in parts from 1 << bits on; places
     of the others, by document in parts from 2 << bits on."""
-    for core, around, doc, place in _sampled(bits, table, batches):
+    for core, around, doc, place in _held(_sampled(bits, table, batches)):
         first, later = first_and_later(core, around, doc, place)
         if later.any():
             part, n = _part(mix(doc[later].astype(np.uint64)), bits), int(later.sum())
