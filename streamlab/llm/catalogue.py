@@ -71,7 +71,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = packing.dealt(documents(spark, sf_dir).select("doc_id", "text"))
     return packing.pack(packing.tokenized(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN))
 
 

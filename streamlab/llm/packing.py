@@ -5,15 +5,19 @@
 Documents are packed best-fit-decreasing: longest first, each into the fullest row it still fits.
 A segment tree over the free room 0..length finds that row in logarithmic time. A document longer
 than a row is split without loss: full rows, and a rest that is packed like a document. Packing
-works on runs of ``TOKENS_AT_ONCE`` tokens of a partition, so no data moves and memory is bounded.
+works on runs of ``TOKENS_AT_ONCE`` tokens, so memory is bounded. ``dealt`` puts documents into runs
+by a hash of id and text, in a fixed order: rows and row ids then follow from the documents alone.
+Without it the runs are those of the partitions, and no data moves.
 
 A packed row holds the id matrix row (little-endian, 2 bytes per id where the vocabulary allows),
 padded; the cumulative segment lengths, starting with 0; the positions, which start again at 0
 with each segment; and per segment its document and the offset of its first token in it.
 
-Handling of odd input: documents without ids (NULL, empty) take no room and are left out; rows
-that repeat are packed once each; a NULL doc_id is carried; an empty table gives no rows; other
-columns are ignored.
+Handling of odd input: documents without ids (NULL, empty) take no room and are left out, and so
+do NULL ids; an id that doesn't fit the vocabulary is an error, as it would be cut; rows that repeat
+are packed once each (equal ones are interchangeable); documents of equal length are taken in their
+order; very long ones span rows; a NULL doc_id is carried; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ from streamlab.llm.session import with_python
 
 LENGTH = 2048
 TOKENS_AT_ONCE = 1 << 21
+BYTES_AT_ONCE = 4 << 20  # of text in a run
+RUN = "__packing_run"
 PAD = 50_256
 _NO_IDS = np.zeros(0, np.uint32)
 
@@ -126,14 +132,23 @@ def tokenized(docs: DataFrame, path: str, pattern: str, text: str = "text") -> D
     return with_python(docs, [text], {"ids": T.ArrayType(T.IntegerType())}, encode)
 
 
+def dealt(docs: DataFrame, text: str = "text", bytes_at_once: int = BYTES_AT_ONCE) -> DataFrame:
+    """``docs`` in runs of about ``bytes_at_once`` that don't depend on how they were partitioned."""
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    run = F.pmod(F.xxhash64("doc_id", text), F.lit(max(1, -(-total // bytes_at_once))))
+    return docs.withColumn(RUN, run).repartition(RUN).sortWithinPartitions(RUN, "doc_id", text)
+
+
 def pack(encoded: DataFrame, length: int = LENGTH, pad: int = PAD, vocabulary: int = 50_257, tokens_at_once: int = TOKENS_AT_ONCE) -> DataFrame:
-    """Packed rows of ``encoded`` (doc_id, ids)."""
+    """Packed rows of ``encoded`` (doc_id, ids, and the run where ``dealt`` was used)."""
+    largest = min(vocabulary, 1 << 32)
     kind = "<u2" if max(vocabulary, length, pad + 1) <= 1 << 16 else "<u4"
     types = [pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32()]
     names = ["row_id", "input_ids", "positions", "cu_seqlens", "doc_ids", "doc_offsets", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        next_row = TaskContext.get().partitionId() << 36
+        now = TaskContext.get().partitionId()
+        next_row = now << 36
         docs, ids, held = [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -151,7 +166,14 @@ def pack(encoded: DataFrame, length: int = LENGTH, pad: int = PAD, vocabulary: i
             column = batch["ids"]
             flat = column.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum([0, *(len(x) if x.is_valid else 0 for x in column)])
-            for k, doc in enumerate(batch["doc_id"].to_pylist()):
+            if len(flat) and not 0 <= flat.min() <= flat.max() < largest:
+                raise ValueError(f"ids from {flat.min()} to {flat.max()} with a vocabulary of {vocabulary}")
+            runs = batch[RUN].to_pylist() if RUN in batch.schema.names else [now] * batch.num_rows
+            for k, (doc, of) in enumerate(zip(batch["doc_id"].to_pylist(), runs)):
+                if of != now:
+                    if docs:
+                        yield from flush()
+                    now, next_row = of, of << 36
                 own = flat[ends[k] : ends[k + 1]]
                 if len(own):
                     docs.append(doc)
@@ -162,7 +184,8 @@ def pack(encoded: DataFrame, length: int = LENGTH, pad: int = PAD, vocabulary: i
         if docs:
             yield from flush()
 
-    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, SCHEMA)
+    own = [RUN] if RUN in encoded.columns else []
+    return encoded.select(F.col("doc_id").cast("long"), F.array_compact("ids").alias("ids"), *own).mapInArrow(run, SCHEMA)
 
 
 def unpack(packed: DataFrame, length: int = LENGTH, vocabulary: int = 50_257, pad: int = PAD) -> DataFrame:

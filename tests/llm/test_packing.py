@@ -72,3 +72,29 @@ def test_write_and_empty(spark, tmp_path):
     P.write(P.pack(df, length=64), str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).count() > 20
     assert P.pack(df.limit(0)).count() == 0
+
+
+def test_ids_beyond_the_vocabulary_are_an_error(spark):
+    df = spark.createDataFrame([(1, [70_000, 5])], "doc_id long, ids array<int>")
+    with pytest.raises(Exception, match="vocabulary of 50257"):
+        P.pack(df, length=64).collect()
+    (whole,) = P.unpack(P.pack(df, length=64, vocabulary=100_000), length=64, vocabulary=100_000).collect()
+    assert whole.ids == [70_000, 5]
+    (some,) = P.pack(spark.createDataFrame([(1, [3, None, 5])], "doc_id long, ids array<int>"), length=64).collect()
+    assert some.n_tokens == 2
+
+
+def test_rows_do_not_depend_on_partitions(spark):
+    import public_tokenizers
+
+    from streamlab.llm import catalogue
+
+    rnd = random.Random(6)
+    rows = [(rnd.choice([None, k, k // 2]), rnd.choice([None, "", "same text"]) if k % 9 == 0 else "word " * rnd.randrange(400)) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for parts in (1, 8, 64):
+        docs = P.dealt(df.repartition(parts), bytes_at_once=20_000)
+        packed = P.pack(P.tokenized(docs, public_tokenizers.path(catalogue.RANKS), public_tokenizers.PATTERN), length=128)
+        found.append(sorted(map(str, packed.collect())))
+    assert found[0] == found[1] == found[2] and len({r.split("row_id=")[1].split(",")[0] for r in found[0]}) == len(found[0])
