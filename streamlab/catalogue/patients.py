@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from streamlab.catalogue import tables as t
 from streamlab.config import work_dir
@@ -13,7 +14,7 @@ from streamlab.operators.sampling import assign_minibatch, hash_minibatch
 from streamlab.plans import patients as plan
 from streamlab.schemas import PATIENT
 from streamlab.sinks import ModelStore
-from streamlab.sources import read_csv_named, read_json_stream
+from streamlab.sources import read_csv_named, read_json, read_json_stream
 from streamlab.streaming import run_stream
 
 QUERIES, ORACLES, query = t.registry()
@@ -265,7 +266,8 @@ def patient_arrivals(spark, sf_dir):
     base = work_dir(spark, "patient_arrivals")
     train, _ = _written_split(spark, sf_dir)
     plan.deliver(train, t.SPLIT_KEY, f"{base}/ordem", f"{base}/in")
-    return spark.read.schema(PATIENT.simpleString()).json(f"{base}/in").select(F.col("lote").cast("long").alias("lote"), *PATIENT.names)
+    arrived = StructType(list(PATIENT.fields)).add("lote", "long")
+    return read_json(spark, f"{base}/in", arrived).select("lote", *PATIENT.names)
 
 
 def _streamed_training(spark, sf_dir):

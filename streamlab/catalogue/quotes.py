@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from streamlab.catalogue import tables as t
 from streamlab.config import JobSettings, work_dir
@@ -15,7 +16,8 @@ from streamlab.plans import quotes as plan
 from streamlab.plans.quotes import typed_quotes
 from streamlab.schemas import QUOTE, QUOTE_TABLE
 from streamlab.sinks import append_batch
-from streamlab.sources import read_json_stream
+from streamlab.sinks.paths import numbered
+from streamlab.sources import read_json_stream, read_table_stream
 from streamlab.streaming import run_stream, start_batches, start_table
 
 QUERIES, ORACLES, query = t.registry()
@@ -219,3 +221,20 @@ def quote_latest10(spark, sf_dir):
 @query("SELECT count(*)::BIGINT AS total FROM events")
 def quote_row_count(spark, sf_dir):
     return t.events(spark, sf_dir).agg(F.count(F.lit(1)).alias("total"))
+
+
+@query(
+    """SELECT count(DISTINCT event_id % 4)::BIGINT AS pastas, count(*)::BIGINT AS linhas
+    FROM events WHERE event_id % 4 IN (0, 2)"""
+)
+def quote_empty_batches(spark, sf_dir):
+    """Four deliveries of which two hold nothing that is wanted: those batches leave no folder."""
+    base = work_dir(spark, "quote_empty")
+    part = (F.col("event_id") % 4).alias("entrega")
+    t.events(spark, sf_dir).select("event_id", part).repartition("entrega").write.partitionBy("entrega").parquet(f"{base}/in")
+    stream = read_table_stream(spark, f"{base}/in/entrega=*", "*", StructType().add("event_id", "long"), max_files=1)
+    wanted = stream.where("event_id % 4 in (0, 2)")
+    run_stream(start_batches(wanted, lambda batch, n: append_batch(batch, f"{base}/out", n), f"{base}/checkpoint"))
+    rows = spark.read.schema("event_id long, lote long").parquet(f"{base}/out")
+    folders = numbered(spark, f"{base}/out", "lote")
+    return rows.agg(F.lit(len(folders)).cast("long").alias("pastas"), F.count("event_id").alias("linhas"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from streamlab.catalogue import tables as t
 from streamlab.config import work_dir
 from streamlab.operators import tally
-from streamlab.plans.votes import start_counts, tally_table
+from streamlab.plans.votes import stamped, start_counts, tally_table
 from streamlab.schemas import VOTE
 from streamlab.sinks import encode_kafka
 from streamlab.sources import decode_json, read_table_stream
@@ -85,6 +85,22 @@ def vote_restart_count(spark, sf_dir):
     return table.read_current().drop("atualizado_em")
 
 
+@query(
+    """SELECT estado || '|' || candidato AS _id, estado, candidato, votos FROM (
+      SELECT 'S' || (user_id % 27) AS estado, event_type AS candidato, count(*)::BIGINT AS votos
+      FROM events WHERE event_id % 2 = 1 GROUP BY 1, 2)"""
+)
+def vote_reset(spark, sf_dir):
+    """A tally that is reset between two elections holds the second one only."""
+    base = work_dir(spark, "vote_reset")
+    table = tally_table(spark, f"{base}/apuracao")
+    for n in (0, 1):
+        table.reset()
+        votes = t.votes(t.events(spark, sf_dir).where(F.col("event_id") % 2 == n))
+        table.upsert(stamped(tally.running_count(votes, ["estado", "candidato"])), 0)
+    return table.read_current().drop("atualizado_em")
+
+
 @query(_DOCUMENTS_SQL)
 def vote_documents(spark, sf_dir):
     return tally.tally_documents(_tally(spark, sf_dir))

@@ -40,6 +40,15 @@ def test_parquet_append_replay(spark, tmp_path):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_empty_batches_leave_no_folder(spark, tmp_path):
+    df = spark.createDataFrame(RESULTS, SENTIMENT_TABLE)
+    for n, batch in enumerate((df, df.where("estrelas > 9"), df.limit(0))):
+        append_batch(batch, str(tmp_path / "t"), n)
+        append_csv(batch, str(tmp_path / "c"), n)
+    append_batch(df.limit(0), str(tmp_path / "t"), 3)
+    assert {p.name for p in (tmp_path / "t").iterdir()} == {p.name for p in (tmp_path / "c").iterdir()} == {"lote=0"}
+
+
 class DuckAppender(JdbcAppender):
     """The appender with its two database calls pointed at a DuckDB connection."""
 
