@@ -15,9 +15,10 @@ matter, so one round of names is enough and the recursion on names ends there:
    the strings that start at each distance before the sampled place are named, sorted by name and
    place, and compared with their neighbours: all but the first of equal strings are repeated.
 
-Before the sampling, text that can't repeat is left out: the smallest of the hashes of the
-``GRAM``-byte strings within a string (a function of its bytes) must occur at two places. Which
-hashes do is sent to the workers as a bit table sized by their number (``session.table_bits``).
+Before the sampling, text that can't repeat is left out: the gram (``GRAM``-byte string) with the
+smallest hash within a string (a function of its bytes) must occur at two places. Which grams do is
+sent to the workers as a bit table sized by their number (``session.table_bits``). As the smallest of
+61 hashes lie close to zero, grams are hashed once more before they are dealt out and entered there.
 
 Names are 64-bit polynomial hashes; that of the surroundings, which only tells places of one core
 apart, keeps 40 of them. Records travel as arrays, dealt out by name or by document
@@ -179,7 +180,8 @@ def _is_hot(bits: int, hot: np.ndarray, core: np.ndarray) -> np.ndarray:
 def _string_names(hashes: Hashes, n: int, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, smallest gram) of each string of ``LENGTH`` bytes within a document.
 
-    A gram is 40 bits of its hash, then 24 bits of its place, so that the leftmost one wins.
+    A gram is 40 bits of its hash, then 24 bits of its place, so that the leftmost one wins. Smallest
+    values lie close to zero: ``_gram_names`` makes names of them that are spread evenly.
     """
     if n < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -193,6 +195,12 @@ def _string_names(hashes: Hashes, n: int, offsets: np.ndarray) -> tuple[np.ndarr
     return start, low[start]
 
 
+def _gram_names(hashes: Hashes, start: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Names, 40 bits of 64, of the smallest grams of strings that start there."""
+    place = start + ((low - start.astype(np.uint64)) & _PLACE).astype(np.int64)
+    return mix(hashes.of(place, place + GRAM)) & ~_PLACE
+
+
 def _grams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes that stand for strings, once per place, cut to 32 bits below their part."""
     for batch in slices(batches):
@@ -200,11 +208,12 @@ def _grams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         found = []
         for a, b in runs(offsets):
             own = offsets[a : b + 1] - offsets[a]
-            _, low = _string_names(Hashes(data[offsets[a] : offsets[b]]), int(own[-1]), own)
+            hashes = Hashes(data[offsets[a] : offsets[b]])
+            start, low = _string_names(hashes, int(own[-1]), own)
             if len(low):
                 new = np.ones(len(low), bool)  # strings in a row can have the same gram
                 new[1:] = low[1:] != low[:-1]
-                found.append(low[new] & ~_PLACE)
+                found.append(_gram_names(hashes, start[new], low[new]))
         if found:
             h, count = np.unique(np.concatenate(found), return_counts=True)
             h = np.repeat(h, np.minimum(count, 2))
@@ -246,7 +255,7 @@ def _suspects(bits: int, table: np.ndarray, hashes: Hashes, n: int, offsets: np.
     start, low = _string_names(hashes, n, offsets)
     new = np.ones(len(low), bool)  # strings in a row mostly have the same gram
     new[1:] = low[1:] != low[:-1]
-    gram, size = low[new] & ~_PLACE, (8 * len(table)).bit_length() - 1
+    gram, size = _gram_names(hashes, start[new], low[new]), (8 * len(table)).bit_length() - 1
     known = np.ones(len(gram), bool)
     for at in _table_places(gram, bits, size):
         known &= (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0

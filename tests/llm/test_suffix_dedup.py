@@ -107,3 +107,30 @@ def test_a_core_of_many_places_spreads():
     near = [pa.RecordBatch.from_arrays([*b.columns, look], [*b.schema.names, "look"]) for b in batch(texts)]
     strings = records(S._surroundings(bits, all_hot, iter(near)), bits, [np.uint8, np.int64, np.int32, np.uint8, np.uint8])
     assert len(strings) > 200 and max(len(c[1]) for c in strings.values()) < 2_000
+
+
+def test_filter_lets_little_pass_that_does_not_repeat():
+    bits, rnd = 8, random.Random(10)
+    texts = ["".join(rnd.choice("abcdefghij ") for _ in range(600)) for _ in range(2000)]
+
+    def batch(own):
+        return iter([pa.RecordBatch.from_arrays([pa.array(range(len(own)), pa.int64()), pa.array(own)], ["doc_id", "text"])])
+
+    grams = [b for _ in range(2) for b in S._grams(bits, batch(texts[:1000]))]
+    dealt = {p: c[0] for p, c in records(grams, bits, [np.uint32]).items()}
+    assert len(dealt) > 250 and max(map(len, dealt.values())) < 4 * np.mean([len(c) for c in dealt.values()])
+    rows = [S.deal(np.full(len(c), p, np.int32), [c]) for p, c in sorted(dealt.items())]
+    twice = list(S._twice(bits, iter(rows)))
+    size = S.table_bits(sum(b["n"][0].as_py() for b in twice))
+    table = np.zeros(1 << (size - 3), np.uint8)
+    step = len(table) >> bits
+    for b in S._shares(bits, size, iter(twice)):
+        table[b["part"][0].as_py() * step :][:step] = np.frombuffer(b["c0"][0].as_py(), np.uint8)
+
+    def passed(table, own):
+        data, offsets = S.utf8(pa.array(own))
+        return len(S._suspects(bits, table, S.Hashes(data), len(data), offsets))
+
+    full = np.full(len(table), 255, np.uint8)
+    assert passed(table, texts[:1000]) == passed(full, texts[:1000])  # all of them repeat
+    assert passed(table, texts[1000:]) < 0.1 * passed(full, texts[1000:])
